@@ -1,0 +1 @@
+"""No operators here: every load is a daily batch, and late data is handled by rerunning a day."""
