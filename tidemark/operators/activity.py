@@ -73,31 +73,25 @@ def sliding_distinct(
             )
         )
     )
-    # One mask row per date; the array is a literal, so testing stays in the scan of ``packed``.
-    dates = []
+    # One mask row per date, as a literal array: every test runs where ``packed`` is produced.
+    masks = []
     for ordinal in range(first.toordinal(), last.toordinal() + 1):
         end = ordinal - origin.toordinal()
-        fields = [F.lit(date.fromordinal(ordinal)).alias("metric_date")]
-        for w in range(words):
-            fields.append(F.lit(_mask(end - days + 1, end, w)).cast("bigint").alias(f"m{w}"))
-            fields.append(F.lit(_mask(end, end, w)).cast("bigint").alias(f"d{w}"))
-        dates.append(F.struct(*fields))
-
-    def hit(prefix: str) -> Column:
-        found = F.lit(False)
-        for w in range(words):
-            found = found | (
-                F.col(f"w{w}").bitwiseAND(F.col(f"at.{prefix}{w}")) != F.lit(0)
-            )
-        return found
-
+        bits = [f"{_mask(end - days + 1, end, w)}L, {_mask(end, end, w)}L" for w in range(words)]
+        masks.append(f"(DATE'{date.fromordinal(ordinal)}', {', '.join(bits)})")
+    fields = ", ".join(f"m{w}, d{w}" for w in range(words))
+    in_window = " OR ".join(f"(w{w} & m{w}) != 0" for w in range(words))
+    on_day = " OR ".join(f"(w{w} & d{w}) != 0" for w in range(words))
     counts = [F.count("*").alias(name)]
     if daily_name:
-        counts.append(F.count(F.when(hit("d"), 1)).alias(daily_name))
+        counts.append(F.expr(f"count_if({on_day})").alias(daily_name))
     return (
-        packed.withColumn("at", F.explode(F.array(*dates)))
-        .where(hit("m"))
-        .groupBy(F.col("at.metric_date").alias("metric_date"))
+        packed.selectExpr(
+            *(f"w{w}" for w in range(words)),
+            f"inline(array{'(' + ', '.join(masks) + ')'}) AS (metric_date, {fields})",
+        )
+        .where(in_window)
+        .groupBy("metric_date")
         .agg(*counts)
     )
 

@@ -44,25 +44,32 @@ def _sorted_with_offsets(df: DataFrame, order: Sequence[Column | str]) -> DataFr
 
 
 def dense_keys(
-    df: DataFrame,
-    order: Sequence[Column | str],
-    name: str,
-    start: int = 0,
-    restart: str | None = None,
+    df: DataFrame, order: Sequence[Column | str], name: str, start: int = 0
 ) -> DataFrame:
-    """Add ``name``, numbering all rows ``start + 1 .. start + n`` in the given order.
+    """Add ``name``, numbering all rows ``start + 1 .. start + n`` in the given order."""
+    ranked = _sorted_with_offsets(df, order)
+    return ranked.withColumn(name, F.col("__rank") + F.lit(start)).select(*df.columns, name)
+
+
+# Hex digits of the id's MD5 that choose a lane: 16 ** 3 lanes per day.
+_LANE_DIGITS = 3
+LANES = 16**_LANE_DIGITS
 
-    With ``restart``, the first column of ``order``, numbers begin again at
-    ``start + 1`` for each of its values.
+
+def lane_keys(df: DataFrame, within: str, row_id: str, order: Sequence[str], name: str) -> DataFrame:
+    """Add ``name``, unique among the rows of each ``within`` value and the same on every rerun.
+
+    Rows are dealt to lanes by a hash of their unique id and numbered per lane;
+    lane ``l`` gives out ``l + 1, l + 1 + LANES, …``. Lanes are even whatever the
+    data, so one shuffle is enough and no order over the whole table is needed.
     """
-    ranked = _sorted_with_offsets(df, order)
-    if restart is None:
-        return ranked.withColumn(name, F.col("__rank") + F.lit(start)).drop("__rank", "__total")
-    first = ranked.groupBy(restart).agg(F.min("__rank").alias("__first"))
-    number = F.col("__rank") - F.col("__first") + F.lit(start + 1)
+    digest = F.md5(F.col(row_id).cast("string"))
+    lane = F.conv(F.substring(digest, 1, _LANE_DIGITS), 16, 10).cast("bigint")
+    in_lane = W.partitionBy(within, "__lane").orderBy(*order)
+    number = (F.row_number().over(in_lane) - F.lit(1)) * F.lit(LANES).cast("bigint")
     return (
-        ranked.join(first, restart)
-        .withColumn(name, number)
+        df.withColumn("__lane", lane)
+        .withColumn(name, number + F.col("__lane") + F.lit(1))
         .select(*df.columns, name)
     )
 

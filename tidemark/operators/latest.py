@@ -4,23 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Keep the first row of every key in the given order.
-
-    Filtering a row number to 1 lets Spark drop all but one row per key inside
-    each input task, before the shuffle, so a very frequent key stays cheap.
-    """
-    window = W.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("__place", F.row_number().over(window))
-        .where(F.col("__place") == 1)
-        .drop("__place")
-    )
+def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest: bool) -> DataFrame:
+    # An aggregate keeps one row per key inside each input task, before the
+    # shuffle, so a key with very many rows stays cheap.
+    rest = [c for c in df.columns if c not in keys]
+    choose = F.max_by if latest else F.min_by
+    row = choose(F.struct(*rest), F.struct(*order)).alias("__row")
+    return df.groupBy(*keys).agg(row).select(*keys, "__row.*").select(*df.columns)
 
 
 def latest_per_key(
@@ -30,4 +24,14 @@ def latest_per_key(
     tiebreak: str = "event_id",
 ) -> DataFrame:
     """Keep the newest row of every key; ``tiebreak`` decides equal timestamps."""
-    return first_per_key(df, keys, [F.col(ts).desc(), F.col(tiebreak).desc()])
+    return _pick(df, keys, [ts, tiebreak], latest=True)
+
+
+def earliest_per_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str = "event_timestamp",
+    tiebreak: str = "event_id",
+) -> DataFrame:
+    """Keep the oldest row of every key; ``tiebreak`` decides equal timestamps."""
+    return _pick(df, keys, [ts, tiebreak], latest=False)

@@ -11,6 +11,12 @@ HOT_SHARE = 0.001  # a key with more rows than this share gets split
 TRACKED = 8192  # counters per frequent-items sketch; its error is far below HOT_SHARE
 MERGERS = 64  # tasks that merge sketches before the last one does
 SALTS = 64  # pieces a hot key is split into
+SMALL_BYTES = 256 << 20  # below this no single key can overload a task
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of a plan, the one its broadcast limit is checked against."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
@@ -18,8 +24,11 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
 
     A frequent-items sketch per task is merged in two levels, so only sketches
     are shuffled. The list steers how rows are spread, never which rows are kept,
-    and is fixed here so that both sides of a join agree on it.
+    and is fixed here so that both sides of a join agree on it. Inputs too small
+    for any key to matter are not looked at.
     """
+    if estimated_bytes(df) < SMALL_BYTES:
+        return []
     most = int(1 / share)
     # The sketch is aggregated per input task first; NULLs are spread by the join itself.
     lanes = (
@@ -63,7 +72,8 @@ def skewed_join(
     """
     if how not in ("inner", "left", "right"):
         raise ValueError(f"unsupported join type {how!r}")
-    hot = hot_keys(facts, key) if hot is None else hot
+    if hot is None:
+        hot = hot_keys(facts, key)
     right = dim.withColumnRenamed(key, "__key")
     if not hot and how != "left":
         left = facts

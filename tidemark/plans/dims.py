@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import dense_keys
-from tidemark.operators.latest import first_per_key
+from tidemark.operators.latest import earliest_per_key
 from tidemark.schemas import (
     DEFAULT_TIER,
     DEFAULTS,
@@ -103,11 +103,7 @@ def catalog_sales(products: DataFrame, events: DataFrame) -> DataFrame:
 def dim_user_snapshot(events: DataFrame) -> DataFrame:
     """One open version per user with the attributes of the first event."""
     narrow = events.select("user_id", "event_timestamp", "event_id", "country", "platform")
-    first = first_per_key(
-        narrow.where(F.col("user_id").isNotNull()),
-        ["user_id"],
-        [F.col("event_timestamp").asc(), F.col("event_id").asc()],
-    )
+    first = earliest_per_key(narrow.where(F.col("user_id").isNotNull()), ["user_id"])
     users = first.select(
         "user_id",
         "country",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import json_text, product_number
 from tidemark.functions.days import as_date
-from tidemark.operators.keys import dense_keys
+from tidemark.operators.keys import dense_keys, lane_keys
 from tidemark.operators.scd2 import pit_join
 from tidemark.operators.skew import skewed_join
 from tidemark.schemas import (
@@ -82,14 +82,14 @@ def load_fact_events(
 ) -> DataFrame:
     """Events with the user version valid at their time.
 
-    ``event_sk`` numbers the events of each day by time, so that reloading a day
-    gives the same keys. ``keyed=False`` leaves it out.
+    ``event_sk`` is unique per day, and reloading a day gives the same keys.
+    ``keyed=False`` leaves it out.
     """
     joined = pit_join(_on_day(staged, day), dim_user).select(*_EVENT_COLUMNS)
     if not keyed:
         return joined
-    order = ["event_date", "event_timestamp", "event_id"]
-    return dense_keys(joined, order, "event_sk", restart="event_date")
+    order = ["event_timestamp", "event_id"]
+    return lane_keys(joined, "event_date", "event_id", order, "event_sk")
 
 
 def load_fact_orders(
@@ -123,8 +123,8 @@ def load_fact_orders(
     )
     if not keyed:
         return orders
-    order = ["order_date", "order_timestamp", "event_id"]
-    return dense_keys(orders, order, "order_sk", restart="order_date")
+    order = ["order_timestamp", "event_id"]
+    return lane_keys(orders, "order_date", "event_id", order, "order_sk")
 
 
 def snapshot_fact_events(events: DataFrame, dim_user: DataFrame) -> DataFrame:

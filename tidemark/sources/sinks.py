@@ -63,16 +63,24 @@ def write_json_lake(df: DataFrame, root: str) -> None:
     )
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _located(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, located = _located(spark, path)
+    return fs.exists(located)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(hadoop_path, True)
+    fs, located = _located(spark, path)
+    fs.delete(located, True)
+
+
+def _file_names(spark: SparkSession, path: str) -> set[str]:
+    fs, located = _located(spark, path)
+    return {s.getPath().getName() for s in fs.listStatus(located)} if fs.exists(located) else set()
 
 
 def overwrite_partitions(
@@ -88,6 +96,8 @@ def overwrite_partitions(
     skip row groups. Rerunning with the same rows leaves the same table.
     """
     spark = df.sparkSession
+    folders = {f"{path}/{part_col}={day}" for day in days}
+    before = {folder: _file_names(spark, folder) for folder in folders}
     out = _spread(df, part_col).sortWithinPartitions(part_col, *([sort_col] if sort_col else []))
     (
         out.write.mode("overwrite")
@@ -95,14 +105,8 @@ def overwrite_partitions(
         .partitionBy(part_col)
         .parquet(path)
     )
-    # A day that came out empty is not touched by a dynamic overwrite.
-    wanted = {str(d) for d in days}
-    if wanted:
-        held = (
-            df.where(F.col(part_col).cast("string").isin(sorted(wanted)))
-            .select(F.col(part_col).cast("string").alias("d"))
-            .distinct()
-            .collect()
-        )
-        for day in sorted(wanted - {row.d for row in held}):
-            delete_path(spark, f"{path}/{part_col}={day}")
+    # A dynamic overwrite leaves a day without new rows as it was; files that
+    # are all still there show that, and such a day must end up empty.
+    for folder, names in before.items():
+        if names and _file_names(spark, folder) == names:
+            delete_path(spark, folder)

@@ -142,6 +142,11 @@ _RAW = """SELECT CAST(event_id AS VARCHAR) AS event_id, user_id, event_type, eve
        metadata
 FROM ev"""
 
+# Day-unique keys: rows are numbered per lane, a hash of the id, and lanes interleave.
+_LANE = "CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 3) AS BIGINT)"
+_LANE_SK = f"""(ROW_NUMBER() OVER (PARTITION BY event_date, {_LANE}
+                            ORDER BY event_timestamp, event_id) - 1) * 4096 + {_LANE} + 1"""
+
 _ORDER_COLUMNS = """'ORD_' || CAST(ev.event_id AS VARCHAR) AS order_id, ev.event_id,
        event_timestamp AS order_timestamp, event_date AS order_date"""
 
@@ -318,16 +323,14 @@ WHERE place = 1 AND user_id NOT IN (SELECT user_id FROM known WHERE is_current)"
 FROM ev JOIN hist AS h ON {_PIT}""",
     "load_fact_events": _HIST
     + f"""SELECT event_id, event_timestamp, event_date, user_sk, ev.user_id, platform, ev.country,
-       event_type, session_id, metadata,
-       ROW_NUMBER() OVER (PARTITION BY event_date ORDER BY event_timestamp, event_id) AS event_sk
+       event_type, session_id, metadata, {_LANE_SK} AS event_sk
 FROM ev JOIN hist AS h ON {_PIT}""",
     "load_fact_orders": _HIST
     + f"""SELECT {_ORDER_COLUMNS}, user_sk, ev.user_id,
        CAST(SUBSTR(product_id, 5) AS BIGINT) AS product_sk,
        CAST(amount AS DOUBLE) AS order_amount, 'USD' AS currency,
        COALESCE(metadata->>'$.payment_gateway', 'stripe') AS payment_gateway,
-       'completed' AS order_status,
-       ROW_NUMBER() OVER (PARTITION BY event_date ORDER BY event_timestamp, event_id) AS order_sk
+       'completed' AS order_status, {_LANE_SK} AS order_sk
 FROM ev JOIN hist AS h ON {_PIT}
 WHERE event_type = 'purchase' AND amount > 0""",
     "facts_snapshot_join": _with(SQL_EVENTS, _SNAP)
@@ -344,15 +347,18 @@ FROM ev JOIN snap ON ev.user_id = snap.user_id""",
 FROM ev JOIN snap ON ev.user_id = snap.user_id
 WHERE event_type = 'purchase' AND amount > 0""",
     "daily_load": _HIST
-    + f""", facts AS (
-  SELECT ev.*, user_sk FROM ev JOIN hist AS h ON {_PIT})
+    + f""", kept AS (
+  SELECT ev.*, user_sk FROM ev JOIN hist AS h ON {_PIT}),
+sold AS (SELECT * FROM kept WHERE event_type = 'purchase' AND amount > 0),
+kept_keys AS (SELECT *, {_LANE_SK} AS sk FROM kept),
+sold_keys AS (SELECT *, {_LANE_SK} AS sk FROM sold)
 SELECT 'fact_events' AS loaded_table, event_date AS day, COUNT(*) AS n,
-       CAST(SUM(user_sk) AS BIGINT) AS sk_sum, COUNT(*) AS top_sk, CAST(0 AS DOUBLE) AS amount
-FROM facts GROUP BY event_date
+       CAST(SUM(user_sk) AS BIGINT) AS sk_sum, MAX(sk) AS top_sk, CAST(0 AS DOUBLE) AS amount
+FROM kept_keys GROUP BY event_date
 UNION ALL
-SELECT 'fact_orders', event_date, COUNT(*), CAST(SUM(user_sk) AS BIGINT), COUNT(*),
+SELECT 'fact_orders', event_date, COUNT(*), CAST(SUM(user_sk) AS BIGINT), MAX(sk),
        CAST(SUM(amount) AS DOUBLE)
-FROM facts WHERE event_type = 'purchase' AND amount > 0 GROUP BY event_date
+FROM sold_keys GROUP BY event_date
 UNION ALL
 SELECT 'dim_user', CAST(valid_from AS DATE), COUNT(*), CAST(SUM(user_sk) AS BIGINT), MAX(user_sk),
        CAST(0 AS DOUBLE)
