@@ -14,5 +14,7 @@ def local_session(cores: int | str = "*", app: str = "tidemark") -> SparkSession
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # Do not look up the Python call site of every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )

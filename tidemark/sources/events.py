@@ -68,11 +68,14 @@ def read_raw(
         lake = lake.where(F.col(PARTITION).isin([as_date(d) for d in days]))
     if typed or fmt == "json":
         return lake
-    odd = _files_without_product(spark, lake.inputFiles())
+    held = lake.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
+    odd = _files_without_product(spark, sorted(row.file for row in held))
     if not odd:
         return lake
     # The odd files hold no product at all: read every other column from them.
-    paths = F.col("_metadata.file_path")
+    # Local paths come as file:/ while files are pruned and as file:/// in rows.
+    skipped = sorted({*odd, *(p.replace("file:///", "file:/") for p in odd)})
+    typed_files = ~F.col("_metadata.file_path").isin(skipped)
     rest = T.StructType([f for f in _LAKE.fields if f.name != "product_id"])
     without = (
         spark.read.schema(rest)
@@ -81,7 +84,7 @@ def read_raw(
         .withColumn("product_id", F.lit(None).cast("string"))
         .select(*_LAKE.fieldNames())
     )
-    return lake.where(~paths.isin(odd)).unionByName(without)
+    return lake.where(typed_files).unionByName(without)
 
 
 def typed_columns(timestamp: Column | None = None) -> list[Column]:
