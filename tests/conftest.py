@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from tidemark.schemas import STAGED_EVENT  # noqa: E402
 from tidemark.session import local_session  # noqa: E402
-from tidemark.sources.scratch import new_folder  # noqa: E402
+from tidemark.sources.scratch import new_folder, release  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,6 +20,7 @@ def spark():
     session = local_session(4, "tests")
     session.sparkContext.setLogLevel("OFF")
     yield session
+    release(session)
     session.stop()
 
 

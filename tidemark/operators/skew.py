@@ -19,6 +19,14 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def _broadcast_limit(df: DataFrame) -> int:
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        return int(text.lower().removesuffix("b"))
+    except ValueError:  # such as "10MB": assume nothing
+        return -1
+
+
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys that hold more than about ``share`` of the rows; at most ``1 / share`` of them.
 
@@ -73,7 +81,10 @@ def skewed_join(
     if how not in ("inner", "left", "right"):
         raise ValueError(f"unsupported join type {how!r}")
     if hot is None:
-        hot = hot_keys(facts, key)
+        # A side that Spark broadcasts leaves the facts where they are; a right
+        # join keeps every row of ``dim`` and cannot broadcast it.
+        sent = how != "right" and estimated_bytes(dim) <= _broadcast_limit(facts)
+        hot = [] if sent else hot_keys(facts, key)
     right = dim.withColumnRenamed(key, "__key")
     if not hot and how != "left":
         left = facts

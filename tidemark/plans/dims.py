@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import date
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,15 +73,15 @@ def dim_date_of(
 
 def dim_product(spark: SparkSession) -> DataFrame:
     """The product catalogue."""
-    rows = [
-        (sk, f"PRD_{sk:04d}", f"{category} {sk}", category, Decimal(price))
+    # As VALUES, the planner knows how small the table is and broadcasts it.
+    rows = ", ".join(
+        f"({sk}, 'PRD_{sk:04d}', '{category} {sk}', '{category}', {price})"
         for sk, category, price in PRODUCT_CATALOG
-    ]
-    ddl = (
-        "product_sk int, product_id string, product_name string, category string, "
-        "base_price decimal(10,2)"
     )
-    return conform(spark.createDataFrame(rows, ddl), DIM_PRODUCT, DEFAULTS["dim_product"])
+    values = spark.sql(
+        f"SELECT * FROM VALUES {rows} AS (product_sk, product_id, product_name, category, base_price)"
+    )
+    return conform(values, DIM_PRODUCT, DEFAULTS["dim_product"])
 
 
 def catalog_sales(products: DataFrame, events: DataFrame) -> DataFrame:

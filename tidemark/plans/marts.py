@@ -129,7 +129,7 @@ def retention(
     ).orderBy(F.col("cohort_date").desc())
 
 
-# Step label and the event types that satisfy it.
+# Step label and the event types that satisfy it.
 FUNNEL_STEPS: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("signup", ("signup",)),
     ("login", ("login",)),
@@ -261,7 +261,7 @@ def user_activity(
     return current.join(per_user, "user_id")
 
 
-# Tier label and the highest percent rank it covers; the last tier takes the rest.
+# Tier label and the highest percent rank it covers; the last tier takes the rest.
 TIERS: tuple[tuple[str, float], ...] = (
     ("1_POWER_CREATOR", 0.05),
     ("2_CORE_ENGAGER", 0.20),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -25,7 +26,16 @@ def scratch_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh, unused path under the shared folder."""
-    return f"{scratch_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the folders this application made, once no result needs them any more."""
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        located = spark._jvm.org.apache.hadoop.fs.Path(path)
+        located.getFileSystem(spark._jsc.hadoopConfiguration()).delete(located, True)
 
 
 def pin(df: DataFrame, label: str) -> DataFrame:

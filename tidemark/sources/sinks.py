@@ -89,16 +89,19 @@ def overwrite_partitions(
     part_col: str,
     days: Iterable[date | str] = (),
     sort_col: str | None = None,
+    spread: bool = True,
 ) -> None:
     """Replace the partitions ``df`` holds, and empty those of ``days`` it does not.
 
     Rows are sorted by ``sort_col`` inside each file, so that range filters on it
-    skip row groups. Rerunning with the same rows leaves the same table.
+    skip row groups. Rerunning with the same rows leaves the same table. Pass
+    ``spread=False`` for one day whose rows already are in tasks of a fair size.
     """
     spark = df.sparkSession
     folders = {f"{path}/{part_col}={day}" for day in days}
     before = {folder: _file_names(spark, folder) for folder in folders}
-    out = _spread(df, part_col).sortWithinPartitions(part_col, *([sort_col] if sort_col else []))
+    out = _spread(df, part_col) if spread else df
+    out = out.sortWithinPartitions(part_col, *([sort_col] if sort_col else []))
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.plans.marts import FUNNEL_STEPS, LAST_TIER, TIERS
 from workload.fixtures import (
     AS_OF,
     ORDERS_AS_OF,
@@ -60,32 +61,25 @@ snap AS (
                                      ORDER BY event_timestamp, event_id) AS place
         FROM ev) AS t
   WHERE place = 1)"""
+_TIER_CASE = " ".join(f"WHEN pr <= {upto} THEN '{name}'" for name, upto in TIERS)
 _ACTIVITY = f"""
+recent AS (SELECT * FROM ev WHERE event_date >= DATE '{AS_OF}' - INTERVAL '30 days'),
+counted AS (
+  SELECT user_id, COUNT(*) AS total_events, COUNT(DISTINCT event_date) AS active_days,
+         COUNT(*) FILTER (event_type = 'post') AS post_count,
+         COUNT(*) FILTER (event_type = 'like') AS like_count,
+         COUNT(*) FILTER (event_type = 'purchase') AS purchase_count,
+         COALESCE(SUM(amount) FILTER (event_type = 'purchase' AND amount > 0), 0) AS total_spend,
+         MAX(event_timestamp) AS last_active_at
+  FROM recent GROUP BY user_id),
 activity AS (
-  SELECT e.user_id, u.country, u.preferred_platform,
-         COUNT(e.event_id) AS total_events,
-         COUNT(DISTINCT e.event_date) AS active_days,
-         COUNT(CASE WHEN e.event_type = 'post' THEN 1 END) AS post_count,
-         COUNT(CASE WHEN e.event_type = 'like' THEN 1 END) AS like_count,
-         COUNT(CASE WHEN e.event_type = 'purchase' THEN 1 END) AS purchase_count,
-         COALESCE(SUM(o.order_amount), 0) AS total_spend,
-         MAX(e.event_timestamp) AS last_active_at
-  FROM hist AS u
-  JOIN ev AS e ON u.user_id = e.user_id AND e.event_date >= DATE '{AS_OF}' - INTERVAL '30 days'
-  LEFT JOIN (SELECT event_id, amount AS order_amount FROM ev
-             WHERE event_type = 'purchase' AND amount > 0) AS o ON e.event_id = o.event_id
-  WHERE u.is_current
-  GROUP BY e.user_id, u.country, u.preferred_platform),
-ranked AS (
-  SELECT *, PERCENT_RANK() OVER (ORDER BY total_events DESC) AS activity_percentile_rank,
+  SELECT counted.*, country, preferred_platform
+  FROM counted JOIN hist USING (user_id) WHERE is_current),
+placed AS (
+  SELECT *, PERCENT_RANK() OVER (ORDER BY total_events DESC) AS pr,
          NTILE(10) OVER (ORDER BY total_events DESC, user_id) AS activity_decile
   FROM activity),
-tiered AS (
-  SELECT *, CASE WHEN activity_percentile_rank <= 0.05 THEN '1_POWER_CREATOR'
-                 WHEN activity_percentile_rank <= 0.20 THEN '2_CORE_ENGAGER'
-                 WHEN activity_percentile_rank <= 0.60 THEN '3_CASUAL_CONSUMER'
-                 ELSE '4_LIGHT_USER' END AS user_tier
-  FROM ranked)"""
+tiered AS (SELECT *, CASE {_TIER_CASE} ELSE '{LAST_TIER}' END AS user_tier FROM placed)"""
 _ACTIVE = _with(SQL_EVENTS, _history("ev", "hist"), _ACTIVITY)
 
 
@@ -93,25 +87,24 @@ def _pct(part: str, whole: str) -> str:
     return f"floor(CAST({part} AS DOUBLE) / NULLIF({whole}, 0) * 10000 + 0.5) / 100"
 
 
+_OFFSETS = (1, 7, 14, 30)
+
+
 def _retention(source: str, as_of: object) -> str:
+    kept = ", ".join(
+        f"COUNT(DISTINCT user_id) FILTER (event_date = cohort_date + {k}) AS retained_d{k}"
+        for k in _OFFSETS
+    )
+    shares = ", ".join(
+        f"{_pct(f'retained_d{k}', 'cohort_size')} AS d{k}_retention_pct" for k in _OFFSETS
+    )
     return f"""
-firsts AS (SELECT user_id, MIN(event_date) AS cohort_date FROM {source} GROUP BY user_id),
-days AS (SELECT DISTINCT user_id, event_date FROM {source}),
-cohorts AS (
-  SELECT cohort_date, COUNT(DISTINCT f.user_id) AS cohort_size,
-         COUNT(DISTINCT CASE WHEN event_date - cohort_date = 1 THEN f.user_id END) AS retained_d1,
-         COUNT(DISTINCT CASE WHEN event_date - cohort_date = 7 THEN f.user_id END) AS retained_d7,
-         COUNT(DISTINCT CASE WHEN event_date - cohort_date = 14 THEN f.user_id END) AS retained_d14,
-         COUNT(DISTINCT CASE WHEN event_date - cohort_date = 30 THEN f.user_id END) AS retained_d30
-  FROM firsts AS f JOIN days AS d ON f.user_id = d.user_id
-  GROUP BY cohort_date),
-shares AS (
-  SELECT cohort_date, cohort_size,
-         {_pct('retained_d1', 'cohort_size')} AS d1_retention_pct,
-         {_pct('retained_d7', 'cohort_size')} AS d7_retention_pct,
-         {_pct('retained_d14', 'cohort_size')} AS d14_retention_pct,
-         {_pct('retained_d30', 'cohort_size')} AS d30_retention_pct
-  FROM cohorts WHERE cohort_date <= DATE '{as_of}' - INTERVAL '30 days')"""
+placed AS (SELECT user_id, event_date, MIN(event_date) OVER (PARTITION BY user_id) AS cohort_date
+           FROM {source}),
+cohorts AS (SELECT cohort_date, COUNT(DISTINCT user_id) AS cohort_size, {kept}
+            FROM placed GROUP BY cohort_date),
+shares AS (SELECT cohort_date, cohort_size, {shares}
+           FROM cohorts WHERE cohort_date <= DATE '{as_of}' - INTERVAL '30 days')"""
 
 
 _MAU = f"""
@@ -120,22 +113,37 @@ spine AS (SELECT CAST(d AS DATE) AS metric_date
                                INTERVAL '1 day') AS s(d)),
 user_days AS (SELECT DISTINCT user_id, event_date FROM ev),
 mau AS (SELECT metric_date, COUNT(DISTINCT user_id) AS mau
-        FROM spine JOIN user_days
-          ON event_date BETWEEN metric_date - INTERVAL '29 days' AND metric_date
+        FROM spine, user_days
+        WHERE event_date <= metric_date AND event_date > metric_date - 30
         GROUP BY metric_date)"""
 
-_FUNNEL = """
-s1 AS (SELECT user_id, MIN(event_timestamp) AS signup_time FROM ud
-       WHERE event_type = 'signup' GROUP BY user_id),
-s2 AS (SELECT s.user_id, MIN(e.event_timestamp) AS login_time FROM s1 AS s JOIN ud AS e
-         ON s.user_id = e.user_id AND e.event_type = 'login'
-        AND e.event_timestamp >= s.signup_time GROUP BY s.user_id),
-s3 AS (SELECT s.user_id, MIN(e.event_timestamp) AS post_or_like_time FROM s2 AS s JOIN ud AS e
-         ON s.user_id = e.user_id AND e.event_type IN ('post', 'like')
-        AND e.event_timestamp >= s.login_time GROUP BY s.user_id),
-s4 AS (SELECT s.user_id, MIN(e.event_timestamp) AS purchase_time FROM s3 AS s JOIN ud AS e
-         ON s.user_id = e.user_id AND e.event_type = 'purchase'
-        AND e.event_timestamp >= s.post_or_like_time GROUP BY s.user_id)"""
+# Each step time is a conditional minimum over all rows of the key.
+_STEP = """
+{name} AS (SELECT *, MIN(CASE WHEN event_type IN ({types}) AND event_timestamp >= {after}
+                              THEN event_timestamp END) OVER (PARTITION BY user_id) AS {name}_time
+           FROM {source})"""
+
+
+def _funnel() -> str:
+    ctes, source, after = [], "ud", "TIMESTAMP '1900-01-01'"
+    for name, types in FUNNEL_STEPS:
+        listed = ", ".join(f"'{t}'" for t in types)
+        ctes.append(_STEP.format(name=name, types=listed, after=after, source=source))
+        source, after = name, f"{name}_time"
+    times = ", ".join(f"{name}_time" for name, _ in FUNNEL_STEPS)
+    first = FUNNEL_STEPS[0][0]
+    ctes.append(
+        f"reached AS (SELECT DISTINCT user_id, {times} FROM {source} WHERE {first}_time IS NOT NULL)"
+    )
+    return ",".join(ctes)
+
+
+_FUNNEL = _funnel()
+_REACHED = " UNION ALL ".join(
+    f"SELECT '{i}_{name}' AS stage_name, {i} AS step_order, COUNT({name}_time) AS users_reached "
+    "FROM reached"
+    for i, (name, _) in enumerate(FUNNEL_STEPS, start=1)
+)
 
 _RAW = """SELECT CAST(event_id AS VARCHAR) AS event_id, user_id, event_type, event_timestamp,
        event_date, platform, country, product_id, CAST(amount AS DOUBLE) AS amount, session_id,
@@ -244,46 +252,41 @@ WHERE place = 1""",
 FROM ev""",
     "mau_trailing": _with(SQL_EVENTS, _MAU) + "SELECT metric_date, mau FROM mau",
     "dau_mau": _with(SQL_EVENTS, _MAU)
-    + f""", dau AS (SELECT event_date, COUNT(*) AS dau FROM user_days GROUP BY event_date),
-both_counts AS (
-  SELECT metric_date, COALESCE(dau, 0) AS dau, mau
-  FROM mau LEFT JOIN dau ON metric_date = event_date)
+    + f""", ratios AS (
+  SELECT metric_date, mau,
+         (SELECT COUNT(*) FROM user_days WHERE event_date = metric_date) AS dau
+  FROM mau)
 SELECT metric_date, dau, mau, {_pct('dau', 'mau')} AS stickiness_ratio_pct,
        floor(AVG(CAST(dau AS DOUBLE) / NULLIF(mau, 0) * 100)
              OVER (ORDER BY metric_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
              * 100 + 0.5) / 100 AS stickiness_7d_ma
-FROM both_counts""",
+FROM ratios""",
     "retention_counts": _with(SQL_ORDERS, _retention("co", ORDERS_AS_OF))
     + "SELECT * FROM cohorts",
     "retention_cohorts": _with(SQL_EVENTS, _retention("ev", RETENTION_AS_OF))
     + "SELECT * FROM shares",
     "retention_cohorts_sparse": _with(SQL_ORDERS, _retention("co", ORDERS_AS_OF))
     + "SELECT * FROM shares",
-    "funnel_step_times": _with(SQL_EVENTS, SQL_USERDAY, _FUNNEL)
-    + """SELECT user_id, signup_time, login_time, post_or_like_time, purchase_time
-FROM s1 LEFT JOIN s2 USING (user_id) LEFT JOIN s3 USING (user_id) LEFT JOIN s4 USING (user_id)""",
+    "funnel_step_times": _with(SQL_EVENTS, SQL_USERDAY, _FUNNEL) + "SELECT * FROM reached",
     "conversion_funnel": _with(SQL_EVENTS, SQL_USERDAY, _FUNNEL)
-    + f""", steps AS (
-  SELECT '1_signup' AS stage_name, 1 AS step_order, (SELECT COUNT(*) FROM s1) AS users_reached
-  UNION ALL SELECT '2_login', 2, (SELECT COUNT(*) FROM s2)
-  UNION ALL SELECT '3_post_or_like', 3, (SELECT COUNT(*) FROM s3)
-  UNION ALL SELECT '4_purchase', 4, (SELECT COUNT(*) FROM s4)),
-placed AS (
-  SELECT *, LAG(users_reached) OVER (ORDER BY step_order) AS before,
-         FIRST_VALUE(users_reached) OVER (ORDER BY step_order) AS top
-  FROM steps)
+    + f""", steps AS ({_REACHED}),
+chained AS (
+  SELECT here.*, prior.users_reached AS before, opening.users_reached AS top
+  FROM steps AS here
+  LEFT JOIN steps AS prior ON prior.step_order = here.step_order - 1
+  JOIN steps AS opening ON opening.step_order = 1)
 SELECT stage_name, step_order, users_reached,
        {_pct('users_reached', 'before')} AS step_conversion_pct,
        floor((100.0 - CAST(users_reached AS DOUBLE) / NULLIF(before, 0) * 100) * 100 + 0.5) / 100
          AS step_dropoff_pct,
        {_pct('users_reached', 'top')} AS funnel_conversion_pct
-FROM placed""",
+FROM chained""",
     "user_activity": _ACTIVE
     + """SELECT user_id, country, preferred_platform, total_events, active_days, post_count,
        like_count, purchase_count, CAST(total_spend AS DOUBLE) AS total_spend, last_active_at
 FROM activity""",
     "user_deciles": _ACTIVE
-    + """SELECT user_id, total_events, activity_percentile_rank, activity_decile, user_tier
+    + """SELECT user_id, total_events, pr AS activity_percentile_rank, activity_decile, user_tier
 FROM tiered""",
     "user_segmentation": _ACTIVE
     + f"""SELECT user_tier, COUNT(user_id) AS total_users,
@@ -398,16 +401,14 @@ FROM (SELECT MAX(event_timestamp) AS newest,
                / 1000000.0::DOUBLE AS age_seconds
       FROM ev) AS t""",
     "row_count_drift": _EV
-    + f""", counts AS (SELECT event_date, COUNT(*) AS row_count FROM ev GROUP BY event_date),
-means AS (
-  SELECT *, AVG(row_count) OVER (ORDER BY event_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
-              AS baseline_7d_avg
-  FROM counts)
-SELECT event_date, row_count, baseline_7d_avg,
-       ABS(row_count - baseline_7d_avg) / NULLIF(baseline_7d_avg, 0) AS drift_ratio
-FROM means
-WHERE baseline_7d_avg IS NOT NULL
-  AND ABS(row_count - baseline_7d_avg) / NULLIF(baseline_7d_avg, 0) > {DRIFT}""",
+    + f""", per_day AS (SELECT event_date, COUNT(*) AS row_count FROM ev GROUP BY event_date),
+framed AS (
+  SELECT event_date, row_count,
+         SUM(row_count) OVER back / CAST(COUNT(*) OVER back AS DOUBLE) AS baseline_7d_avg
+  FROM per_day
+  WINDOW back AS (ORDER BY event_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+SELECT *, ABS(row_count - baseline_7d_avg) / baseline_7d_avg AS drift_ratio
+FROM framed WHERE ABS(row_count - baseline_7d_avg) / baseline_7d_avg > {DRIFT}""",
     "dq_suite": _EV_DIRTY
     + """, c AS (
   SELECT COUNT(*) AS total,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +86,10 @@ def _ended() -> Column:
     return F.when(~F.col("is_current"), F.col("valid_to")).alias("valid_to")
 
 
+def _newest_day(rows: DataFrame) -> date:
+    return rows.agg(F.max("event_date").alias("day")).first().day
+
+
 def _lake(spark: SparkSession, sf_dir: str) -> str:
     root = new_folder(spark, "lake")
     write_parquet_lake(events(spark, sf_dir), root)
@@ -292,8 +296,8 @@ def dim_user_snapshot(spark, sf_dir):
 
 @query
 def latest_per_user(spark, sf_dir):
-    rows = latest_per_key(events(spark, sf_dir), ["user_id"])
-    return rows.select("user_id", "event_id", "event_timestamp", "country", "platform")
+    wanted = ["user_id", "event_id", "event_timestamp", "country", "platform"]
+    return latest_per_key(events(spark, sf_dir).select(*wanted), ["user_id"])
 
 
 @query_named("active_days")
@@ -422,8 +426,9 @@ def current_users(spark, sf_dir):
 def scd2_merge_batch(spark, sf_dir):
     """All days but the last as history, then the last one merged as a batch."""
     rows = events(spark, sf_dir)
-    before = scd2_history(rows.where(F.col("event_date") < F.lit(LAST_DAY)))
-    merged = scd2_merge(before, rows.where(F.col("event_date") >= F.lit(LAST_DAY)))
+    last = _newest_day(rows)
+    before = scd2_history(rows.where(F.col("event_date") < F.lit(last)))
+    merged = scd2_merge(before, rows.where(F.col("event_date") == F.lit(last)))
     return merged.select("user_sk", *_VERSION, _ended(), "is_current")
 
 
@@ -471,9 +476,10 @@ def orders_snapshot(spark, sf_dir):
 def daily_load(spark, sf_dir):
     """Rebuild every day but the last from the lake, load the last one, and rerun it."""
     lake, warehouse = _lake(spark, sf_dir), new_folder(spark, "warehouse")
-    daily.rebuild(spark, lake, warehouse, upto=date(2024, 1, 29))
+    last = _newest_day(events(spark, sf_dir))
+    daily.rebuild(spark, lake, warehouse, upto=last - timedelta(days=1))
     for _ in range(2):
-        daily.run_daily(spark, lake, warehouse, LAST_DAY)
+        daily.run_daily(spark, lake, warehouse, last)
     zero = F.lit(0).cast("double")
     event_rows = daily.read_fact_events(spark, warehouse).groupBy("event_date").agg(
         F.count("*").alias("n"), F.sum("user_sk").alias("sk_sum"), F.max("event_sk").alias("top_sk")
