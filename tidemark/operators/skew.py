@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 0.001  # a key with more rows than this share gets split
 TRACKED = 8192  # counters per frequent-items sketch; its error is far below HOT_SHARE
-MERGERS = 64  # tasks that merge sketches before the last one does
+LANES = 64  # tasks that merge sketches
+WORTH_SPLITTING = 10_000  # rows
 SALTS = 64  # pieces a hot key is split into
 SMALL_BYTES = 256 << 20  # below this no single key can overload a task
 
@@ -30,34 +32,30 @@ def _broadcast_limit(df: DataFrame) -> int:
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Keys that hold more than about ``share`` of the rows; at most ``1 / share`` of them.
 
-    A frequent-items sketch per task is merged in two levels, so only sketches
-    are shuffled. The list steers how rows are spread, never which rows are kept,
-    and is fixed here so that both sides of a join agree on it. Inputs too small
-    for any key to matter are not looked at.
+    Every task keeps a frequent-items sketch, ``LANES`` tasks merge them, and the
+    driver adds up the few top keys of each. The list steers how rows are spread,
+    never which rows are kept, and is fixed here so that both sides of a join agree
+    on it. Inputs too small for any key to matter are not looked at.
     """
     if estimated_bytes(df) < SMALL_BYTES:
         return []
     most = int(1 / share)
-    # The sketch is aggregated per input task first; NULLs are spread by the join itself.
     lanes = (
         df.where(F.col(key).isNotNull())
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("lane"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(LANES)).alias("lane"))
         .agg(
-            F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED})").alias("sketch"),
+            F.expr(f"approx_top_k(`{key}`, {most}, {TRACKED})").alias("top"),
             F.count("*").alias("n"),
         )
+        .collect()
     )
-    top = lanes.agg(
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED}), {most})").alias(
-            "top"
-        ),
-        F.sum("n").alias("n"),
-    ).first()
-    if not top or not top.n:
-        return []
+    counts: Counter = Counter()
+    for lane in lanes:
+        for item in lane.top:
+            counts[item["item"]] += item["count"]
     # A key is only worth splitting when its share of the rows fills several tasks.
-    floor = max(top.n * share, 10_000)
-    return [item["item"] for item in top.top if item["count"] > floor]
+    floor = max(share * sum(lane.n for lane in lanes), WORTH_SPLITTING)
+    return [item for item, n in counts.most_common(most) if n > floor]
 
 
 def skewed_join(
