@@ -95,9 +95,9 @@ def rank_descending(
 ) -> DataFrame:
     """Percent rank by descending ``value`` and ntile with ``tiebreak`` for equal values."""
     ranked = _sorted_with_offsets(df, [F.col(value).desc(), F.col(tiebreak).asc()])
-    # Rows per value are counted before the join, whose small side is one row per
-    # distinct value; Spark picks the join by the measured size of that side.
-    first = ranked.groupBy(value).agg(F.min("__rank").alias("__first"))
+    # One row per distinct value, written out so that Spark knows its size when it
+    # picks the join: a broadcast while small, else a sort-merge that splits skew.
+    first = pin(ranked.groupBy(value).agg(F.min("__rank").alias("__first")), "ties")
     return (
         ranked.join(first, value)
         .withColumn(pr_name, percent_rank_of(F.col("__first") - F.lit(1), F.col("__total")))

@@ -97,7 +97,7 @@ def run_daily(
     warehouse: str,
     day: date | str,
     fmt: str = "parquet",
-    typed: bool = True,
+    typed: bool = False,
     rebuild_if_older: bool = False,
 ) -> str:
     """Load one day; returns ``loaded``, ``rebuilt`` or ``missing``.
@@ -142,7 +142,7 @@ def rebuild(
     warehouse: str,
     upto: date | str | None = None,
     fmt: str = "parquet",
-    typed: bool = True,
+    typed: bool = False,
 ) -> None:
     """Derive the whole warehouse from the lake in one pass, up to a day."""
     raw = read_raw(spark, lake, fmt, typed=typed)

@@ -56,12 +56,13 @@ def read_raw(
     root: str,
     fmt: str = "parquet",
     days: Iterable[date | str] | None = None,
-    typed: bool = True,
+    typed: bool = False,
 ) -> DataFrame:
     """Raw lake rows with the declared schema plus the partition ``date``.
 
-    ``days`` prunes to those partitions. Pass ``typed=False`` for files of other
-    writers, where a file without a purchase may carry an untyped ``product_id``.
+    ``days`` prunes to those partitions. Other writers may leave ``product_id``
+    without a type in a file that has no purchase, so footers are compared first;
+    pass ``typed=True`` for a lake of our own sink to save that look.
     """
     lake = _scan(spark, root, fmt)
     if days is not None:
@@ -110,14 +111,14 @@ def read_events(
     root: str,
     fmt: str = "parquet",
     days: Iterable[date | str] | None = None,
-    typed: bool = True,
+    typed: bool = False,
 ) -> DataFrame:
     """Typed events over the whole lake, or over the given days."""
     return read_raw(spark, root, fmt, days, typed).select(*typed_columns())
 
 
 def read_day(
-    spark: SparkSession, root: str, day: date | str, fmt: str = "parquet", typed: bool = True
+    spark: SparkSession, root: str, day: date | str, fmt: str = "parquet", typed: bool = False
 ) -> DataFrame:
     """Raw rows of one ``date=`` folder; no rows when the folder is missing."""
     return read_raw(spark, root, fmt, [day], typed)

@@ -21,6 +21,7 @@ from tidemark.operators.scd2 import (
     scd2_history,
     scd2_merge,
 )
+from tidemark.operators.skew import skewed_join
 from tidemark.plans import daily, dims, facts, marts
 from tidemark.schemas import DEFAULTS, EVENT_TYPES, FACT_ORDERS, PLATFORMS, conform
 from tidemark.sources.events import partition_inventory, read_day, read_events, typed_columns
@@ -143,7 +144,7 @@ def conform_schema(spark, sf_dir):
 
 @query
 def parquet_roundtrip(spark, sf_dir):
-    return _plain(read_events(spark, _lake(spark, sf_dir)))
+    return _plain(read_events(spark, _lake(spark, sf_dir), typed=True))
 
 
 @query
@@ -155,7 +156,7 @@ def json_roundtrip(spark, sf_dir):
 
 @query
 def lake_one_day(spark, sf_dir):
-    raw = read_day(spark, _lake(spark, sf_dir), LAST_DAY)
+    raw = read_day(spark, _lake(spark, sf_dir), LAST_DAY, typed=True)
     return _plain(facts.stage_events(raw, LAST_DAY))
 
 
@@ -205,7 +206,8 @@ def user_type_lookup(spark, sf_dir):
         (F.col("event_type") == "purchase") & (F.col("event_date") == F.lit(LAST_DAY))
     )
     likes = rows.where(F.col("event_type") == "like")
-    return likes.join(buyers.select("user_id").distinct(), "user_id", "left_semi").select(
+    wanted = buyers.select("user_id").distinct()
+    return skewed_join(likes, wanted, "user_id", spread_by=["event_id"]).select(
         "user_id", "event_id", "event_timestamp"
     )
 
@@ -477,9 +479,9 @@ def daily_load(spark, sf_dir):
     """Rebuild every day but the last from the lake, load the last one, and rerun it."""
     lake, warehouse = _lake(spark, sf_dir), new_folder(spark, "warehouse")
     last = _newest_day(events(spark, sf_dir))
-    daily.rebuild(spark, lake, warehouse, upto=last - timedelta(days=1))
+    daily.rebuild(spark, lake, warehouse, upto=last - timedelta(days=1), typed=True)
     for _ in range(2):
-        daily.run_daily(spark, lake, warehouse, last)
+        daily.run_daily(spark, lake, warehouse, last, typed=True)
     zero = F.lit(0).cast("double")
     event_rows = daily.read_fact_events(spark, warehouse).groupBy("event_date").agg(
         F.count("*").alias("n"), F.sum("user_sk").alias("sk_sum"), F.max("event_sk").alias("top_sk")
