@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -196,3 +198,77 @@ STAGING_RULES = {
     "amount": "amount",
     "categories": {"event_type": EVENT_TYPES, "platform": PLATFORMS},
 }
+
+
+@dataclass(frozen=True)
+class TableRules:
+    """The tests declared for one table."""
+
+    required: Sequence[str] = ()
+    unique: Sequence[str] = ()
+    accepted: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    not_negative: Sequence[str] = ()
+    # Column -> (parent table, parent column).
+    parents: Mapping[str, tuple[str, str]] = field(default_factory=dict)
+
+
+# The tests the warehouse tables and the staged events must pass.
+WAREHOUSE_RULES = {
+    "dim_user": TableRules(required=("user_sk", "user_id", "is_current"), unique=("user_sk",)),
+    "fact_events": TableRules(
+        required=("event_id", "user_sk", "event_date"),
+        unique=("event_id",),
+        accepted={"platform": PLATFORMS},
+        parents={"user_sk": ("dim_user", "user_sk")},
+    ),
+    "fact_orders": TableRules(
+        required=("order_id", "order_amount"),
+        unique=("order_id",),
+        not_negative=("order_amount",),
+    ),
+    "stg_events": TableRules(
+        required=("event_id", "user_id", "event_type", "event_timestamp"),
+        unique=("event_id",),
+        accepted={"event_type": EVENT_TYPES},
+    ),
+}
+
+
+def _rule_rows(table: str, tables: Mapping[str, DataFrame], rules: TableRules) -> list[DataFrame]:
+    df = tables[table]
+    counts = {f"not_null: {c}": F.col(c).isNull() for c in rules.required}
+    counts |= {
+        f"accepted_values: {c}": ~F.col(c).isin(list(allowed))
+        for c, allowed in rules.accepted.items()
+    }
+    counts |= {f"not_negative: {c}": F.col(c) < 0 for c in rules.not_negative}
+    scalar = df.agg(*(F.count_if(bad).alias(f"c{i}") for i, bad in enumerate(counts.values())))
+    parts = [_stack(scalar, [(label, f"c{i}") for i, label in enumerate(counts)])]
+    for column in rules.unique:
+        repeated = duplicate_keys(df, [column]).agg(F.count("*").alias("failing_rows"))
+        parts.append(repeated.select(F.lit(f"unique: {column}").alias("check"), "failing_rows"))
+    for column, (parent, parent_column) in rules.parents.items():
+        lost = orphans(df, tables[parent], column, parent_column)
+        lost = lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failing_rows"))
+        parts.append(lost.select(F.lit(f"relationships: {column}").alias("check"), "failing_rows"))
+    return [part.select(F.lit(table).alias("checked_table"), "*") for part in parts]
+
+
+def declared_checks(
+    tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules] = WAREHOUSE_RULES
+) -> DataFrame:
+    """Every declared test of the given tables: one row each, with its failures.
+
+    Missing values, value sets and signs of a table share one pass. ``unique``
+    counts values that occur more than once, the other tests count rows.
+    """
+    parts = [
+        part
+        for table in tables
+        if table in rules
+        for part in _rule_rows(table, tables, rules[table])
+    ]
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.select(
+        "checked_table", "check", (F.col("failing_rows") == 0).alias("passed"), "failing_rows"
+    )

@@ -454,4 +454,37 @@ t AS (
 SELECT 'empty_interval' AS "check", e = 0 AS passed, e AS failing_rows FROM t
 UNION ALL SELECT 'overlap', o = 0, o FROM t
 UNION ALL SELECT 'not_one_current', c = 0, c FROM t""",
+    "dq_declared": _with(SQL_EVENTS, SQL_DIRTY, _history("ev", "hist"))
+    + f""", kept AS (SELECT ev.*, user_sk, valid_to FROM ev JOIN hist AS h ON {_PIT}),
+n AS (SELECT (SELECT COUNT(*) FROM kept WHERE valid_to IS NULL) AS lost,
+             (SELECT COUNT(*) FROM dirty WHERE user_id IS NULL) AS no_user,
+             (SELECT COUNT(*) FROM dirty WHERE event_type = 'share') AS bad_type,
+             (SELECT COUNT(*) FROM (SELECT event_id FROM dirty GROUP BY event_id
+                                    HAVING COUNT(*) > 1) AS r) AS twice),
+found AS (
+  SELECT r.*, CASE mark WHEN 'lost' THEN lost WHEN 'no_user' THEN no_user
+                        WHEN 'bad_type' THEN bad_type WHEN 'twice' THEN twice ELSE 0
+              END AS failing_rows
+  FROM n, (VALUES
+    ('dim_user', 'not_null: user_sk', ''), ('dim_user', 'not_null: user_id', ''),
+    ('dim_user', 'not_null: is_current', ''), ('dim_user', 'unique: user_sk', ''),
+    ('fact_events', 'not_null: event_id', ''), ('fact_events', 'not_null: user_sk', ''),
+    ('fact_events', 'not_null: event_date', ''), ('fact_events', 'accepted_values: platform', ''),
+    ('fact_events', 'unique: event_id', ''), ('fact_events', 'relationships: user_sk', 'lost'),
+    ('fact_orders', 'not_null: order_id', ''), ('fact_orders', 'not_null: order_amount', ''),
+    ('fact_orders', 'not_negative: order_amount', ''), ('fact_orders', 'unique: order_id', ''),
+    ('stg_events', 'not_null: event_id', ''), ('stg_events', 'not_null: user_id', 'no_user'),
+    ('stg_events', 'not_null: event_type', ''), ('stg_events', 'not_null: event_timestamp', ''),
+    ('stg_events', 'accepted_values: event_type', 'bad_type'),
+    ('stg_events', 'unique: event_id', 'twice')) AS r(checked_table, "check", mark))
+SELECT checked_table, "check", failing_rows = 0 AS passed, failing_rows FROM found""",
+    "snapshot_views": _with(SQL_EVENTS, _SNAP)
+    + """, numbered AS (
+  SELECT ev.*, snap.preferred_platform, event_type = 'purchase' AND amount > 0 AS sold,
+         ROW_NUMBER() OVER (ORDER BY event_timestamp, event_id) AS event_sk
+  FROM ev JOIN snap ON ev.user_id = snap.user_id)
+SELECT event_date AS calendar_date, dayname(event_date) AS day_name, preferred_platform,
+       COUNT(*) AS events, COUNT(*) FILTER (sold) AS orders,
+       CAST(SUM(amount) FILTER (sold) AS DOUBLE) AS revenue, MAX(event_sk) AS top_sk
+FROM numbered GROUP BY event_date, preferred_platform""",
 }

@@ -22,7 +22,7 @@ from tidemark.operators.scd2 import (
     scd2_merge,
 )
 from tidemark.operators.skew import skewed_join
-from tidemark.plans import daily, dims, facts, marts
+from tidemark.plans import daily, dims, facts, marts, warehouse
 from tidemark.schemas import DEFAULTS, EVENT_TYPES, FACT_ORDERS, PLATFORMS, conform
 from tidemark.sources.events import partition_inventory, read_day, read_events, typed_columns
 from tidemark.sources.scratch import new_folder
@@ -477,22 +477,22 @@ def orders_snapshot(spark, sf_dir):
 @query
 def daily_load(spark, sf_dir):
     """Rebuild every day but the last from the lake, load the last one, and rerun it."""
-    lake, warehouse = _lake(spark, sf_dir), new_folder(spark, "warehouse")
+    lake, target = _lake(spark, sf_dir), new_folder(spark, "warehouse")
     last = _newest_day(events(spark, sf_dir))
-    daily.rebuild(spark, lake, warehouse, upto=last - timedelta(days=1), typed=True)
+    daily.rebuild(spark, lake, target, upto=last - timedelta(days=1), typed=True)
     for _ in range(2):
-        daily.run_daily(spark, lake, warehouse, last, typed=True)
+        daily.run_daily(spark, lake, target, last, typed=True)
     zero = F.lit(0).cast("double")
-    event_rows = daily.read_fact_events(spark, warehouse).groupBy("event_date").agg(
+    event_rows = daily.read_fact_events(spark, target).groupBy("event_date").agg(
         F.count("*").alias("n"), F.sum("user_sk").alias("sk_sum"), F.max("event_sk").alias("top_sk")
     )
-    order_rows = daily.read_fact_orders(spark, warehouse).groupBy("order_date").agg(
+    order_rows = daily.read_fact_orders(spark, target).groupBy("order_date").agg(
         F.count("*").alias("n"),
         F.sum("user_sk").alias("sk_sum"),
         F.max("order_sk").alias("top_sk"),
         F.sum("order_amount").cast("double").alias("amount"),
     )
-    users = daily.read_dim_user(spark, warehouse)
+    users = daily.read_dim_user(spark, target)
     user_rows = users.groupBy(F.to_date("valid_from").alias("day")).agg(
         F.count("*").alias("n"), F.sum("user_sk").alias("sk_sum"), F.max("user_sk").alias("top_sk")
     )
@@ -590,3 +590,41 @@ def dq_gate(spark, sf_dir):
 @query
 def dq_scd2_intervals(spark, sf_dir):
     return interval_problems(scd2_history(events(spark, sf_dir), surrogate=None))
+
+
+@query
+def dq_declared(spark, sf_dir):
+    """All declared tests; open versions are left out of the parent so that some facts fail."""
+    rows = events(spark, sf_dir)
+    history = scd2_history(rows)
+    products = dims.dim_product(spark)
+    return quality.declared_checks(
+        {
+            "dim_user": history.where(~F.col("is_current")),
+            "fact_events": facts.load_fact_events(rows, history, keyed=False),
+            "fact_orders": facts.load_fact_orders(rows, history, products, keyed=False),
+            "stg_events": dirty_events(spark, sf_dir),
+        }
+    )
+
+
+@query
+def snapshot_views(spark, sf_dir):
+    """SQL over the views of a warehouse taken straight from the lake."""
+    tables = warehouse.snapshot_tables(spark, _lake(spark, sf_dir), typed=True)
+    warehouse.register_views(tables, "snap_")
+    return _plain(
+        spark.sql(
+            """
+            SELECT d.calendar_date, d.day_name, u.preferred_platform,
+                   COUNT(*) AS events, COUNT(o.order_id) AS orders,
+                   SUM(o.order_amount) AS revenue, MAX(e.event_sk) AS top_sk
+            FROM snap_fact_events e
+            JOIN snap_dim_user u ON e.user_sk = u.user_sk
+            JOIN snap_dim_date d ON d.calendar_date = e.event_date
+            LEFT JOIN snap_fact_orders o
+              ON o.event_id = e.event_id AND o.order_date = e.event_date
+            GROUP BY d.calendar_date, d.day_name, u.preferred_platform
+            """
+        )
+    )
