@@ -3,9 +3,10 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.quality import DataQualityError
+from tidemark.operators.quality import DataQualityError, declared_checks
 from tidemark.operators.scd2 import interval_problems, scd2_history
 from tidemark.plans import daily
+from tidemark.plans.warehouse import loaded_tables, register_views, snapshot_tables
 from tidemark.sources.sinks import write_parquet_lake
 
 
@@ -59,6 +60,25 @@ def test_rerun_changes_nothing(spark, warehouse):
     assert _state(spark, path) == before
 
 
+def test_tables_answer_sql(spark, warehouse):
+    _, lake, path = warehouse
+    for day in (1, 2, 3):
+        daily.run_daily(spark, lake, path, f"2024-01-0{day}")
+    register_views(loaded_tables(spark, path), "loaded_")
+    register_views(snapshot_tables(spark, lake), "snap_")
+    for prefix, count in (("loaded_", 9), ("snap_", 10)):
+        rows = spark.sql(
+            f"""SELECT COUNT(*) AS n, COUNT(o.order_sk) AS orders, MAX(p.category) AS category
+            FROM {prefix}fact_events e
+            JOIN {prefix}dim_date d ON d.calendar_date = e.event_date
+            LEFT JOIN {prefix}fact_orders o ON o.event_id = e.event_id
+            LEFT JOIN {prefix}dim_product p ON p.product_sk = o.product_sk"""
+        ).collect()
+        assert [tuple(r) for r in rows] == [(count, 3, "digital_goods")]
+    checks = declared_checks(loaded_tables(spark, path)).collect()
+    assert len(checks) == 14 and all(c.passed for c in checks)
+
+
 def test_missing_day_is_skipped(spark, warehouse):
     _, lake, path = warehouse
     assert daily.run_daily(spark, lake, path, "2024-02-01") == "missing"

@@ -123,7 +123,7 @@ def test_interval_problems_are_counted(spark):
     assert got == {"empty_interval": 1, "overlap": 1, "not_one_current": 1}
 
 
-@pytest.mark.parametrize("hot", [[], ["u"]])
+@pytest.mark.parametrize("hot", [{}, {"u": 16}])
 def test_point_in_time_bounds(staged, hot):
     rows = staged(
         [

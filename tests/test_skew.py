@@ -30,17 +30,28 @@ def dim(spark):
 
 def test_hot_keys_are_found(monkeypatch, uneven):
     monkeypatch.setattr(skew, "SMALL_BYTES", 0)
-    assert hot_keys(uneven, "user_id") == []  # fewer rows than are worth splitting
     big = uneven.union(uneven)
-    assert hot_keys(big, "user_id", share=0.01) == ["hot"]
+    assert hot_keys(big, "user_id", share=0.01) == {"hot": 4}
+    monkeypatch.setattr(skew, "WORTH_SPLITTING", 100)
+    assert hot_keys(big, "user_id", share=0.01) == {"hot": 128}
+    monkeypatch.setattr(skew, "WORTH_SPLITTING", 1_000_000)
+    assert hot_keys(big, "user_id", share=0.01) == {}
+
+
+def test_keys_are_found_in_sparse_partitions(spark, monkeypatch, uneven):
+    monkeypatch.setattr(skew, "SMALL_BYTES", 0)
+    monkeypatch.setattr(skew, "WORTH_SPLITTING", 100)
+    few = uneven.where("user_id = 'hot'").coalesce(1)
+    assert set(hot_keys(few.union(uneven.where("event_id = 1")), "user_id")) == {"hot"}
+    assert hot_keys(uneven.where("event_id < 0"), "user_id") == {}
 
 
 def test_small_inputs_are_not_searched(uneven):
-    assert hot_keys(uneven, "user_id") == []
+    assert hot_keys(uneven, "user_id") == {}
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot", [[], ["hot"], ["hot", "u1", "not there"]])
+@pytest.mark.parametrize("hot", [{}, {"hot": 64}, {"hot": 64, "u1": 2, "not there": 8}])
 def test_join_equals_the_plain_join(spark, uneven, dim, how, hot):
     got = skewed_join(uneven, dim, "user_id", how=how, spread_by=["event_id"], hot=hot)
     want = uneven.join(dim, "user_id", how).select("event_id", "user_id", "sk")
@@ -51,7 +62,7 @@ def test_join_equals_the_plain_join(spark, uneven, dim, how, hot):
 
 def test_right_join_keeps_every_key(uneven, dim):
     got = (
-        skewed_join(uneven, dim, "user_id", how="right", spread_by=["event_id"], hot=["hot"])
+        skewed_join(uneven, dim, "user_id", how="right", spread_by=["event_id"], hot={"hot": 64})
         .groupBy("user_id", "sk")
         .agg(F.min("event_id").alias("first"))
     )
@@ -66,7 +77,7 @@ def test_hot_rows_are_spread(spark, uneven, dim):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", False)
     try:
-        for hot, fair in ((["hot"], True), ([], False)):
+        for hot, fair in (({"hot": 64}, True), ({}, False)):
             joined = skewed_join(uneven, dim, "user_id", spread_by=["event_id"], hot=hot)
             sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
             largest = max(r["count"] for r in sizes) / sum(r["count"] for r in sizes)

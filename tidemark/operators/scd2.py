@@ -192,7 +192,7 @@ def pit_join(
     how: str = "inner",
     take: Sequence[str] = ("user_sk",),
     spread_by: Sequence[str] = ("event_id",),
-    hot: list | None = None,
+    hot: dict | None = None,
 ) -> DataFrame:
     """Attach the version valid at each fact's time: ``valid_from <= ts < valid_to``.
 

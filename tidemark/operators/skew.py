@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ HOT_SHARE = 0.001  # a key with more rows than this share gets split
 TRACKED = 8192  # counters per frequent-items sketch; its error is far below HOT_SHARE
 LANES = 64  # tasks that merge sketches
 WORTH_SPLITTING = 10_000  # rows
-SALTS = 64  # pieces a hot key is split into
+MOST_PIECES = 4096
+NULL_PIECES = 1024  # rows without a key match nothing, so spreading them is free
 SMALL_BYTES = 256 << 20  # below this no single key can overload a task
 
 
@@ -29,16 +31,19 @@ def _broadcast_limit(df: DataFrame) -> int:
         return -1
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Keys that hold more than about ``share`` of the rows; at most ``1 / share`` of them.
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
+    """Keys that hold more than about ``share`` of the rows, and into how many pieces to split each.
+
+    There are at most ``1 / share`` of them, with pieces, a power of two, of about
+    ``share`` of the rows each.
 
     Every task keeps a frequent-items sketch, ``LANES`` tasks merge them, and the
-    driver adds up the few top keys of each. The list steers how rows are spread,
+    driver adds up the few top keys of each. The answer steers how rows are spread,
     never which rows are kept, and is fixed here so that both sides of a join agree
     on it. Inputs too small for any key to matter are not looked at.
     """
     if estimated_bytes(df) < SMALL_BYTES:
-        return []
+        return {}
     most = int(1 / share)
     lanes = (
         df.where(F.col(key).isNotNull())
@@ -55,7 +60,22 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
             counts[item["item"]] += item["count"]
     # A key is only worth splitting when its share of the rows fills several tasks.
     floor = max(share * sum(lane.n for lane in lanes), WORTH_SPLITTING)
-    return [item for item, n in counts.most_common(most) if n > floor]
+    return {
+        item: min(2 ** ceil(log2(n / floor) + 1), MOST_PIECES)
+        for item, n in counts.most_common(most)
+        if n > floor
+    }
+
+
+def _pieces(key: Column, hot: dict) -> Column:
+    """How many pieces the rows of a key are split into; 1 for most keys."""
+    by_count: dict[int, list] = {}
+    for item, pieces in hot.items():
+        by_count.setdefault(pieces, []).append(item)
+    chosen = F.lit(1)
+    for pieces, items in by_count.items():
+        chosen = F.when(key.isin(items), F.lit(pieces)).otherwise(chosen)
+    return chosen
 
 
 def skewed_join(
@@ -65,16 +85,16 @@ def skewed_join(
     also: Column | None = None,
     how: str = "inner",
     spread_by: Sequence[str] = (),
-    hot: list | None = None,
+    hot: dict | None = None,
 ) -> DataFrame:
     """Join ``facts`` to the few rows per key of ``dim`` without overloading a task.
 
-    Rows of a hot or NULL key are spread over ``SALTS`` pieces by a hash of
-    ``spread_by``; the dimension rows of hot keys are repeated once per piece.
-    All other keys keep a single piece, so the usual join strategies apply.
-    ``also`` is a further condition between columns of the two sides; they may
-    share no column name but the key. A ``right`` join keeps every key of
-    ``dim``, once per piece where it is hot: aggregate it with min or max only.
+    Rows of a hot or NULL key are spread over pieces by a hash of ``spread_by``;
+    the dimension rows of hot keys are repeated once per piece. All other keys
+    keep a single piece, so the usual join strategies apply. ``also`` is a further
+    condition between columns of the two sides; they may share no column name but
+    the key. A ``right`` join keeps every key of ``dim``, once per piece where it
+    is hot: aggregate it with min or max only.
     """
     if how not in ("inner", "left", "right"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -82,20 +102,16 @@ def skewed_join(
         # A side that Spark broadcasts leaves the facts where they are; a right
         # join keeps every row of ``dim`` and cannot broadcast it.
         sent = how != "right" and estimated_bytes(dim) <= _broadcast_limit(facts)
-        hot = [] if sent else hot_keys(facts, key)
-    right = dim.withColumnRenamed(key, "__key")
-    if not hot and how != "left":
-        left = facts
-        cond = F.col(key) == F.col("__key")
-    else:
-        piece = F.pmod(F.xxhash64(*(spread_by or facts.columns)), F.lit(SALTS)).cast("int")
-        split = F.col(key).isNull() | F.col(key).isin(hot) if hot else F.col(key).isNull()
-        left = facts.withColumn("__piece", F.when(split, piece).otherwise(F.lit(0)))
-        once = F.array(F.lit(0))
-        every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-        pieces = F.when(F.col("__key").isin(hot), every).otherwise(once) if hot else once
-        right = right.withColumn("__dim_piece", F.explode(pieces))
-        cond = (F.col(key) == F.col("__key")) & (F.col("__piece") == F.col("__dim_piece"))
+        hot = {} if sent else hot_keys(facts, key)
+    left, right = facts, dim.withColumnRenamed(key, "__key")
+    cond = F.col(key) == F.col("__key")
+    if hot or how == "left":
+        pieces = F.when(F.col(key).isNull(), F.lit(NULL_PIECES)).otherwise(_pieces(F.col(key), hot))
+        piece = F.pmod(F.xxhash64(*(spread_by or facts.columns)), pieces).cast("int")
+        left = facts.withColumn("__piece", piece)
+        last = _pieces(F.col("__key"), hot) - F.lit(1)
+        right = right.withColumn("__dim_piece", F.explode(F.sequence(F.lit(0), last)))
+        cond = cond & (F.col("__piece") == F.col("__dim_piece"))
     if also is not None:
         cond = cond & also
     joined = left.join(right, cond, how)
