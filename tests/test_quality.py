@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quality
 from tidemark.operators.quality import DataQualityError
-from tidemark.schemas import EVENT_TYPES
+from tidemark.schemas import EVENT_TYPES, UUID_PATTERN
 
 
 @pytest.fixture
@@ -100,3 +100,13 @@ def test_gate(clean):
     broken = clean.withColumn("user_id", F.lit(None).cast("string"))
     with pytest.raises(DataQualityError, match="missing_required=100"):
         quality.gate(broken)
+
+
+def test_text_limits(spark):
+    rows = [("6f1c2d3e-0000-4000-8000-00000000abcd", "US"), ("evt_1", "LONGER"), (None, None)]
+    df = spark.createDataFrame(rows, "event_id string, country string")
+    got = quality.text_limits(df, {"country": 4}, {"event_id": UUID_PATTERN}).collect()
+    assert [(r.check, r.failing_rows) for r in got] == [
+        ("max_length: country", 1),
+        ("pattern: event_id", 1),
+    ]

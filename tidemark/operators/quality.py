@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.schemas import EVENT_TYPES, PLATFORMS
+from tidemark.schemas import EVENT_TYPES, MAX_LENGTHS, PLATFORMS
 
 
 class DataQualityError(ValueError):
@@ -31,6 +31,22 @@ def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.select("check", (F.col("failing_rows") == 0).alias("passed"), "failing_rows")
 
 
+def text_limits(
+    df: DataFrame,
+    longest: Mapping[str, int] = MAX_LENGTHS,
+    patterns: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Rows whose text is too long or does not match its pattern, per column, in one pass.
+
+    NULL passes. ``schemas.UUID_PATTERN`` is the pattern of ids that must be UUIDs.
+    """
+    bad = {f"max_length: {c}": F.length(c) > n for c, n in longest.items()}
+    bad |= {f"pattern: {c}": ~F.col(c).rlike(p) for c, p in (patterns or {}).items()}
+    counts = df.agg(*(F.count_if(cond).alias(f"c{i}") for i, cond in enumerate(bad.values())))
+    rows = _stack(counts, [(label, f"c{i}") for i, label in enumerate(bad)])
+    return rows.select("check", (F.col("failing_rows") == 0).alias("passed"), "failing_rows")
+
+
 def duplicate_keys(df: DataFrame, columns: Sequence[str], nulls: str = "ignore") -> DataFrame:
     """Keys that occur more than once, with their count.
 

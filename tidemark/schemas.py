@@ -34,6 +34,17 @@ PRODUCT_CATALOG = (
     (10, "ad_credit", "100.00"),
 )
 
+# Longest text allowed per staged column.
+MAX_LENGTHS = {
+    "user_id": 32,
+    "event_type": 32,
+    "platform": 16,
+    "country": 4,
+    "product_id": 32,
+    "session_id": 64,
+}
+UUID_PATTERN = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+
 MONEY = T.DecimalType(10, 2)
 
 

@@ -69,8 +69,12 @@ def read_raw(
         lake = lake.where(F.col(PARTITION).isin([as_date(d) for d in days]))
     if typed or fmt == "json":
         return lake
-    held = lake.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
-    odd = _files_without_product(spark, sorted(row.file for row in held))
+    if days is None:
+        files = lake.inputFiles()
+    else:
+        held = lake.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
+        files = [row.file for row in held]
+    odd = _files_without_product(spark, sorted(files))
     if not odd:
         return lake
     # The odd files hold no product at all: read every other column from them.

@@ -487,4 +487,18 @@ SELECT event_date AS calendar_date, dayname(event_date) AS day_name, preferred_p
        COUNT(*) AS events, COUNT(*) FILTER (sold) AS orders,
        CAST(SUM(amount) FILTER (sold) AS DOUBLE) AS revenue, MAX(event_sk) AS top_sk
 FROM numbered GROUP BY event_date, preferred_platform""",
+    "dq_text_limits": _EV
+    + " UNION ALL ".join(
+        f"SELECT '{label}' AS \"check\", COUNT(*) FILTER ({bad}) = 0 AS passed, "
+        f"COUNT(*) FILTER ({bad}) AS failing_rows FROM ev"
+        for label, bad in (
+            ("max_length: user_id", "length(user_id) > 32"),
+            ("max_length: event_type", "length(event_type) > 5"),
+            ("max_length: platform", "length(platform) > 16"),
+            ("max_length: country", "length(country) > 4"),
+            ("max_length: product_id", "length(product_id) > 32"),
+            ("max_length: session_id", "length(session_id) > 64"),
+            ("pattern: event_id", "event_type = 'purchase'"),
+        )
+    ),
 }

@@ -23,7 +23,15 @@ from tidemark.operators.scd2 import (
 )
 from tidemark.operators.skew import skewed_join
 from tidemark.plans import daily, dims, facts, marts, warehouse
-from tidemark.schemas import DEFAULTS, EVENT_TYPES, FACT_ORDERS, PLATFORMS, conform
+from tidemark.schemas import (
+    DEFAULTS,
+    EVENT_TYPES,
+    FACT_ORDERS,
+    MAX_LENGTHS,
+    PLATFORMS,
+    UUID_PATTERN,
+    conform,
+)
 from tidemark.sources.events import partition_inventory, read_day, read_events, typed_columns
 from tidemark.sources.scratch import new_folder
 from tidemark.sources.sinks import (
@@ -592,6 +600,20 @@ def dq_scd2_intervals(spark, sf_dir):
     return interval_problems(scd2_history(events(spark, sf_dir), surrogate=None))
 
 
+@query
+def dq_text_limits(spark, sf_dir):
+    """Purchases keep their number as id, which is no UUID; two event types exceed five letters."""
+    digest = F.md5(F.col("event_id").cast("string"))
+    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    uuid = F.concat_ws("-", *(F.substring(digest, start, size) for start, size in cuts))
+    is_purchase = F.col("event_type") == "purchase"
+    rows = events(spark, sf_dir).withColumn(
+        "event_id", F.when(is_purchase, F.col("event_id").cast("string")).otherwise(uuid)
+    )
+    limits = {**MAX_LENGTHS, "event_type": 5}
+    return quality.text_limits(rows, limits, {"event_id": UUID_PATTERN})
+
+
 @query
 def dq_declared(spark, sf_dir):
     """All declared tests; open versions are left out of the parent so that some facts fail."""
