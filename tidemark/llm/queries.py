@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, packing, simhash, substrings
+from tidemark.llm import (
+    langid,
+    licenses,
+    mixing,
+    packing,
+    quality_rules,
+    simhash,
+    spotsigs,
+    substrings,
+    token_shards,
+    warc,
+)
+from tidemark.llm.licenses_sql import LICENSES
+from tidemark.llm.mixing_sql import MIX
+from tidemark.llm.quality_sql import QUALITY
+from tidemark.sources.scratch import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,15 +31,37 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.against_edits(_table(spark, sf_dir, "documents"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = mixing.mix(mixing.leaves_of(_table(spark, sf_dir, "documents")))
+    epoch = F.col("epoch").cast("bigint").alias("epoch")
+    return chosen.select("doc_id", "domain", "lang", "source", "tokens", epoch)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digest(_table(spark, sf_dir, "documents"))
 
 
+def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.write_shards(_table(spark, sf_dir, "documents"), new_folder(spark, "shards"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
@@ -37,14 +74,35 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    derived = warc.derive(warc.responses(_table(spark, sf_dir, "pages")))
+    return derived.select(
+        *[c for c in derived.columns if c != "block"],
+        F.octet_length("block").cast("bigint").alias("content_length"),
+        F.col("block").cast("string").alias("content"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
+        op1_document_fingerprints,
+        op2_license_scan,
         op3_simhash_near_dedup,
+        op4_quality_rules,
+        op5_mixing,
         op6_packing,
+        op7_token_shards,
         op8_language_id,
         op9_substring_dedup,
+        op10_warc_derivatives,
     )
 }
 
-SQL: dict[str, str] = {}
+# The others hash, tokenise, learn or parse in ways that SQL cannot express; tests hold
+# them against brute force.
+SQL: dict[str, str] = {
+    "op2_license_scan": LICENSES,
+    "op4_quality_rules": QUALITY,
+    "op5_mixing": MIX,
+}
