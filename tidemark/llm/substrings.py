@@ -19,27 +19,33 @@ passage that a third of all documents share costs a row per task, not one per do
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.common import map_batches, partitions
+from tidemark.llm.common import SPACES, map_batches, partitions
 from tidemark.sources.scratch import pin
 
 WINDOW = 13
 PREFIX = 7
 # A task gathers this many prefixes before it sorts and sends them.
 _FLUSH = 2_000_000
-_CACHED_WORDS = 400_000
+_BLOCK = 1 << 18  # bytes of text that are hashed at once
+_TEXT_BYTES = 4 << 20  # of texts whose windows are looked at together
+_BASE = 0xD6E8FEB86659FD93
 _SPARK_SEED = 42  # of Spark's xxhash64
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD2 = np.uint64(0xC2B2AE3D27D4EB4F)
 _TWIST = np.uint64(0x165667B19E3779F9)
+_ONE = np.uint64(1)
+_NO_SPACE = np.ones(256, np.bool_)
+_NO_SPACE[[ord(c) for c in SPACES]] = False
 
 # What a row without a sender holds.
 _HIT, _DOCUMENT = -1, -2
@@ -47,19 +53,28 @@ _OUT = pa.schema([("target", pa.int32()), ("origin", pa.int32()), ("body", pa.bi
 _ROWS = "target int, origin int, body binary"
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+def _powers(base: int) -> np.ndarray:
+    """1, base, base squared, … modulo 2 ** 64, one more than a block has bytes."""
+    table = np.full(_BLOCK + 1, base, np.uint64)
+    table[0] = 1
+    return np.cumprod(table, dtype=np.uint64)
 
 
-_words = _WordHashes()
+class _PowerTable:
+    """Powers of an odd number and of its inverse, grown for words longer than a block."""
 
+    def __init__(self) -> None:
+        self.up, self.down = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
 
-def word_hashes(words: Sequence[bytes]) -> np.ndarray:
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    def reach(self, size: int) -> None:
+        while len(self.up) <= size:
+            n = len(self.up)
+            self.up, self.down = (
+                np.concatenate((t, t[1:n] * t[n - 1])) for t in (self.up, self.down)
+            )
+
+
+_table: list[_PowerTable] = []
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -68,21 +83,89 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+class Words:
+    """Hashes of all words of a string column, document after document.
+
+    A word's hash is a polynomial of its bytes, from differences of running sums over the
+    column's own buffer, so no word becomes an object.
+    """
+
+    def __init__(self, texts: pa.Array):
+        texts = texts.fill_null("")
+        wide = pa.types.is_large_string(texts.type)
+        _, places, body = texts.buffers()
+        offsets = np.frombuffer(places, np.int64 if wide else np.int32) if places else np.zeros(1, np.int32)
+        offsets = offsets[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        low, high = (int(offsets[0]), int(offsets[-1])) if len(texts) else (0, 0)
+        octets = np.frombuffer(body, np.uint8)[low:high] if body else np.empty(0, np.uint8)
+        starts, stops = _word_edges(octets, offsets - low)
+        self.counts = np.diff(np.searchsorted(starts, offsets - low)) if len(texts) else np.empty(0, np.int64)
+        self.owner = np.repeat(np.arange(len(texts), dtype=np.int64), self.counts)
+        self.first = np.concatenate(([0], np.cumsum(self.counts)))
+        self.hashes = _hashed(octets, starts, stops)
+
+
+def _word_edges(octets: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and end; a document's end also ends a word."""
+    inside = _NO_SPACE[octets]
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    at = offsets[(offsets > 0) & (offsets < len(octets))]
+    begins[at], ends[at - 1] = inside[at], inside[at - 1]
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def _hashed(octets: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    if not _table:
+        _table.append(_PowerTable())
+    table = _table[0]
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        low = int(starts[first])
+        last = max(first + 1, int(np.searchsorted(stops, low + _BLOCK, "right")))
+        high = int(stops[last - 1])
+        table.reach(high - low)
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum((octets[low:high].astype(np.uint64) + _ONE) * table.up[: high - low], out=sums[1:])
+        begin, end = starts[first:last] - low, stops[first:last] - low
+        out[first:last] = (sums[end] - sums[begin]) * table.down[begin]
+        first = last
+    return _mixed(out + (stops - starts).astype(np.uint64) * _TWIST)
+
+
 def rolling(hashes: np.ndarray, size: int, factor: np.uint64 = _ODD) -> np.ndarray:
-    """A 64-bit hash of every ``size`` consecutive words."""
+    """A 64-bit hash of every ``size`` consecutive words, put together from powers of two."""
     n = len(hashes) - size + 1
-    total = np.zeros(max(n, 0), np.uint64)
-    for i in range(size):
-        total = total * factor + hashes[i : i + n]
+    if n < 1:
+        return np.empty(0, np.uint64)
+    total, done = np.zeros(n, np.uint64), 0
+    part, width, power = hashes, 1, factor
+    while width <= size:
+        if size & width:
+            # The places already covered come first; this part follows them.
+            total = total * power + part[done : done + n]
+            done += width
+        if 2 * width <= size:
+            part = part[:-width] * power + part[width:]
+        width, power = 2 * width, power * power
     return _mixed(total)
 
 
-def anchors(hashes: np.ndarray, window: int = WINDOW, prefix: int = PREFIX):
-    """Prefix hashes at all places, and for each window the place of its least prefix."""
-    grams = rolling(hashes, prefix)
-    span = window - prefix + 1
-    views = np.lib.stride_tricks.sliding_window_view(grams, span)
-    return grams, views.argmin(axis=1) + np.arange(len(views))
+def anchors(words: Words, window: int = WINDOW, prefix: int = PREFIX):
+    """Windows that lie in one document, each with its least prefix's place, and all prefixes."""
+    n = len(words.hashes) - window + 1
+    if n < 1:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+    grams = rolling(words.hashes, prefix)
+    least, place = grams[:n].copy(), np.arange(n)
+    for step in range(1, window - prefix + 1):
+        less = grams[step : step + n] < least
+        np.copyto(least, grams[step : step + n], where=less)
+        np.copyto(place, np.arange(step, step + n), where=less)
+    at = np.flatnonzero(words.owner[:n] == words.owner[window - 1 :])
+    return at, place[at], grams
 
 
 def _runs(*keys: np.ndarray) -> np.ndarray:
@@ -148,14 +231,13 @@ def _send_prefixes(buckets: int, window: int, prefix: int):
         ids: list[np.ndarray] = []
         held = 0
         for batch in batches:
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = text.encode().split()
-                if len(words) < window:
-                    continue
-                grams, places = anchors(word_hashes(words), window, prefix)
-                chosen = np.unique(grams[_distinct(places)])
-                keys.append(chosen)
-                ids.append(np.full(len(chosen), doc_id, np.int64))
+            for part in _parts(batch):
+                words = Words(part.column(1))
+                _, places, grams = anchors(words, window, prefix)
+                chosen = _distinct(places)
+                keys.append(grams[chosen])
+                numbers = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                ids.append(numbers[words.owner[chosen]])
                 held += len(chosen)
                 if held >= _FLUSH:
                     yield from flush(keys, ids)
@@ -179,6 +261,15 @@ def _send_prefixes(buckets: int, window: int, prefix: int):
     return work
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with not much more than ``_TEXT_BYTES`` of text each."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    groups = np.cumsum(sizes.astype(np.int64)) // _TEXT_BYTES
+    edges = _runs(groups)
+    for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield batch.slice(start, stop - start)
+
+
 def _distinct(places: np.ndarray) -> np.ndarray:
     """Places in rising order, each once; windows choose in rising order."""
     return places[np.concatenate(([True], places[1:] != places[:-1]))] if len(places) else places
@@ -229,57 +320,46 @@ class _Group:
     from the documents alone, so a second task that sees them finds the same nodes.
     """
 
-    def __init__(self, ids: list, texts: list[str], hits: list[bytes], window: int, prefix: int):
+    def __init__(self, docs: pa.Table, hits: list[bytes], window: int, prefix: int):
         self.window = window
         shared = [_unpack(h, 2) for h in hits]
-        key = np.concatenate([s[0] for s in shared]) if shared else np.empty(0, np.uint64)
-        doc = np.concatenate([s[1] for s in shared]) if shared else np.empty(0, np.uint64)
-        order = np.argsort(_signed_order(doc), kind="stable")
-        key, doc = key[order], _signed_order(doc[order])
-        self.words = [(t or "").encode().split() for t in texts]
-        high, low, owner, place = [], [], [], []
-        for i, (doc_id, words) in enumerate(zip(ids, self.words, strict=True)):
-            if doc_id is None or len(words) < window:
-                continue
-            mine = key[np.searchsorted(doc, doc_id) : np.searchsorted(doc, doc_id, "right")]
-            if not len(mine):
-                continue
-            hashes = word_hashes(words)
-            grams, places = anchors(hashes, window, prefix)
-            wanted = np.isin(grams[places], mine)
-            at = np.flatnonzero(wanted)
-            high.append(rolling(hashes, window)[at])
-            low.append(rolling(hashes ^ _TWIST, window, _ODD2)[at])
-            owner.append(np.full(len(at), i, np.int64))
-            place.append(at)
         none = [np.empty(0, np.uint64)]
-        high, low = np.concatenate(high or none), np.concatenate(low or none)
-        owner = np.concatenate(owner or none).astype(np.int64)
-        place = np.concatenate(place or none).astype(np.int64)
-        numbers = np.array([0 if d is None else d for d in ids], np.int64)
-        doc = numbers[owner]
+        key = np.concatenate([s[0] for s in shared] or none)
+        doc = np.concatenate([s[1] for s in shared] or none)
+        known = np.sort(_mixed(key + doc * _TWIST))
+        ids = docs.column(0).combine_chunks()
+        numbers = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.words = words = Words(docs.column(1).combine_chunks())
+        at, places, grams = anchors(words, window, prefix)
+        if ids.null_count:
+            named = ids.is_valid().to_numpy(zero_copy_only=False)[words.owner[at]]
+            at, places = at[named], places[named]
+        # A chance hit only adds a window that turns out not to be shared.
+        asked = _mixed(grams[places] + numbers[words.owner[at]].view(np.uint64) * _TWIST)
+        if len(known):
+            found = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+            at = at[known[found] == asked]
+        else:
+            at = at[:0]
+        high = rolling(words.hashes, window)[at] if len(at) else none[0]
+        low = rolling(words.hashes ^ _TWIST, window, _ODD2)[at] if len(at) else none[0]
+        doc = numbers[words.owner[at]]
         order = np.lexsort((doc, low, high))
-        self.owner, self.place, self.doc = owner[order], place[order], doc[order]
+        self.place, self.doc = at[order], doc[order]
         high, low = high[order], low[order]
         edges = _runs(high, low)
         self.node = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
         first = edges[:-1]
         self.high, self.low, self.least = high[first], low[first], self.doc[first]
 
-    def removed(self, elsewhere: np.ndarray) -> list[np.ndarray]:
-        """Per document, which words go. ``elsewhere``: nodes with a lesser document elsewhere."""
+    def removed(self, elsewhere: np.ndarray) -> np.ndarray:
+        """Which words go. ``elsewhere``: nodes with a lesser document elsewhere."""
         gone = (self.doc > self.least[self.node]) | elsewhere[self.node]
-        cover = [np.zeros(len(w) + 1, np.int64) for w in self.words]
-        owner, place = self.owner[gone], self.place[gone]
-        order = np.argsort(owner, kind="stable")
-        owner, place = owner[order], place[order]
-        edges = _runs(owner)
-        for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            delta = cover[owner[start]]
-            # One window starts at a place at most, so no addition is lost.
-            delta[place[start:stop]] += 1
-            delta[place[start:stop] + self.window] -= 1
-        return [np.cumsum(c)[:-1] > 0 for c in cover]
+        change = np.zeros(len(self.words.hashes) + 1, np.int64)
+        # One window starts at a place at most, so no addition is lost.
+        change[self.place[gone]] += 1
+        change[self.place[gone] + self.window] -= 1
+        return np.cumsum(change)[:-1] > 0
 
 
 def _read_group(batches: Iterator[pa.RecordBatch], kept: int):
@@ -316,8 +396,7 @@ def _send_nodes(buckets: int, window: int, prefix: int):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for origin, docs, hits, _ in _read_group(batches, 0):
-            ids, texts = docs.column(0).to_pylist(), docs.column(1).to_pylist()
-            group = _Group(ids, texts, hits, window, prefix)
+            group = _Group(docs, hits, window, prefix)
             least = group.least.view(np.uint64)
             for bucket, part in _split(_bucket(group.high, buckets), buckets):
                 body = _pack(group.high[part], group.low[part], least[part])
@@ -354,8 +433,7 @@ def _finish(buckets: int, window: int, prefix: int, kept: int, schema: pa.Schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, docs, hits, answers in _read_group(batches, kept):
-            ids, texts = docs.column(0).to_pylist(), docs.column(1).to_pylist()
-            group = _Group(ids, texts, hits, window, prefix)
+            group = _Group(docs, hits, window, prefix)
             elsewhere = np.zeros(len(group.high), bool)
             for bucket, part in _split(_bucket(group.high, buckets), buckets):
                 n = part.stop - part.start
@@ -363,15 +441,23 @@ def _finish(buckets: int, window: int, prefix: int, kept: int, schema: pa.Schema
                 if int.from_bytes(body[:8], "little") != n:
                     raise RuntimeError("a group's nodes differ from those sent before")
                 elsewhere[part] = np.unpackbits(np.frombuffer(body[8:], np.uint8), count=n)
-            spans, sizes, rest = [], [], []
-            for words, gone in zip(group.words, group.removed(elsewhere), strict=True):
-                edge = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0]))))
-                spans.append(
-                    [{"start": a, "length": b - a} for a, b in edge.reshape(-1, 2).tolist()]
-                )
-                sizes.append(len(words))
-                keep = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                rest.append(b" ".join(keep).decode())
+            removed = group.removed(elsewhere)
+            first = group.words.first.tolist()
+            some = np.add.reduceat(np.append(removed, False), group.words.first[:-1]) if len(docs) else []
+            some = np.where(group.words.counts > 0, some, 0).tolist()
+            spans, rest = [], []
+            for i, text in enumerate(docs.column(1).to_pylist()):
+                words = (text or "").encode().split()
+                if some[i]:
+                    gone = removed[first[i] : first[i + 1]]
+                    edge = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0]))))
+                    pairs = edge.reshape(-1, 2).tolist()
+                    words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+                else:
+                    pairs = []
+                spans.append([{"start": a, "length": b - a} for a, b in pairs])
+                rest.append(b" ".join(words).decode())
+            sizes = group.words.counts
             columns = [docs.column(n) for n in schema.names[:-3]]
             made = [*columns, pa.array(sizes, pa.int64())]
             made += [pa.array(spans, schema.field("repeats").type), pa.array(rest, pa.string())]
