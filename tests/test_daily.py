@@ -76,7 +76,7 @@ def test_tables_answer_sql(spark, warehouse):
         ).collect()
         assert [tuple(r) for r in rows] == [(count, 3, "digital_goods")]
     checks = declared_checks(loaded_tables(spark, path)).collect()
-    assert len(checks) == 14 and all(c.passed for c in checks)
+    assert len(checks) == 16 and all(c.passed for c in checks)
 
 
 def test_missing_day_is_skipped(spark, warehouse):
@@ -107,3 +107,102 @@ def test_gate_stops_a_bad_day_before_it_is_published(spark, warehouse, staged):
     with pytest.raises(DataQualityError, match="duplicate_keys=3"):
         daily.run_daily(spark, lake, path, "2024-01-02")
     assert _state(spark, path) == before
+
+
+def test_rerun_of_the_newest_day_after_a_rebuild(spark, warehouse):
+    _, lake, path = warehouse
+    daily.rebuild(spark, lake, path)
+    before = _state(spark, path)
+    assert daily.run_daily(spark, lake, path, "2024-01-03") == "loaded"
+    assert _state(spark, path) == before
+    for day, users in (("2024-01-01", 2), ("2024-01-02", 3), ("2024-01-03", 5)):
+        assert daily.read_dim_user(spark, path, as_of=day).count() == users
+
+
+def test_rebuild_to_a_day_drops_what_is_later(spark, warehouse, folder):
+    _, lake, path = warehouse
+    daily.rebuild(spark, lake, path)
+    daily.rebuild(spark, lake, path, upto="2024-01-02")
+    early = folder("early")
+    for day in (1, 2):
+        daily.run_daily(spark, lake, early, f"2024-01-0{day}")
+    assert _state(spark, path) == _state(spark, early)
+
+
+def test_one_event_id_on_two_days(spark, staged, folder):
+    rows = [("u", "login", f"2024-01-0{d} 08:00:00", {"event_id": "same"}) for d in (1, 2)]
+    lake, by_day, whole = folder("lake"), folder("by-day"), folder("whole")
+    write_parquet_lake(staged(rows), lake)
+    for day in (1, 2):
+        daily.run_daily(spark, lake, by_day, f"2024-01-0{day}")
+    daily.rebuild(spark, lake, whole)
+    assert _state(spark, by_day) == _state(spark, whole)
+
+
+def test_copies_of_the_open_versions_change_nothing(spark, staged, folder, monkeypatch):
+    monkeypatch.setattr(daily, "SNAPSHOT_EVERY", 2)
+    rows = []
+    for day in range(1, 8):
+        platform = "ios" if day % 2 else "web"
+        rows.append(("u", "login", f"2024-01-0{day} 08:00:00", {"platform": platform}))
+        rows.append((f"new{day}", "signup", f"2024-01-0{day} 09:00:00"))
+    lake, by_day, whole = folder("lake"), folder("by-day"), folder("whole")
+    write_parquet_lake(staged(rows), lake)
+    for day in range(1, 8):
+        daily.run_daily(spark, lake, by_day, f"2024-01-0{day}")
+    copies = daily.partition_days(spark, f"{by_day}/dim_user_open", daily.BATCH)
+    assert [d.day for d in copies] == [2, 4, 6]
+    daily.run_daily(spark, lake, by_day, "2024-01-07")
+    daily.rebuild(spark, lake, whole)
+    assert _state(spark, by_day) == _state(spark, whole)
+
+
+def test_an_emptied_day_and_a_missing_one(spark, warehouse, folder):
+    _, lake, path = warehouse
+    for day in (1, 2, 3):
+        daily.run_daily(spark, lake, path, f"2024-01-0{day}")
+    none = spark.read.parquet(f"{lake}/date=2024-01-03").where(F.lit(False))
+    none.coalesce(1).write.mode("overwrite").parquet(f"{lake}/date=2024-01-03")
+    assert daily.run_daily(spark, lake, path, "2024-01-03") == "loaded"
+    early = folder("early")
+    for day in (1, 2):
+        daily.run_daily(spark, lake, early, f"2024-01-0{day}")
+    assert _state(spark, path) == _state(spark, early)
+    assert daily.run_daily(spark, lake, path, "2024-01-04") == "missing"
+
+
+@pytest.mark.parametrize(
+    ("column", "value", "reason"),
+    [
+        ("event_date", "2024-99-99", "event_date=1"),
+        ("event_date", "2024-01-02", "event_date_unlike_folder=1"),
+        ("event_timestamp", "noon", "event_timestamp=1"),
+        ("event_timestamp", "2024-01-05T08:00:00Z", "time_outside_day=1"),
+        ("amount", 250_000_000.0, "amount=1"),
+        ("event_type", None, "event_type=1"),
+        ("event_id", None, "missing_required=1"),
+    ],
+)
+def test_a_row_that_staging_cannot_hold_stops_the_load(spark, warehouse, column, value, reason):
+    _, lake, path = warehouse
+    day = spark.read.parquet(f"{lake}/date=2024-01-01").limit(1)
+    bad = day.withColumn("event_id", F.lit("one more")).withColumn(
+        column, F.lit(value).cast(day.schema[column].dataType)
+    )
+    bad.write.mode("append").parquet(f"{lake}/date=2024-01-01")
+    with pytest.raises(DataQualityError, match=reason):
+        daily.run_daily(spark, lake, path, "2024-01-01")
+    with pytest.raises(DataQualityError, match=reason):
+        daily.rebuild(spark, lake, path)
+    assert daily.read_fact_events(spark, path).count() == 0
+
+
+def test_loads_leave_no_scratch_tables(spark, warehouse):
+    from tidemark.sources import scratch
+
+    _, lake, path = warehouse
+    app = spark.sparkContext.applicationId
+    before = list(scratch._made[app])
+    daily.run_daily(spark, lake, path, "2024-01-01")
+    daily.rebuild(spark, lake, path)
+    assert scratch._made[app] == before

@@ -155,3 +155,11 @@ def test_new_keys(staged):
     dim = scd2_history(staged([("u", "login", "2024-01-01 08:00:00")]))
     batch = staged([("u", "login", "2024-01-02 08:00:00"), ("v", "login", "2024-01-02 09:00:00")])
     assert [r.user_id for r in new_keys(dim.where("is_current"), batch).collect()] == ["v"]
+
+
+def test_a_change_before_the_open_version_of_the_same_day_is_refused(staged):
+    noon = staged([("u", "login", "2024-01-03 12:00:00", {"platform": "ios"})])
+    earlier = staged([("u", "login", "2024-01-03 10:00:00", {"platform": "web"})])
+    dim = scd2_history(noon)
+    with pytest.raises(ValueError, match="older"):
+        scd2_merge(dim, earlier).count()

@@ -29,7 +29,6 @@ def dim(spark):
 
 
 def test_hot_keys_are_found(monkeypatch, uneven):
-    monkeypatch.setattr(skew, "SMALL_BYTES", 0)
     big = uneven.union(uneven)
     assert hot_keys(big, "user_id", share=0.01) == {"hot": 4}
     monkeypatch.setattr(skew, "WORTH_SPLITTING", 100)
@@ -39,15 +38,18 @@ def test_hot_keys_are_found(monkeypatch, uneven):
 
 
 def test_keys_are_found_in_sparse_partitions(spark, monkeypatch, uneven):
-    monkeypatch.setattr(skew, "SMALL_BYTES", 0)
     monkeypatch.setattr(skew, "WORTH_SPLITTING", 100)
     few = uneven.where("user_id = 'hot'").coalesce(1)
     assert set(hot_keys(few.union(uneven.where("event_id = 1")), "user_id")) == {"hot"}
     assert hot_keys(uneven.where("event_id < 0"), "user_id") == {}
 
 
-def test_small_inputs_are_not_searched(uneven):
-    assert hot_keys(uneven, "user_id") == {}
+def test_searched_join_equals_the_plain_join(monkeypatch, uneven, dim):
+    monkeypatch.setattr(skew, "WORTH_SPLITTING", 100)
+    got = skewed_join(uneven, dim, "user_id", spread_by=["event_id"])
+    want = uneven.join(dim, "user_id").select(*got.columns)
+    assert "__piece" in got._jdf.queryExecution().toString()
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])

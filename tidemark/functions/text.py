@@ -27,7 +27,7 @@ def to_json_text(doc: Column, dtype: T.DataType) -> Column:
 
 def product_number(product_id: Column) -> Column:
     """The number in a product id such as ``PRD_0007``; NULL when there is none."""
-    return F.substring(product_id, 5, 32).try_cast("int")
+    return F.substr(product_id, F.lit(5)).try_cast("int")
 
 
 def utc_timestamp(text: Column) -> Column:

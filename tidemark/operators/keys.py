@@ -44,14 +44,27 @@ def _sorted_with_offsets(df: DataFrame, order: Sequence[Column | str]) -> DataFr
 
 
 def dense_keys(
-    df: DataFrame, order: Sequence[Column | str], name: str, start: int = 0
+    df: DataFrame,
+    order: Sequence[Column | str],
+    name: str,
+    start: int = 0,
+    row_id: str | None = None,
 ) -> DataFrame:
-    """Add ``name``, numbering all rows ``start + 1 .. start + n`` in the given order."""
+    """Add ``name``, numbering all rows ``start + 1 .. start + n`` in the given order.
+
+    With ``row_id``, a column unique per row, only it and the columns of ``order`` are
+    sorted and written; the numbers join back to wide rows by it.
+    """
+    if row_id is not None:
+        names = list(dict.fromkeys([row_id, *order]))
+        numbered = dense_keys(df.select(*names), order, name, start).select(row_id, name)
+        return df.join(numbered, row_id).select(*df.columns, name)
     ranked = _sorted_with_offsets(df, order)
     return ranked.withColumn(name, F.col("__rank") + F.lit(start)).select(*df.columns, name)
 
 
-# Hex digits of the id's MD5 that choose a lane: 16 ** 3 lanes per day.
+# Hex digits of the id's MD5 that choose a lane: 16 ** 3 lanes per day. It bounds the tasks
+# that can number one day's rows, and all stored keys depend on it: never change it.
 _LANE_DIGITS = 3
 LANES = 16**_LANE_DIGITS
 

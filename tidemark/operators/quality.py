@@ -58,9 +58,9 @@ def duplicate_keys(df: DataFrame, columns: Sequence[str], nulls: str = "ignore")
     return keyed.groupBy(*columns).agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
 
-def duplicate_count(df: DataFrame, column: str) -> DataFrame:
-    """Rows beyond the first of each value; every NULL counts as a duplicate."""
-    return df.agg((F.count("*") - F.count_distinct(F.col(column))).alias("duplicates"))
+def duplicate_count(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows beyond the first of each key; every key with a NULL counts as a duplicate."""
+    return df.agg((F.count("*") - F.count_distinct(*map(F.col, columns))).alias("duplicates"))
 
 
 def unexpected_values(
@@ -134,14 +134,16 @@ def event_suite(
     """The expectation report of a batch: one row per check plus totals and overall flag.
 
     Two jobs' worth of work: one pass for the counts, one shuffle of the key for
-    uniqueness. The unexpected values themselves come from ``unexpected_values``.
-    ``floor`` adds a check on the number of rows.
+    uniqueness. A message holds the failures' number or, for the set of values, the
+    ``_SHOWN`` first of the unexpected ones; ``unexpected_values`` has them all with their
+    counts. ``floor`` adds a check on the number of rows.
     """
     unexpected = F.col(category).isNull() | ~F.col(category).isin(list(allowed))
     counts = df.agg(
         F.count("*").alias("total_records"),
         *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required),
         F.count_if(unexpected).alias("unexpected"),
+        _first_values(category, unexpected).alias("values"),
         F.count_if(F.col(amount) < 0).alias("negative"),
         *([F.greatest(F.lit(floor) - F.count("*"), F.lit(0)).alias("missing")] if floor else []),
     )
@@ -151,15 +153,27 @@ def event_suite(
         (f"expect_column_values_to_be_between: {amount} >= 0", "negative"),
         *([("expect_table_row_count_to_be_at_least", "missing")] if floor else []),
     ]
-    scalar = _stack(counts, pairs, ["total_records"])
+    scalar = _stack(counts, pairs, ["total_records", "values"])
     # A NULL key counts as one value, so only its repeats are duplicates.
     per_key = df.groupBy(key).agg(F.count("*").alias("n"))
     unique = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
+        F.array().cast("array<string>").alias("values"),
         F.lit(f"expect_column_values_to_be_unique: {key}").alias("check"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failing_rows"),
     )
     whole = W.partitionBy()
+    failures = F.col("failing_rows").cast("string")
+    message = F.concat(F.lit("Rows missing: "), failures)
+    for name, said in (
+        ("expect_column_values_to_be_unique", F.concat(F.lit("Duplicates found: "), failures)),
+        ("expect_column_values_to_be_in_set", _listed(category)),
+        ("expect_column_values_to_be_between", F.concat(F.lit("Negative amounts detected: "), failures)),
+    ):
+        message = F.when(F.col("check").startswith(name), said).otherwise(message)
+    nulls = F.col("check").startswith("expect_column_values_to_not_be_null: ")
+    column = F.substring_index("check", ": ", -1)
+    message = F.when(nulls, F.concat(F.lit("Null count in "), column, F.lit(": "), failures)).otherwise(message)
     return scalar.unionByName(unique).select(
         F.lit("product_events_core_expectations").alias("suite_name"),
         "total_records",
@@ -167,20 +181,38 @@ def event_suite(
         "check",
         (F.col("failing_rows") == 0).alias("passed"),
         "failing_rows",
-        F.concat_ws(" ", F.lit("Failing rows:"), F.col("failing_rows").cast("string")).alias(
-            "message"
-        ),
+        message.alias("message"),
     )
 
 
+_SHOWN = 20  # unexpected values in a message
+
+
+def _first_values(column: str, bad: Column) -> Column:
+    """Up to ``_SHOWN`` of the values in failing rows, by name; NULL shows as such."""
+    shown = F.when(bad, F.coalesce(F.col(column).cast("string"), F.lit("NULL")))
+    found = F.collect_set(shown)
+    return F.slice(F.sort_array(found), 1, _SHOWN)
+
+
+def _listed(column: str) -> Column:
+    label = F.lit(f"Unexpected {column.replace('_', ' ')}s: ")
+    return F.concat(label, F.lit("{"), F.concat_ws(", ", "values"), F.lit("}"))
+
+
 def gate_report(
     df: DataFrame,
-    key: str = "event_id",
+    key: str | Sequence[str] = "event_id",
     required: Sequence[str] = ("user_id", "event_timestamp"),
     amount: str | None = None,
     categories: dict[str, Sequence[str]] | None = None,
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """One row: rows with a missing required value, duplicate keys and optional extra counts."""
+    """One row: rows with a missing required value, duplicate keys and optional extra counts.
+
+    ``extra`` adds a count of the rows for which a condition holds, per name.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
     missing = F.lit(False)
     for column in required:
         missing = missing | F.col(column).isNull()
@@ -189,10 +221,11 @@ def gate_report(
         counts["negative_amounts"] = F.count_if(F.col(amount) < 0)
     for column, allowed in (categories or {}).items():
         counts[f"unexpected_{column}"] = F.count_if(~F.col(column).isin(list(allowed)))
+    counts |= {name: F.count_if(bad) for name, bad in (extra or {}).items()}
     zero = F.lit(0).cast("bigint")
     # Only the key is shuffled for its distinct count; the other counts need no shuffle.
     scalar = df.agg(*(c.alias(n) for n, c in counts.items())).withColumn("duplicate_keys", zero)
-    repeats = duplicate_count(df, key).select(
+    repeats = duplicate_count(df, *keys).select(
         *(zero.alias(n) for n in counts), F.col("duplicates").alias("duplicate_keys")
     )
     both = scalar.unionByName(repeats)
@@ -210,7 +243,7 @@ def gate(df: DataFrame, label: str = "batch", **rules) -> dict[str, int]:
 
 
 STAGING_RULES = {
-    "required": ("user_id", "event_timestamp", "country", "platform"),
+    "required": ("event_id", "user_id", "event_timestamp", "country", "platform"),
     "amount": "amount",
     "categories": {"event_type": EVENT_TYPES, "platform": PLATFORMS},
 }
@@ -221,7 +254,8 @@ class TableRules:
     """The tests declared for one table."""
 
     required: Sequence[str] = ()
-    unique: Sequence[str] = ()
+    # Columns, or tuples of columns that are unique together.
+    unique: Sequence[str | tuple[str, ...]] = ()
     accepted: Mapping[str, Sequence[str]] = field(default_factory=dict)
     not_negative: Sequence[str] = ()
     # Column -> (parent table, parent column).
@@ -233,13 +267,13 @@ WAREHOUSE_RULES = {
     "dim_user": TableRules(required=("user_sk", "user_id", "is_current"), unique=("user_sk",)),
     "fact_events": TableRules(
         required=("event_id", "user_sk", "event_date"),
-        unique=("event_id",),
+        unique=("event_id", ("event_date", "event_id")),
         accepted={"platform": PLATFORMS},
         parents={"user_sk": ("dim_user", "user_sk")},
     ),
     "fact_orders": TableRules(
         required=("order_id", "order_amount"),
-        unique=("order_id",),
+        unique=("order_id", ("order_date", "order_id")),
         not_negative=("order_amount",),
     ),
     "stg_events": TableRules(
@@ -260,9 +294,11 @@ def _rule_rows(table: str, tables: Mapping[str, DataFrame], rules: TableRules) -
     counts |= {f"not_negative: {c}": F.col(c) < 0 for c in rules.not_negative}
     scalar = df.agg(*(F.count_if(bad).alias(f"c{i}") for i, bad in enumerate(counts.values())))
     parts = [_stack(scalar, [(label, f"c{i}") for i, label in enumerate(counts)])]
-    for column in rules.unique:
-        repeated = duplicate_keys(df, [column]).agg(F.count("*").alias("failing_rows"))
-        parts.append(repeated.select(F.lit(f"unique: {column}").alias("check"), "failing_rows"))
+    for key in rules.unique:
+        columns = [key] if isinstance(key, str) else list(key)
+        repeated = duplicate_keys(df, columns).agg(F.count("*").alias("failing_rows"))
+        label = f"unique: {', '.join(columns)}"
+        parts.append(repeated.select(F.lit(label).alias("check"), "failing_rows"))
     for column, (parent, parent_column) in rules.parents.items():
         lost = orphans(df, tables[parent], column, parent_column)
         lost = lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failing_rows"))

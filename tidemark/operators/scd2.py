@@ -40,12 +40,14 @@ def scd2_history(
     tiebreak: str = "event_id",
     new_key_start: str = "latest",
     surrogate: str | None = "user_sk",
+    batch_as: str | None = None,
 ) -> DataFrame:
     """Every version of every key, as if each ``batch`` value had been merged in order.
 
     A key's first version starts at its newest event of the first batch, or with
     ``new_key_start="first"`` at its very first event. Windows here see one row
-    per key and batch, whatever the number of events.
+    per key and batch, whatever the number of events. ``batch_as`` names a column for
+    the batch that opened the version.
     """
     if new_key_start not in ("latest", "first"):
         raise ValueError(f"unknown new_key_start {new_key_start!r}")
@@ -72,6 +74,7 @@ def scd2_history(
         F.col("seen_at").alias("valid_from"),
         F.coalesce(following, open_end()).alias("valid_to"),
         following.isNull().alias("is_current"),
+        *([F.col(batch).alias(batch_as)] if batch_as else []),
     )
     if surrogate is None:
         return versions
@@ -93,6 +96,52 @@ def new_keys(
     return latest.join(current.select(key), key, "left_anti")
 
 
+def _changed(tracked: Mapping[str, str]) -> Column:
+    """Whether the newest attributes ``__…`` differ from those held."""
+    changed: Column = F.lit(False)
+    for name in tracked:
+        changed = changed | (F.col(name) != F.col(f"__{name}"))
+    return F.coalesce(changed, F.lit(False))
+
+
+def _refuse_late(joined: DataFrame, tracked: Mapping[str, str]) -> None:
+    """A version must start after the one that it ends."""
+    late = joined.where(_changed(tracked) & (F.col("__at") <= F.col("valid_from")))
+    if row := late.select("__at", "valid_from").head():
+        raise ValueError(f"a batch row of {row[0]} is older than the version of {row[1]}")
+
+
+def opened_versions(
+    current: DataFrame,
+    batch: DataFrame,
+    next_key: int,
+    key: str = KEY,
+    tracked: Mapping[str, str] = TRACKED,
+    ts: str = TS,
+    tiebreak: str = "event_id",
+    surrogate: str = "user_sk",
+) -> DataFrame:
+    """The versions that ``batch`` opens, given the one open version per key in ``current``.
+
+    Only new and changed keys give a row. Both sides hold one row per key, so the join
+    is even.
+    """
+    latest = _latest_attributes(batch, [key], tracked, ts, tiebreak).select(
+        key, F.col("seen_at").alias("__at"), *(F.col(d).alias(f"__{d}") for d in tracked)
+    )
+    joined = latest.join(current.select(key, *tracked, "valid_from"), key, "left")
+    starts = pin(joined.where(F.col("valid_from").isNull() | _changed(tracked)), "opened")
+    _refuse_late(starts, tracked)
+    rows = starts.select(
+        key,
+        *(F.col(f"__{d}").alias(d) for d in tracked),
+        F.lit(DEFAULT_TIER).alias("user_tier"),
+        F.col("__at").alias("valid_from"),
+    )
+    numbered = dense_keys(rows, ["valid_from", key], surrogate, start=next_key - 1)
+    return numbered.select(surrogate, *rows.columns)
+
+
 def merge_open(
     current: DataFrame,
     batch: DataFrame,
@@ -114,10 +163,8 @@ def merge_open(
         key, F.col("seen_at").alias("__at"), *(F.col(d).alias(f"__{d}") for d in tracked)
     )
     held = F.col(surrogate).isNotNull()
-    changed: Column = F.lit(False)
-    for name in tracked:
-        changed = changed | (F.col(name) != F.col(f"__{name}"))
-    changed = held & F.col("__at").isNotNull() & F.coalesce(changed, F.lit(False))
+    changed = held & F.col("__at").isNotNull() & _changed(tracked)
+    _refuse_late(current.join(latest, key), tracked)
 
     def row(*values: Column) -> Column:
         return F.struct(*(v.alias(c) for v, c in zip(values, out_cols, strict=True)))

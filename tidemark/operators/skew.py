@@ -15,20 +15,6 @@ LANES = 64  # tasks that merge sketches
 WORTH_SPLITTING = 10_000  # rows
 MOST_PIECES = 4096
 NULL_PIECES = 1024  # rows without a key match nothing, so spreading them is free
-SMALL_BYTES = 256 << 20  # below this no single key can overload a task
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a plan, the one its broadcast limit is checked against."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def _broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        return int(text.lower().removesuffix("b"))
-    except ValueError:  # such as "10MB": assume nothing
-        return -1
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
@@ -40,10 +26,8 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
     Every task keeps a frequent-items sketch, ``LANES`` tasks merge them, and the
     driver adds up the few top keys of each. The answer steers how rows are spread,
     never which rows are kept, and is fixed here so that both sides of a join agree
-    on it. Inputs too small for any key to matter are not looked at.
+    on it. One scan of the key column; pass the answer on to every join of the same rows.
     """
-    if estimated_bytes(df) < SMALL_BYTES:
-        return {}
     most = int(1 / share)
     lanes = (
         df.where(F.col(key).isNotNull())
@@ -99,10 +83,7 @@ def skewed_join(
     if how not in ("inner", "left", "right"):
         raise ValueError(f"unsupported join type {how!r}")
     if hot is None:
-        # A side that Spark broadcasts leaves the facts where they are; a right
-        # join keeps every row of ``dim`` and cannot broadcast it.
-        sent = how != "right" and estimated_bytes(dim) <= _broadcast_limit(facts)
-        hot = {} if sent else hot_keys(facts, key)
+        hot = hot_keys(facts, key)
     left, right = facts, dim.withColumnRenamed(key, "__key")
     cond = F.col(key) == F.col("__key")
     if hot or how == "left":

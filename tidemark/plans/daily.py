@@ -2,13 +2,14 @@
 
 Tables of a warehouse folder:
 
-* ``dim_user_current/batch_date=…``  open versions after that batch
-* ``dim_user_closed/batch_date=…``   versions that batch ended
+* ``dim_user_versions/batch_date=…``  the user versions that a batch opened
+* ``dim_user_open/batch_date=…``      all open versions after a batch, every few batches
 * ``fact_events/event_date=…`` and ``fact_orders/order_date=…``
 
-A batch reads the open versions of the batch before it and writes only its own
-partitions, so rerunning a day replaces exactly what it wrote and closed history
-is never rewritten.
+A version is stored once, by the batch that opened it; it ends where its user's next
+one starts. So a batch writes only what changed, a rerun replaces exactly what it wrote,
+and the state before any day is what earlier batches opened. The newest copy of the open
+versions spares a batch the ones before it.
 """
 
 from __future__ import annotations
@@ -16,20 +17,33 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.days import as_date
+from tidemark.operators.latest import latest_per_key
 from tidemark.operators.quality import STAGING_RULES, gate
-from tidemark.operators.scd2 import merge_open, scd2_history
+from tidemark.operators.scd2 import opened_versions, scd2_history
+from tidemark.operators.skew import hot_keys
 from tidemark.plans.dims import dim_product
-from tidemark.plans.facts import load_fact_events, load_fact_orders, stage_events
-from tidemark.schemas import DIM_USER, FACT_EVENTS, FACT_ORDERS
-from tidemark.sources.events import read_day, read_raw
-from tidemark.sources.sinks import overwrite_partitions, path_exists
+from tidemark.plans.facts import load_fact_events, load_fact_orders, purchases, stage_events
+from tidemark.schemas import DIM_USER, FACT_EVENTS, FACT_ORDERS, open_end
+from tidemark.sources.events import PARTITION, day_exists, read_day, read_raw, rejects, typed_columns
+from tidemark.sources.scratch import releasing
+from tidemark.sources.sinks import (
+    delete_path,
+    overwrite_partitions,
+    partition_days,
+    path_exists,
+    replace_table,
+)
 
 BATCH = "batch_date"
-_DIM = T.StructType([f for f in DIM_USER.fields if f.name != "signup_channel"])
+SNAPSHOT_EVERY = 32  # batches
+_DIM = [f for f in DIM_USER.fields if f.name != "signup_channel"]
+_VERSION = T.StructType([f for f in _DIM if f.name not in ("valid_to", "is_current")])
+_DIM_COLUMNS = [f.name for f in _DIM]
 
 
 def _table(spark: SparkSession, path: str, schema: T.StructType, part: str) -> DataFrame:
@@ -41,23 +55,25 @@ def _table(spark: SparkSession, path: str, schema: T.StructType, part: str) -> D
     return spark.read.schema(whole).parquet(path)
 
 
-def read_current(spark: SparkSession, warehouse: str) -> DataFrame:
-    return _table(spark, f"{warehouse}/dim_user_current", _DIM, BATCH)
+def _versions(spark: SparkSession, warehouse: str) -> DataFrame:
+    return _table(spark, f"{warehouse}/dim_user_versions", _VERSION, BATCH)
 
 
-def read_closed(spark: SparkSession, warehouse: str) -> DataFrame:
-    return _table(spark, f"{warehouse}/dim_user_closed", _DIM, BATCH)
+def _as_intervals(versions: DataFrame) -> DataFrame:
+    """Versions with their ends: each one lasts until its user's next one starts."""
+    following = F.lead("valid_from").over(W.partitionBy("user_id").orderBy("valid_from"))
+    ended = versions.withColumns(
+        {"valid_to": F.coalesce(following, open_end()), "is_current": following.isNull()}
+    )
+    return ended.select(*_DIM_COLUMNS)
 
 
 def read_dim_user(spark: SparkSession, warehouse: str, as_of: date | str | None = None) -> DataFrame:
-    """All versions after the newest batch, or after the newest one up to ``as_of``."""
-    current, closed = read_current(spark, warehouse), read_closed(spark, warehouse)
+    """All versions, or those known after the batch of ``as_of``."""
+    versions = _versions(spark, warehouse)
     if as_of is not None:
-        limit = F.lit(as_date(as_of))
-        current, closed = current.where(F.col(BATCH) <= limit), closed.where(F.col(BATCH) <= limit)
-    newest = current.agg(F.max(BATCH).alias("d")).first().d
-    open_rows = current.where(F.col(BATCH) == F.lit(newest))
-    return closed.unionByName(open_rows).drop(BATCH)
+        versions = versions.where(F.col(BATCH) <= F.lit(as_date(as_of)))
+    return _as_intervals(versions)
 
 
 def read_fact_events(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -68,27 +84,51 @@ def read_fact_orders(spark: SparkSession, warehouse: str) -> DataFrame:
     return _table(spark, f"{warehouse}/fact_orders", FACT_ORDERS, "order_date")
 
 
+def open_before(spark: SparkSession, warehouse: str, day: date) -> DataFrame:
+    """The version that was open before ``day``, per user: one row each."""
+    folder = f"{warehouse}/dim_user_open"
+    copies = [d for d in partition_days(spark, folder, BATCH) if d < day]
+    before = F.col(BATCH) < F.lit(day)
+    versions = _versions(spark, warehouse).where(before)
+    if copies:
+        newest = F.lit(max(copies))
+        copy = _table(spark, folder, _VERSION, BATCH).where(F.col(BATCH) == newest)
+        versions = versions.where(F.col(BATCH) > newest).unionByName(copy)
+    return latest_per_key(versions.drop(BATCH), ["user_id"], "valid_from", "user_sk")
+
+
 def _publish_facts(
-    staged: DataFrame, versions: DataFrame, warehouse: str, days: list[str]
+    staged: DataFrame, versions: DataFrame, warehouse: str, day: date | None
 ) -> None:
+    """Load both fact tables: one day of them, or the whole tables anew."""
     spark = staged.sparkSession
-    overwrite_partitions(
-        load_fact_events(staged, versions),
-        f"{warehouse}/fact_events",
-        "event_date",
-        days,
-        "event_timestamp",
-        # Key lanes have just dealt the rows of a single day evenly.
-        spread=len(days) != 1,
-    )
-    overwrite_partitions(
-        load_fact_orders(staged, versions, dim_product(spark)),
-        f"{warehouse}/fact_orders",
-        "order_date",
-        days,
-        "order_timestamp",
-        spread=len(days) != 1,
-    )
+    # Both tables join the same users; they are looked through once.
+    hot = hot_keys(staged, "user_id")
+    hot_products = hot_keys(purchases(staged), "product_id")
+    products = dim_product(spark)
+    for rows, name, part, ts in (
+        (load_fact_events(staged, versions, hot=hot), "fact_events", "event_date", "event_timestamp"),
+        (
+            load_fact_orders(staged, versions, products, hot=hot, hot_products=hot_products),
+            "fact_orders",
+            "order_date",
+            "order_timestamp",
+        ),
+    ):
+        path = f"{warehouse}/{name}"
+        if day is None:
+            replace_table(rows, path, part, ts)
+        else:
+            # Key lanes have just dealt the rows of the day evenly.
+            overwrite_partitions(rows, path, part, [day], ts, spread=False)
+
+
+def _gated(raw: DataFrame, label: str) -> DataFrame:
+    """Staged rows, once no raw row is without a value that its column needs or can hold."""
+    checked = raw.select(*typed_columns(), *(bad.alias(f"bad_{n}") for n, bad in rejects().items()))
+    extra = {name: F.col(f"bad_{name}") for name in rejects()}
+    gate(checked, label, key=("event_date", "event_id"), extra=extra, **STAGING_RULES)
+    return stage_events(raw)
 
 
 def run_daily(
@@ -102,40 +142,53 @@ def run_daily(
 ) -> str:
     """Load one day; returns ``loaded``, ``rebuilt`` or ``missing``.
 
-    The batch is gated before anything is published. A day older than the newest
-    merged one is refused, since its versions would overlap later ones; with
-    ``rebuild_if_older`` the warehouse is derived anew from the lake instead.
+    ``missing`` means that the lake has no folder for the day, and nothing changes; a
+    folder without rows empties the day. The batch is gated before anything is published.
+    A day older than the newest merged one is refused, since its versions would overlap
+    later ones; with ``rebuild_if_older`` the warehouse is derived anew from the lake.
     """
     ds = as_date(day)
-    raw = read_day(spark, lake, ds, fmt, typed)
-    if raw.isEmpty():
+    if not day_exists(spark, lake, ds, fmt):
         return "missing"
-    staged = stage_events(raw).where(F.col("event_date") == F.lit(ds))
-    gate(staged, f"day {ds}", **STAGING_RULES)
-
-    held = read_current(spark, warehouse)
-    seen = held.agg(
-        F.max(BATCH).alias("newest"), F.max(F.when(F.col(BATCH) < F.lit(ds), F.col(BATCH))).alias("before")
-    ).first()
-    if seen.newest is not None and seen.newest > ds:
-        if not rebuild_if_older:
-            raise ValueError(f"day {ds} is older than the newest batch {seen.newest}")
-        rebuild(spark, lake, warehouse, seen.newest, fmt, typed)
-        return "rebuilt"
-
-    before = held.where(F.col(BATCH) == F.lit(seen.before)).drop(BATCH)
-    # Ending a version always opens one with a higher key, so the top key is open.
-    top = before.agg(F.max("user_sk")).first()
-    closed, current = merge_open(before, staged, (top[0] or 0) + 1)
-    stamp = F.lit(ds).alias(BATCH)
-    for rows, table in ((closed, "dim_user_closed"), (current, "dim_user_current")):
-        out = rows.select("*", stamp)
-        overwrite_partitions(out, f"{warehouse}/{table}", BATCH, [str(ds)], "user_id")
-    # Versions ended by earlier batches end before this day starts.
-    _publish_facts(staged, closed.unionByName(current), warehouse, [str(ds)])
+    with releasing(spark):
+        versions_path = f"{warehouse}/dim_user_versions"
+        batches = partition_days(spark, versions_path, BATCH)
+        loaded = partition_days(spark, f"{warehouse}/fact_events", "event_date")
+        newest = max([*batches, *loaded], default=None)
+        if newest is not None and newest > ds:
+            if not rebuild_if_older:
+                raise ValueError(f"day {ds} is older than the newest batch {newest}")
+            rebuild(spark, lake, warehouse, newest, fmt, typed)
+            return "rebuilt"
+        staged = _gated(read_day(spark, lake, ds, fmt, typed), f"day {ds}")
+
+        before = open_before(spark, warehouse, ds)
+        # A user's newest version has the highest key, so the top key is an open one.
+        top = before.agg(F.max("user_sk")).first()[0] or 0
+        opened = opened_versions(before, staged, top + 1)
+        stamp = F.lit(ds).alias(BATCH)
+        stored = opened.select(*_VERSION.names, stamp)
+        overwrite_partitions(stored, versions_path, BATCH, [ds], "user_id")
+
+        mine = _versions(spark, warehouse).where(F.col(BATCH) == F.lit(ds)).drop(BATCH)
+        both = before.select(*_VERSION.names).unionByName(mine.select(*_VERSION.names))
+        _publish_facts(staged, _as_intervals(both), warehouse, ds)
+        _copy_open(spark, warehouse, ds, [d for d in batches if d < ds])
     return "loaded"
 
 
+def _copy_open(spark: SparkSession, warehouse: str, ds: date, earlier: list[date]) -> None:
+    """Write the open versions after ``ds`` once enough batches follow the last copy."""
+    folder = f"{warehouse}/dim_user_open"
+    delete_path(spark, f"{folder}/{BATCH}={ds}")
+    last = max((d for d in partition_days(spark, folder, BATCH) if d < ds), default=date.min)
+    if len([d for d in earlier if d > last]) + 1 < SNAPSHOT_EVERY:
+        return
+    following = date.fromordinal(ds.toordinal() + 1)
+    rows = open_before(spark, warehouse, following).select(*_VERSION.names, F.lit(ds).alias(BATCH))
+    overwrite_partitions(rows, folder, BATCH, [ds], "user_id")
+
+
 def rebuild(
     spark: SparkSession,
     lake: str,
@@ -144,24 +197,19 @@ def rebuild(
     fmt: str = "parquet",
     typed: bool = False,
 ) -> None:
-    """Derive the whole warehouse from the lake in one pass, up to a day."""
+    """Derive the whole warehouse from the lake in one pass, up to a day.
+
+    All tables are replaced: what they hold of later days, or of days that the lake has
+    lost, is gone afterwards.
+    """
     raw = read_raw(spark, lake, fmt, typed=typed)
     if upto is not None:
-        raw = raw.where(F.col("date") <= F.lit(as_date(upto)))
-    staged = stage_events(raw.where(F.col("date") == F.col("event_date").try_cast("date")))
-    gate(staged, "rebuild", **STAGING_RULES)
-    history = scd2_history(staged)
-    newest = staged.agg(F.max("event_date").alias("d")).first().d
-    if newest is None:
-        return
-    closed = history.where(~F.col("is_current")).withColumn(BATCH, F.to_date("valid_to"))
-    current = history.where("is_current").withColumn(BATCH, F.lit(newest))
-    for rows, table in ((closed, "dim_user_closed"), (current, "dim_user_current")):
-        (
-            rows.hint("rebalance", BATCH)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(BATCH)
-            .parquet(f"{warehouse}/{table}")
+        raw = raw.where(F.col(PARTITION) <= F.lit(as_date(upto)))
+    with releasing(spark):
+        staged = _gated(raw, "rebuild")
+        history = scd2_history(staged, batch_as=BATCH)
+        replace_table(
+            history.select(*_VERSION.names, BATCH), f"{warehouse}/dim_user_versions", BATCH, "user_id"
         )
-    _publish_facts(staged, history, warehouse, [])
+        delete_path(spark, f"{warehouse}/dim_user_open")
+        _publish_facts(staged, read_dim_user(spark, warehouse), warehouse, None)

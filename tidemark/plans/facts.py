@@ -62,14 +62,16 @@ def purchases(events: DataFrame) -> DataFrame:
     return events.where((F.col("event_type") == "purchase") & (F.col("amount") > 0))
 
 
-def product_lookup(events: DataFrame, products: DataFrame) -> DataFrame:
+def product_lookup(
+    events: DataFrame, products: DataFrame, hot: dict | None = None
+) -> DataFrame:
     """Add ``product_sk``; unknown and missing products get the default member.
 
     A catalogue within Spark's broadcast size is broadcast; past that, popular
     products and rows without one are spread over many tasks.
     """
     items = products.select("product_id", F.col("product_sk").alias("__sk"))
-    joined = skewed_join(events, items, "product_id", how="left", spread_by=["event_id"])
+    joined = skewed_join(events, items, "product_id", how="left", spread_by=["event_id"], hot=hot)
     default = F.lit(DEFAULT_PRODUCT_SK)
     return joined.withColumn("product_sk", F.coalesce("__sk", default)).drop("__sk")
 
@@ -79,13 +81,14 @@ def load_fact_events(
     dim_user: DataFrame,
     day: date | str | None = None,
     keyed: bool = True,
+    hot: dict | None = None,
 ) -> DataFrame:
     """Events with the user version valid at their time.
 
     ``event_sk`` is unique per day, and reloading a day gives the same keys.
-    ``keyed=False`` leaves it out.
+    ``keyed=False`` leaves it out. ``hot`` is what ``hot_keys`` found for the users.
     """
-    joined = pit_join(_on_day(staged, day), dim_user).select(*_EVENT_COLUMNS)
+    joined = pit_join(_on_day(staged, day), dim_user, hot=hot).select(*_EVENT_COLUMNS)
     if not keyed:
         return joined
     order = ["event_timestamp", "event_id"]
@@ -98,12 +101,14 @@ def load_fact_orders(
     dim_product: DataFrame,
     day: date | str | None = None,
     keyed: bool = True,
+    hot: dict | None = None,
+    hot_products: dict | None = None,
 ) -> DataFrame:
     """Positive purchases with user version, product, gateway and order constants."""
-    bought = product_lookup(purchases(_on_day(staged, day)), dim_product)
+    bought = product_lookup(purchases(_on_day(staged, day)), dim_product, hot_products)
     gateway = json_text(F.col("metadata"), "payment_gateway")
     orders = (
-        pit_join(bought, dim_user)
+        pit_join(bought, dim_user, hot=hot)
         .withColumns(
             {
                 "order_id": F.concat(F.lit("ORD_"), F.col("event_id").cast("string")),
@@ -127,19 +132,22 @@ def load_fact_orders(
     return lane_keys(orders, "order_date", "event_id", order, "order_sk")
 
 
-def snapshot_fact_events(events: DataFrame, dim_user: DataFrame) -> DataFrame:
+def snapshot_fact_events(
+    events: DataFrame, dim_user: DataFrame, hot: dict | None = None
+) -> DataFrame:
     """All events joined to the one version per user, numbered by time."""
     users = dim_user.select("user_sk", "user_id")
-    joined = skewed_join(events, users, "user_id", spread_by=["event_id"])
-    return dense_keys(
-        joined.select(*_EVENT_COLUMNS), ["event_timestamp", "event_id"], "event_sk"
-    )
+    joined = skewed_join(events, users, "user_id", spread_by=["event_id"], hot=hot)
+    order = ["event_timestamp", "event_id"]
+    return dense_keys(joined.select(*_EVENT_COLUMNS), order, "event_sk", row_id="event_id")
 
 
-def snapshot_fact_orders(events: DataFrame, dim_user: DataFrame) -> DataFrame:
+def snapshot_fact_orders(
+    events: DataFrame, dim_user: DataFrame, hot: dict | None = None
+) -> DataFrame:
     """All positive purchases; product from its number, gateway left NULL when absent."""
     users = dim_user.select("user_sk", "user_id")
-    joined = skewed_join(purchases(events), users, "user_id", spread_by=["event_id"])
+    joined = skewed_join(purchases(events), users, "user_id", spread_by=["event_id"], hot=hot)
     orders = joined.select(
         F.concat(F.lit("ORD_"), F.col("event_id").cast("string")).alias("order_id"),
         "event_id",
@@ -153,4 +161,4 @@ def snapshot_fact_orders(events: DataFrame, dim_user: DataFrame) -> DataFrame:
         json_text(F.col("metadata"), "payment_gateway").alias("payment_gateway"),
         F.lit(DEFAULT_ORDER_STATUS).alias("order_status"),
     )
-    return dense_keys(orders, ["order_timestamp", "event_id"], "order_sk")
+    return dense_keys(orders, ["order_timestamp", "event_id"], "order_sk", row_id="event_id")

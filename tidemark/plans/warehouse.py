@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.skew import hot_keys
 from tidemark.plans import daily
 from tidemark.plans.dims import dim_date_of, dim_product, dim_user_snapshot
 from tidemark.plans.facts import snapshot_fact_events, snapshot_fact_orders
@@ -28,13 +29,14 @@ def snapshot_tables(
     """A warehouse derived from the lake at once, with one open version per user."""
     raw = read_events(spark, lake, fmt, typed=typed)
     users = dim_user_snapshot(raw)
+    hot = hot_keys(raw, "user_id")
     return {
         "v_raw_events": raw,
         "dim_user": users,
         "dim_date": dim_date_of(raw),
         "dim_product": dim_product(spark),
-        "fact_events": snapshot_fact_events(raw, users),
-        "fact_orders": snapshot_fact_orders(raw, users),
+        "fact_events": snapshot_fact_events(raw, users, hot),
+        "fact_orders": snapshot_fact_orders(raw, users, hot),
     }
 
 

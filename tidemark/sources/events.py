@@ -14,19 +14,30 @@ from pyspark.sql import types as T
 from tidemark.functions import utc_timestamp
 from tidemark.functions.days import as_date
 from tidemark.schemas import MONEY, RAW_EVENT
+from tidemark.sources.sinks import path_exists
 
 PARTITION = "date"
+# JSON lines that our own sink puts together end in .txt.
+_GLOBS = {"parquet": "*.parquet", "json": "*.{json,txt}"}
 _LAKE = T.StructType([*RAW_EVENT.fields, T.StructField(PARTITION, T.DateType())])
 
 
+_LISTED = [
+    T.StructField("path", T.StringType()),
+    T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("content", T.BinaryType()),
+]
+
+
 def _scan(spark: SparkSession, root: str, fmt: str) -> DataFrame:
-    if fmt not in ("parquet", "json"):
+    if fmt not in _GLOBS:
         raise ValueError(f"unknown event format {fmt!r}")
     reader = spark.read.schema(_LAKE)
     if fmt == "json":
-        # A folder may hold both formats; each reader takes its own files only.
         reader = reader.option("mode", "FAILFAST")
-    return reader.option("pathGlobFilter", f"*.{fmt}").format(fmt).load(root)
+    # A folder may hold both formats; each reader takes its own files only.
+    return reader.option("pathGlobFilter", _GLOBS[fmt]).format(fmt).load(root)
 
 
 def _files_without_product(spark: SparkSession, files: list[str]) -> list[str]:
@@ -39,8 +50,9 @@ def _files_without_product(spark: SparkSession, files: list[str]) -> list[str]:
         return []
     try:
         schema = spark.read.option("mergeSchema", True).parquet(*files).schema
-    except (PySparkException, Py4JJavaError):
-        if len(files) == 1:
+    except (PySparkException, Py4JJavaError) as failure:
+        # Only types that do not agree are a finding; a file that cannot be read is not.
+        if len(files) == 1 or "MERGE_SCHEMA" not in str(failure).upper():
             raise
         half = len(files) // 2
         return _files_without_product(spark, files[:half]) + _files_without_product(
@@ -110,6 +122,40 @@ def typed_columns(timestamp: Column | None = None) -> list[Column]:
     ]
 
 
+def rejects() -> dict[str, Column]:
+    """Per reason: raw rows that staging could not hold as they are.
+
+    A NULL where the raw value is present is a failed cast; a day unlike the row's folder
+    or time would put it where no reader looks for it.
+    """
+    day = F.col("event_date").try_cast("date")
+    at = utc_timestamp(F.col("event_timestamp"))
+    lost = F.col("amount").isNotNull() & F.col("amount").try_cast(MONEY).isNull()
+    return {
+        "event_date": day.isNull(),
+        "event_date_unlike_folder": F.coalesce(day != F.col(PARTITION), F.lit(False)),
+        "event_timestamp": at.isNull(),
+        "time_outside_day": F.coalesce(F.to_date(at) != day, F.lit(False)),
+        "amount": lost,
+        "event_type": F.col("event_type").isNull(),
+    }
+
+
+def rejected_rows(raw: DataFrame) -> DataFrame:
+    """How many raw rows of a lake fail for each reason; a row can fail for several."""
+    reasons = rejects()
+    counts = raw.agg(*(F.count_if(bad).alias(n) for n, bad in reasons.items()))
+    pairs = ", ".join(f"'{n}', `{n}`" for n in reasons)
+    return counts.selectExpr(f"stack({len(reasons)}, {pairs}) AS (reason, failing_rows)")
+
+
+def day_exists(spark: SparkSession, root: str, day: date | str, fmt: str = "parquet") -> bool:
+    """Whether the lake has a folder for the day, be it with or without rows."""
+    if fmt not in _GLOBS:
+        raise ValueError(f"unknown event format {fmt!r}")
+    return path_exists(spark, f"{root}/{PARTITION}={as_date(day)}")
+
+
 def read_events(
     spark: SparkSession,
     root: str,
@@ -128,13 +174,25 @@ def read_day(
     return read_raw(spark, root, fmt, [day], typed)
 
 
-def partition_inventory(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
-    """Files and rows per day. A day without files yields no row."""
-    per_file = (
-        _scan(spark, root, fmt)
-        .groupBy(PARTITION, F.col("_metadata.file_path").alias("file"))
-        .agg(F.count("*").alias("n"))
-    )
-    return per_file.groupBy(PARTITION).agg(
-        F.count("*").alias("n_files"), F.sum("n").alias("n_rows")
-    )
+def partition_inventory(spark: SparkSession, root: str, rows: bool = True) -> DataFrame:
+    """Files, bytes and rows per day and format, for both formats of the lake.
+
+    Files are listed, so one without rows counts as well; Parquet rows come from file
+    footers. A day without files yields no row. ``rows=False`` opens no file at all.
+    """
+    parts = []
+    for fmt, glob in _GLOBS.items():
+        listed = (
+            spark.read.format("binaryFile")
+            .schema(T.StructType([*_LISTED, T.StructField(PARTITION, T.DateType())]))
+            .option("pathGlobFilter", glob)
+            .load(root)
+        )
+        per_day = listed.groupBy(PARTITION).agg(
+            F.count("*").alias("n_files"), F.sum("length").alias("n_bytes")
+        )
+        if rows:
+            counted = _scan(spark, root, fmt).groupBy(PARTITION).agg(F.count("*").alias("n_rows"))
+            per_day = per_day.join(counted, PARTITION, "left").fillna(0, ["n_rows"])
+        parts.append(per_day.select(PARTITION, F.lit(fmt).alias("format"), *per_day.columns[1:]))
+    return parts[0].unionByName(parts[1])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,11 +35,31 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 def release(spark: SparkSession) -> None:
     """Delete the folders this application made, once no result needs them any more."""
-    for path in _made.pop(spark.sparkContext.applicationId, []):
+    _delete(spark, _made.pop(spark.sparkContext.applicationId, []))
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
         located = spark._jvm.org.apache.hadoop.fs.Path(path)
         located.getFileSystem(spark._jsc.hadoopConfiguration()).delete(located, True)
 
 
+@contextmanager
+def releasing(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was written to the shared folder in between.
+
+    For work that publishes its results itself; no DataFrame may outlive it.
+    """
+    app = spark.sparkContext.applicationId
+    before = set(_made.get(app, []))
+    try:
+        yield
+    finally:
+        own = [path for path in _made.get(app, []) if path not in before]
+        _made[app] = [path for path in _made.get(app, []) if path in before]
+        _delete(spark, own)
+
+
 def pin(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -50,17 +50,22 @@ def write_parquet_lake(df: DataFrame, root: str) -> None:
 def write_json_lake(df: DataFrame, root: str) -> None:
     """Append lake rows as JSON lines under ``date=`` folders.
 
-    Metadata is written as a nested object, its keys kept as they are.
+    Metadata is written as a nested value, its text unchanged. Text that no JSON line can
+    hold as such, for it is not JSON or breaks the line, is written as a JSON string and
+    reads back the same. The files end in ``.txt``, since their lines are put together here.
     """
     out = raw_rows(df).withColumn("date", F.to_date("event_date"))
-    out = out.withColumn("metadata", F.parse_json("metadata"))
-    (
-        _spread(out, "date")
-        .write.partitionBy("date")
-        .option("ignoreNullFields", False)
-        .mode("append")
-        .json(root)
-    )
+    others = [c for c in out.columns if c not in ("metadata", "date")]
+    rest = F.to_json(F.struct(*others), {"ignoreNullFields": "false"})
+    quoted = F.to_json(F.struct("metadata"))
+    text = F.col("metadata")
+    nested = F.try_parse_json(text).isNotNull() & text.rlike(r"^\s*\{") & ~text.contains("\n") & ~text.contains("\r")
+    value = F.when(text.isNull(), F.lit('{"metadata":null}')).when(
+        nested, F.concat(F.lit('{"metadata":'), text, F.lit("}"))
+    ).otherwise(quoted)
+    line = F.concat(F.expr("substring(rest, 1, length(rest) - 1)"), F.lit(","), F.expr("substring(value, 2)"))
+    lines = out.select("date", rest.alias("rest"), value.alias("value")).select(line.alias("value"), "date")
+    _spread(lines, "date").write.partitionBy("date").mode("append").text(root)
 
 
 def _located(spark: SparkSession, path: str):
@@ -78,6 +83,25 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(located, True)
 
 
+def partition_days(spark: SparkSession, path: str, part_col: str) -> list[date]:
+    """The days of a table's partitions, by its folders; no file is opened."""
+    names = _file_names(spark, path)
+    prefix = f"{part_col}="
+    return sorted(date.fromisoformat(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+
+def replace_table(df: DataFrame, path: str, part_col: str, sort_col: str) -> None:
+    """Replace a whole table: partitions that ``df`` does not hold are gone afterwards."""
+    (
+        _spread(df, part_col)
+        .sortWithinPartitions(part_col, sort_col)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(part_col)
+        .parquet(path)
+    )
+
+
 def _file_names(spark: SparkSession, path: str) -> set[str]:
     fs, located = _located(spark, path)
     return {s.getPath().getName() for s in fs.listStatus(located)} if fs.exists(located) else set()

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from tidemark.plans.marts import FUNNEL_STEPS, LAST_TIER, TIERS
 from workload.fixtures import (
     AS_OF,
     ORDERS_AS_OF,
     RETENTION_AS_OF,
     SQL_DIRTY,
+    SQL_DIRTY_LAKE,
     SQL_EVENTS,
     SQL_ORDERS,
+    SQL_STRANGERS,
     SQL_USERDAY,
 )
-from workload.queries import DRIFT, FIRST_DAY, FRESH_AT, LAST_DAY
+from workload.queries import AS_OF_DAYS, DRIFT, FRESH_AT, LAST_DAY
+
+# Written out here again, so that a wrong step or bound in the library shows.
+FUNNEL_STEPS = (
+    ("signup", ("signup",)),
+    ("login", ("login",)),
+    ("post_or_like", ("post", "like")),
+    ("purchase", ("purchase",)),
+)
 
 
 def _history(source: str, name: str) -> str:
@@ -46,11 +55,7 @@ def _with(*ctes: str) -> str:
 _EV = _with(SQL_EVENTS)
 _EV_DIRTY = _with(SQL_EVENTS, SQL_DIRTY)
 _HIST = _with(SQL_EVENTS, _history("ev", "hist"))
-_FIRST_DAY_HIST = _with(
-    SQL_EVENTS,
-    f"opening AS (SELECT * FROM ev WHERE event_date <= DATE '{FIRST_DAY}')",
-    _history("opening", "known"),
-)
+_HIST_STRANGERS = _with(SQL_EVENTS, SQL_STRANGERS, _history("ev", "hist"))
 _PIT = "ev.user_id = h.user_id AND event_timestamp >= valid_from AND (valid_to IS NULL OR event_timestamp < valid_to)"
 _SNAP = """
 snap AS (
@@ -61,7 +66,6 @@ snap AS (
                                      ORDER BY event_timestamp, event_id) AS place
         FROM ev) AS t
   WHERE place = 1)"""
-_TIER_CASE = " ".join(f"WHEN pr <= {upto} THEN '{name}'" for name, upto in TIERS)
 _ACTIVITY = f"""
 recent AS (SELECT * FROM ev WHERE event_date >= DATE '{AS_OF}' - INTERVAL '30 days'),
 counted AS (
@@ -79,7 +83,10 @@ placed AS (
   SELECT *, PERCENT_RANK() OVER (ORDER BY total_events DESC) AS pr,
          NTILE(10) OVER (ORDER BY total_events DESC, user_id) AS activity_decile
   FROM activity),
-tiered AS (SELECT *, CASE {_TIER_CASE} ELSE '{LAST_TIER}' END AS user_tier FROM placed)"""
+tiered AS (
+  SELECT *, CASE WHEN pr <= 0.05 THEN '1_POWER_CREATOR' WHEN pr <= 0.20 THEN '2_CORE_ENGAGER'
+                 WHEN pr <= 0.60 THEN '3_CASUAL_CONSUMER' ELSE '4_LIGHT_USER' END AS user_tier
+  FROM placed)"""
 _ACTIVE = _with(SQL_EVENTS, _history("ev", "hist"), _ACTIVITY)
 
 
@@ -150,10 +157,27 @@ _RAW = """SELECT CAST(event_id AS VARCHAR) AS event_id, user_id, event_type, eve
        metadata
 FROM ev"""
 
-# Day-unique keys: rows are numbered per lane, a hash of the id, and lanes interleave.
-_LANE = "CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 3) AS BIGINT)"
-_LANE_SK = f"""(ROW_NUMBER() OVER (PARTITION BY event_date, {_LANE}
-                            ORDER BY event_timestamp, event_id) - 1) * 4096 + {_LANE} + 1"""
+def _loaded(last: str = "", name: str = "hist") -> str:
+    """Counts and keys of the warehouse tables; keys must be unique per day."""
+    return f""", kept AS (
+  SELECT ev.*, user_sk FROM ev JOIN {name} AS h ON {_PIT} {last}),
+sold AS (SELECT * FROM kept WHERE event_type = 'purchase' AND amount > 0)
+SELECT 'fact_events' AS loaded_table, event_date AS day, COUNT(*) AS n,
+       CAST(SUM(user_sk) AS BIGINT) AS sk_sum, COUNT(*) AS n_keys, CAST(0 AS DOUBLE) AS amount
+FROM kept GROUP BY event_date
+UNION ALL
+SELECT 'fact_orders', event_date, COUNT(*), CAST(SUM(user_sk) AS BIGINT), COUNT(*),
+       CAST(SUM(amount) AS DOUBLE)
+FROM sold GROUP BY event_date
+UNION ALL
+SELECT 'dim_user', CAST(valid_from AS DATE), COUNT(*), CAST(SUM(user_sk) AS BIGINT), COUNT(*),
+       CAST(0 AS DOUBLE)
+FROM {name} GROUP BY CAST(valid_from AS DATE)"""
+
+
+def _as_of(day: object, place: int) -> str:
+    return f"""SELECT DATE '{day}' AS as_of, user_id, country, preferred_platform, user_tier,
+       valid_from, valid_to, is_current FROM hist{place}"""
 
 _ORDER_COLUMNS = """'ORD_' || CAST(ev.event_id AS VARCHAR) AS order_id, ev.event_id,
        event_timestamp AS order_timestamp, event_date AS order_date"""
@@ -161,7 +185,14 @@ _ORDER_COLUMNS = """'ORD_' || CAST(ev.event_id AS VARCHAR) AS order_id, ev.event
 CHECKS: dict[str, str] = {
     "scan_raw_events": _EV + _RAW,
     "parquet_roundtrip": _EV + _RAW,
-    "json_roundtrip": _EV + _RAW,
+    "json_roundtrip": _EV
+    + """SELECT CAST(event_id AS VARCHAR) AS event_id, user_id, event_type, event_timestamp,
+       event_date, platform, country, product_id, CAST(amount AS DOUBLE) AS amount, session_id,
+       CASE WHEN event_id % 7 = 0 THEN 'no: json'
+            ELSE '{"z": 1.50,' || substr(metadata, 2) END AS metadata
+FROM ev""",
+    "scan_untyped_product": _EV
+    + _RAW.replace("product_id", "CASE WHEN event_type <> 'like' THEN product_id END AS product_id"),
     "lake_one_day": _EV + _RAW + f" WHERE event_date = DATE '{LAST_DAY}'",
     "scan_one_day": _EV
     + f"""SELECT event_id, user_id, event_type, event_timestamp FROM ev
@@ -179,8 +210,13 @@ FROM ev GROUP BY event_date, event_type, platform, country""",
        'completed' AS order_status
 FROM ev""",
     "partition_inventory": _EV
-    + """SELECT event_date AS date, TRUE AS has_files, COUNT(*) AS n_rows
-FROM ev GROUP BY event_date""",
+    + f"""SELECT event_date AS date, 'parquet' AS format,
+       COUNT(DISTINCT event_type = 'signup') + CAST(event_date = DATE '{LAST_DAY}' AS BIGINT) AS n_files,
+       TRUE AS has_bytes, COUNT(*) AS n_rows
+FROM ev GROUP BY event_date
+UNION ALL
+SELECT event_date, 'json', 1, TRUE, COUNT(*) FROM ev
+WHERE event_date = DATE '{LAST_DAY}' GROUP BY event_date""",
     "idempotent_overwrite": _EV
     + f"""SELECT event_date, COUNT(*) AS n, CAST(SUM(amount) AS DOUBLE) AS amount
 FROM ev WHERE event_date <> DATE '{LAST_DAY}' GROUP BY event_date""",
@@ -194,7 +230,7 @@ WHERE event_timestamp >= TIMESTAMP '{LAST_DAY} 09:00:00'
     "user_type_lookup": _EV
     + f"""SELECT user_id, event_id, event_timestamp FROM ev
 WHERE event_type = 'like' AND user_id IN
-  (SELECT user_id FROM ev WHERE event_type = 'purchase' AND event_date = DATE '{LAST_DAY}')""",
+  (SELECT user_id FROM ev WHERE event_type = 'purchase' AND amount > 150)""",
     "session_lookup": _EV
     + """SELECT session_id, user_id, COUNT(*) AS n, MIN(event_timestamp) AS first_at,
        MAX(event_timestamp) AS last_at
@@ -313,27 +349,36 @@ FROM hist WHERE NOT is_current""",
     + """SELECT user_id, country, preferred_platform, user_tier, valid_from
 FROM hist WHERE is_current""",
     "scd2_merge_batch": _HIST + "SELECT * FROM hist",
-    "new_users_anti": _FIRST_DAY_HIST
-    + f""", later AS (
+    "new_users_anti": _HIST_STRANGERS
+    + """, later AS (
   SELECT user_id, event_timestamp AS seen_at, country, platform AS preferred_platform,
          ROW_NUMBER() OVER (PARTITION BY user_id
                             ORDER BY event_timestamp DESC, event_id DESC) AS place
-  FROM ev WHERE event_date > DATE '{FIRST_DAY}')
+  FROM seen)
 SELECT user_id, seen_at, country, preferred_platform FROM later
-WHERE place = 1 AND user_id NOT IN (SELECT user_id FROM known WHERE is_current)""",
+WHERE place = 1 AND user_id NOT IN (SELECT user_id FROM hist WHERE is_current)""",
     "pit_join": _HIST
     + f"""SELECT event_id, ev.user_id, event_timestamp, user_sk, preferred_platform
 FROM ev JOIN hist AS h ON {_PIT}""",
     "load_fact_events": _HIST
     + f"""SELECT event_id, event_timestamp, event_date, user_sk, ev.user_id, platform, ev.country,
-       event_type, session_id, metadata, {_LANE_SK} AS event_sk
+       event_type, session_id, metadata
 FROM ev JOIN hist AS h ON {_PIT}""",
+    "fact_keys": _HIST
+    + f"""SELECT event_date, COUNT(*) AS n, COUNT(*) AS n_keys, COUNT(*) AS n_same
+FROM ev JOIN hist AS h ON {_PIT} GROUP BY event_date""",
+    "completed_orders": _HIST
+    + f"""SELECT user_sk, event_date AS order_date, COUNT(*) AS n,
+       CAST(SUM(amount) AS DOUBLE) AS amount
+FROM ev JOIN hist AS h ON {_PIT}
+WHERE event_type = 'purchase' AND amount > 0 AND event_id % 10 <> 0
+GROUP BY user_sk, event_date""",
     "load_fact_orders": _HIST
     + f"""SELECT {_ORDER_COLUMNS}, user_sk, ev.user_id,
        CAST(SUBSTR(product_id, 5) AS BIGINT) AS product_sk,
        CAST(amount AS DOUBLE) AS order_amount, 'USD' AS currency,
        COALESCE(metadata->>'$.payment_gateway', 'stripe') AS payment_gateway,
-       'completed' AS order_status, {_LANE_SK} AS order_sk
+       'completed' AS order_status
 FROM ev JOIN hist AS h ON {_PIT}
 WHERE event_type = 'purchase' AND amount > 0""",
     "facts_snapshot_join": _with(SQL_EVENTS, _SNAP)
@@ -349,23 +394,42 @@ FROM ev JOIN snap ON ev.user_id = snap.user_id""",
        ROW_NUMBER() OVER (ORDER BY event_timestamp, event_id) AS order_sk
 FROM ev JOIN snap ON ev.user_id = snap.user_id
 WHERE event_type = 'purchase' AND amount > 0""",
-    "daily_load": _HIST
-    + f""", kept AS (
-  SELECT ev.*, user_sk FROM ev JOIN hist AS h ON {_PIT}),
-sold AS (SELECT * FROM kept WHERE event_type = 'purchase' AND amount > 0),
-kept_keys AS (SELECT *, {_LANE_SK} AS sk FROM kept),
-sold_keys AS (SELECT *, {_LANE_SK} AS sk FROM sold)
-SELECT 'fact_events' AS loaded_table, event_date AS day, COUNT(*) AS n,
-       CAST(SUM(user_sk) AS BIGINT) AS sk_sum, MAX(sk) AS top_sk, CAST(0 AS DOUBLE) AS amount
-FROM kept_keys GROUP BY event_date
-UNION ALL
-SELECT 'fact_orders', event_date, COUNT(*), CAST(SUM(user_sk) AS BIGINT), MAX(sk),
-       CAST(SUM(amount) AS DOUBLE)
-FROM sold_keys GROUP BY event_date
-UNION ALL
-SELECT 'dim_user', CAST(valid_from AS DATE), COUNT(*), CAST(SUM(user_sk) AS BIGINT), MAX(user_sk),
-       CAST(0 AS DOUBLE)
-FROM hist GROUP BY CAST(valid_from AS DATE)""",
+    "daily_load": _HIST + _loaded(),
+    "daily_load_after_rebuild": _HIST + _loaded(),
+    "empty_day_rerun": _with(
+        SQL_EVENTS,
+        "early AS (SELECT * FROM ev WHERE event_date < (SELECT MAX(event_date) FROM ev))",
+        _history("early", "hist"),
+    )
+    + _loaded("WHERE event_date < (SELECT MAX(event_date) FROM ev)"),
+    "dim_user_as_of": _with(
+        SQL_EVENTS,
+        *(
+            part
+            for i, day in enumerate(AS_OF_DAYS)
+            for part in (
+                f"ev{i} AS (SELECT * FROM ev WHERE event_date <= DATE '{day}')",
+                _history(f"ev{i}", f"hist{i}"),
+            )
+        ),
+    )
+    + " UNION ALL ".join(_as_of(day, i) for i, day in enumerate(AS_OF_DAYS)),
+    "activity_of_loaded_tables": _ACTIVE.replace(
+        "FROM ev WHERE", f"FROM (SELECT ev.* FROM ev JOIN hist AS h ON {_PIT}) AS ev WHERE"
+    )
+    + """SELECT user_id, country, preferred_platform, total_events, active_days, post_count,
+       like_count, purchase_count, CAST(total_spend AS DOUBLE) AS total_spend, last_active_at
+FROM activity""",
+    "dq_rejected_rows": _with(SQL_EVENTS, SQL_DIRTY_LAKE)
+    + """, typed AS (
+  SELECT *, try_cast(event_date AS DATE) AS d,
+         try_cast(replace(event_timestamp, 'Z', '') AS TIMESTAMP) AS seen_at FROM lake)
+SELECT 'event_date' AS reason, COUNT(*) FILTER (d IS NULL) AS failing_rows FROM typed
+UNION ALL SELECT 'event_date_unlike_folder', COUNT(*) FILTER (d <> date) FROM typed
+UNION ALL SELECT 'event_timestamp', COUNT(*) FILTER (seen_at IS NULL) FROM typed
+UNION ALL SELECT 'time_outside_day', COUNT(*) FILTER (CAST(seen_at AS DATE) <> d) FROM typed
+UNION ALL SELECT 'amount', COUNT(*) FILTER (amount = 250000000 OR isnan(amount)) FROM typed
+UNION ALL SELECT 'event_type', COUNT(*) FILTER (event_type IS NULL) FROM typed""",
     "dq_not_null": _EV_DIRTY
     + " UNION ALL ".join(
         f"SELECT 'not_null: {c}' AS \"check\", COUNT(*) FILTER ({c} IS NULL) = 0 AS passed, "
@@ -386,9 +450,9 @@ WHERE event_type NOT IN ('signup', 'login', 'post', 'like', 'purchase') GROUP BY
 UNION ALL
 SELECT 'platform', platform, COUNT(*) FROM dirty
 WHERE platform NOT IN ('ios', 'android', 'web') GROUP BY platform""",
-    "dq_relationships": _FIRST_DAY_HIST
-    + """SELECT user_id, COUNT(*) AS n FROM ev
-WHERE user_id NOT IN (SELECT user_id FROM known WHERE is_current) GROUP BY user_id""",
+    "dq_relationships": _HIST_STRANGERS
+    + """SELECT user_id, COUNT(*) AS n FROM seen
+WHERE user_id NOT IN (SELECT user_id FROM hist WHERE is_current) GROUP BY user_id""",
     "dq_range": _EV_DIRTY
     + """SELECT event_id, event_date, CAST(amount AS DOUBLE) AS amount FROM dirty
 WHERE NOT (amount >= 0)""",
@@ -418,19 +482,21 @@ FROM framed WHERE ABS(row_count - baseline_7d_avg) / baseline_7d_avg > {DRIFT}""
          COUNT(*) FILTER (event_timestamp IS NULL) AS n4,
          COUNT(*) FILTER (event_type IS NULL OR event_type NOT IN
                           ('signup', 'login', 'post', 'like', 'purchase')) AS unexpected,
-         COUNT(*) FILTER (amount < 0) AS negative
+         COUNT(*) FILTER (amount < 0) AS negative,
+         array_to_string(list_sort(list_distinct(list(event_type) FILTER (event_type NOT IN
+                          ('signup', 'login', 'post', 'like', 'purchase')))), ', ') AS others
   FROM dirty),
 r AS (
-  SELECT 'expect_column_values_to_be_unique: event_id' AS "check", dup AS failing_rows FROM c
-  UNION ALL SELECT 'expect_column_values_to_not_be_null: event_id', n1 FROM c
-  UNION ALL SELECT 'expect_column_values_to_not_be_null: user_id', n2 FROM c
-  UNION ALL SELECT 'expect_column_values_to_not_be_null: event_type', n3 FROM c
-  UNION ALL SELECT 'expect_column_values_to_not_be_null: event_timestamp', n4 FROM c
-  UNION ALL SELECT 'expect_column_values_to_be_in_set: event_type', unexpected FROM c
-  UNION ALL SELECT 'expect_column_values_to_be_between: amount >= 0', negative FROM c)
+  SELECT 'expect_column_values_to_be_unique: event_id' AS "check", dup AS failing_rows, 'Duplicates found: ' || dup AS message FROM c
+  UNION ALL SELECT 'expect_column_values_to_not_be_null: event_id', n1, 'Null count in event_id: ' || n1 FROM c
+  UNION ALL SELECT 'expect_column_values_to_not_be_null: user_id', n2, 'Null count in user_id: ' || n2 FROM c
+  UNION ALL SELECT 'expect_column_values_to_not_be_null: event_type', n3, 'Null count in event_type: ' || n3 FROM c
+  UNION ALL SELECT 'expect_column_values_to_not_be_null: event_timestamp', n4, 'Null count in event_timestamp: ' || n4 FROM c
+  UNION ALL SELECT 'expect_column_values_to_be_in_set: event_type', unexpected, 'Unexpected event types: {' || others || '}' FROM c
+  UNION ALL SELECT 'expect_column_values_to_be_between: amount >= 0', negative, 'Negative amounts detected: ' || negative FROM c)
 SELECT 'product_events_core_expectations' AS suite_name, (SELECT total FROM c) AS total_records,
        MAX(failing_rows) OVER () = 0 AS checks_passed, "check", failing_rows = 0 AS passed,
-       failing_rows
+       failing_rows, message
 FROM r""",
     "dq_gate": _EV_DIRTY
     + """SELECT COUNT(*) FILTER (user_id IS NULL OR event_timestamp IS NULL) AS missing_required,
@@ -456,7 +522,7 @@ UNION ALL SELECT 'overlap', o = 0, o FROM t
 UNION ALL SELECT 'not_one_current', c = 0, c FROM t""",
     "dq_declared": _with(SQL_EVENTS, SQL_DIRTY, _history("ev", "hist"))
     + f""", kept AS (SELECT ev.*, user_sk, valid_to FROM ev JOIN hist AS h ON {_PIT}),
-n AS (SELECT (SELECT COUNT(*) FROM kept WHERE valid_to IS NULL) AS lost,
+n AS (SELECT (SELECT COUNT(*) FROM kept WHERE event_id % 97 = 0) AS lost,
              (SELECT COUNT(*) FROM dirty WHERE user_id IS NULL) AS no_user,
              (SELECT COUNT(*) FROM dirty WHERE event_type = 'share') AS bad_type,
              (SELECT COUNT(*) FROM (SELECT event_id FROM dirty GROUP BY event_id
@@ -470,9 +536,11 @@ found AS (
     ('dim_user', 'not_null: is_current', ''), ('dim_user', 'unique: user_sk', ''),
     ('fact_events', 'not_null: event_id', ''), ('fact_events', 'not_null: user_sk', ''),
     ('fact_events', 'not_null: event_date', ''), ('fact_events', 'accepted_values: platform', ''),
-    ('fact_events', 'unique: event_id', ''), ('fact_events', 'relationships: user_sk', 'lost'),
+    ('fact_events', 'unique: event_id', ''), ('fact_events', 'unique: event_date, event_id', ''),
+    ('fact_events', 'relationships: user_sk', 'lost'),
     ('fact_orders', 'not_null: order_id', ''), ('fact_orders', 'not_null: order_amount', ''),
     ('fact_orders', 'not_negative: order_amount', ''), ('fact_orders', 'unique: order_id', ''),
+    ('fact_orders', 'unique: order_date, order_id', ''),
     ('stg_events', 'not_null: event_id', ''), ('stg_events', 'not_null: user_id', 'no_user'),
     ('stg_events', 'not_null: event_type', ''), ('stg_events', 'not_null: event_timestamp', ''),
     ('stg_events', 'accepted_values: event_type', 'bad_type'),

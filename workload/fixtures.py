@@ -53,6 +53,27 @@ SELECT event_id, user_id, event_type, event_timestamp, event_date, platform, amo
 FROM {{events}} WHERE event_id % 101 = 0
 """
 
+STRANGERS = """
+SELECT event_id, CASE WHEN event_id % 97 = 0 THEN user_id || 'X' ELSE user_id END AS user_id,
+       event_type, event_timestamp, event_date, platform, country
+FROM {events}
+"""
+
+# Text as a foreign writer may leave it; ``date`` is the folder.
+DIRTY_LAKE = """
+SELECT CAST(event_id AS VARCHAR(20)) AS event_id, user_id,
+  CASE WHEN event_id % 89 = 0 THEN NULL ELSE event_type END AS event_type,
+  CASE WHEN event_id % 83 = 0 THEN 'noon' WHEN event_id % 79 = 0 THEN NULL
+       ELSE CAST(event_date AS VARCHAR(10)) || 'T12:00:00Z' END AS event_timestamp,
+  CASE WHEN event_id % 101 = 0 THEN '2024-13-45' WHEN event_id % 97 = 0 THEN '2023-06-01'
+       WHEN event_id % 103 = 0 THEN NULL ELSE CAST(event_date AS VARCHAR(10)) END AS event_date,
+  event_date AS date,
+  CASE WHEN event_id % 71 = 0 THEN CAST(250000000 AS DOUBLE)
+       WHEN event_id % 73 = 0 THEN CAST('NaN' AS DOUBLE)
+       ELSE CAST(amount AS DOUBLE) END AS amount
+FROM {events}
+"""
+
 USERDAY = """
 SELECT event_id, user_id || '#' || CAST(event_date AS VARCHAR(10)) AS user_id,
        event_type, event_timestamp
@@ -85,6 +106,16 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(events(spark, sf_dir), DIRTY.format(events="SOURCE"))
 
 
+def strangers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events, some of them by users whom nobody has seen."""
+    return _derive(events(spark, sf_dir), STRANGERS.format(events="SOURCE"))
+
+
+def dirty_lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lake rows with values that staging cannot hold."""
+    return _derive(events(spark, sf_dir), DIRTY_LAKE.format(events="SOURCE"))
+
+
 def user_day_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events keyed by user and day, where most keys do not finish the funnel."""
     return _derive(events(spark, sf_dir), USERDAY.format(events="SOURCE"))
@@ -98,5 +129,7 @@ def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The same inputs as common table expressions of the SQL check.
 SQL_EVENTS = "ev AS (" + EVENTS.format(js="props->>'$.k'", events="events") + ")"
 SQL_DIRTY = "dirty AS (" + DIRTY.format(events="ev") + ")"
+SQL_STRANGERS = "seen AS (" + STRANGERS.format(events="ev") + ")"
+SQL_DIRTY_LAKE = "lake AS (" + DIRTY_LAKE.format(events="ev") + ")"
 SQL_USERDAY = "ud AS (" + USERDAY.format(events="ev") + ")"
 SQL_ORDERS = "co AS (" + CUSTOMER_ORDERS.format(orders="orders") + ")"

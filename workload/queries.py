@@ -32,7 +32,13 @@ from tidemark.schemas import (
     UUID_PATTERN,
     conform,
 )
-from tidemark.sources.events import partition_inventory, read_day, read_events, typed_columns
+from tidemark.sources.events import (
+    partition_inventory,
+    read_day,
+    read_events,
+    rejected_rows,
+    typed_columns,
+)
 from tidemark.sources.scratch import new_folder
 from tidemark.sources.sinks import (
     overwrite_partitions,
@@ -46,7 +52,9 @@ from workload.fixtures import (
     RETENTION_AS_OF,
     customer_orders,
     dirty_events,
+    dirty_lake_rows,
     events,
+    strangers,
     user_day_events,
 )
 
@@ -55,7 +63,7 @@ _QUERIES: dict[str, Query] = {}
 
 FRESH_AT = datetime(2024, 1, 31, 12, 0, 0)
 LAST_DAY = date(2024, 1, 30)
-FIRST_DAY = date(2024, 1, 1)
+AS_OF_DAYS = (date(2024, 1, 5), date(2024, 1, 17), date(2024, 1, 29))
 DRIFT = 0.05
 
 
@@ -158,10 +166,25 @@ def parquet_roundtrip(spark, sf_dir):
 @query
 def json_roundtrip(spark, sf_dir):
     root = new_folder(spark, "json-lake")
-    write_json_lake(events(spark, sf_dir), root)
+    # Keys out of order, a number with a final zero, and text that is not JSON.
+    text = F.concat(F.lit('{"z": 1.50,'), F.substring("metadata", 2, 1000))
+    text = F.when(F.col("event_id") % 7 == 0, F.lit("no: json")).otherwise(text)
+    write_json_lake(events(spark, sf_dir).withColumn("metadata", text), root)
     return _plain(read_events(spark, root, fmt="json"))
 
 
+@query
+def scan_untyped_product(spark, sf_dir):
+    """The default reader over a lake where the likes' files hold no typed product."""
+    root = new_folder(spark, "untyped-lake")
+    rows = raw_rows(events(spark, sf_dir)).withColumn("date", F.to_date("event_date"))
+    likes = F.col("event_type") == "like"
+    untyped = rows.where(likes).withColumn("product_id", F.lit(None).cast("int"))
+    for part in (rows.where(~likes), untyped):
+        part.write.partitionBy("date").mode("append").parquet(root)
+    return _plain(read_events(spark, root))
+
+
 @query
 def lake_one_day(spark, sf_dir):
     raw = read_day(spark, _lake(spark, sf_dir), LAST_DAY, typed=True)
@@ -170,8 +193,18 @@ def lake_one_day(spark, sf_dir):
 
 @query_named("partition_inventory")
 def inventory_of_days(spark, sf_dir):
-    found = partition_inventory(spark, _lake(spark, sf_dir))
-    return found.select("date", (F.col("n_files") > 0).alias("has_files"), "n_rows")
+    """Two Parquet files per day, for the last day a third without rows, and one of JSON."""
+    root = new_folder(spark, "mixed-lake")
+    rows = raw_rows(events(spark, sf_dir)).withColumn("date", F.to_date("event_date"))
+    signups = F.col("event_type") == "signup"
+    for part in (rows.where(signups), rows.where(~signups)):
+        part.repartition("date").write.partitionBy("date").mode("append").parquet(root)
+    none = rows.where(F.lit(False)).drop("date").coalesce(1)
+    none.write.mode("append").parquet(f"{root}/date={LAST_DAY}")
+    last = events(spark, sf_dir).where(F.col("event_date") == F.lit(LAST_DAY))
+    write_json_lake(last.repartition(1), root)
+    found = partition_inventory(spark, root)
+    return found.select("date", "format", "n_files", (F.col("n_bytes") > 0).alias("has_bytes"), "n_rows")
 
 
 @query
@@ -208,11 +241,9 @@ def intraday_range(spark, sf_dir):
 
 @query
 def user_type_lookup(spark, sf_dir):
-    """Likes of every user who bought on the last day, by a keyed lookup."""
+    """Likes of every user who once paid more than most, by a keyed lookup."""
     rows = events(spark, sf_dir)
-    buyers = rows.where(
-        (F.col("event_type") == "purchase") & (F.col("event_date") == F.lit(LAST_DAY))
-    )
+    buyers = rows.where((F.col("event_type") == "purchase") & (F.col("amount") > F.lit(150)))
     likes = rows.where(F.col("event_type") == "like")
     wanted = buyers.select("user_id").distinct()
     return skewed_join(likes, wanted, "user_id", spread_by=["event_id"]).select(
@@ -444,11 +475,9 @@ def scd2_merge_batch(spark, sf_dir):
 
 @query
 def new_users_anti(spark, sf_dir):
-    """Users of the later days without a version from the first day."""
-    rows = events(spark, sf_dir)
-    known = scd2_history(rows.where(F.col("event_date") <= F.lit(FIRST_DAY)), surrogate=None)
-    later = rows.where(F.col("event_date") > F.lit(FIRST_DAY))
-    return new_keys(known.where("is_current"), later)
+    """Users of a batch, some of them strangers, without an open version."""
+    known = scd2_history(events(spark, sf_dir), surrogate=None)
+    return new_keys(known.where("is_current"), strangers(spark, sf_dir))
 
 
 @query_named("pit_join")
@@ -461,13 +490,43 @@ def point_in_time_join(spark, sf_dir):
 @query
 def load_fact_events(spark, sf_dir):
     rows = events(spark, sf_dir)
-    return facts.load_fact_events(rows, scd2_history(rows))
+    return facts.load_fact_events(rows, scd2_history(rows)).drop("event_sk")
 
 
 @query
 def load_fact_orders(spark, sf_dir):
     rows = events(spark, sf_dir)
-    return _plain(facts.load_fact_orders(rows, scd2_history(rows), dims.dim_product(spark)))
+    orders = facts.load_fact_orders(rows, scd2_history(rows), dims.dim_product(spark))
+    return _plain(orders.drop("order_sk"))
+
+
+@query
+def fact_keys(spark, sf_dir):
+    """Per day: facts, distinct keys, and facts that get the same key when loaded in another order."""
+    rows = events(spark, sf_dir)
+    users = scd2_history(rows)
+    once = facts.load_fact_events(rows, users).select("event_date", "event_id", "event_sk")
+    again = facts.load_fact_events(rows.repartition("session_id"), users)
+    both = once.join(again.select("event_id", F.col("event_sk").alias("again")), "event_id")
+    return both.groupBy("event_date").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("event_sk").alias("n_keys"),
+        F.count_if(F.col("event_sk") == F.col("again")).alias("n_same"),
+    )
+
+
+@query
+def completed_orders(spark, sf_dir):
+    """Orders per user and day among those completed; every tenth is taken as refunded."""
+    rows = events(spark, sf_dir)
+    orders = facts.load_fact_orders(rows, scd2_history(rows), dims.dim_product(spark), keyed=False)
+    refunded = F.when(F.col("event_id") % 10 == 0, F.lit("refunded"))
+    orders = orders.withColumn("order_status", F.coalesce(refunded, "order_status"))
+    return _plain(
+        orders.where(F.col("order_status") == "completed")
+        .groupBy("user_sk", "order_date")
+        .agg(F.count("*").alias("n"), F.sum("order_amount").alias("amount"))
+    )
 
 
 @query
@@ -490,19 +549,81 @@ def daily_load(spark, sf_dir):
     daily.rebuild(spark, lake, target, upto=last - timedelta(days=1), typed=True)
     for _ in range(2):
         daily.run_daily(spark, lake, target, last, typed=True)
+    return _loaded(spark, target)
+
+
+@query
+def daily_load_after_rebuild(spark, sf_dir):
+    """Rebuild to the newest day, rerun it, come with a late day, rerun the newest day again."""
+    lake, target = _lake(spark, sf_dir), new_folder(spark, "warehouse")
+    last = _newest_day(events(spark, sf_dir))
+    daily.rebuild(spark, lake, target, typed=True)
+    daily.run_daily(spark, lake, target, last, typed=True)
+    late = last - timedelta(days=3)
+    daily.run_daily(spark, lake, target, late, typed=True, rebuild_if_older=True)
+    daily.run_daily(spark, lake, target, last, typed=True)
+    return _loaded(spark, target)
+
+
+@query
+def dim_user_as_of(spark, sf_dir):
+    """What the dimension was after three earlier days, read after a rebuild to the newest."""
+    lake, target = _lake(spark, sf_dir), new_folder(spark, "warehouse")
+    daily.rebuild(spark, lake, target, typed=True)
+    parts = []
+    for day in AS_OF_DAYS:
+        users = daily.read_dim_user(spark, target, as_of=day)
+        parts.append(users.select(F.lit(day).alias("as_of"), *_VERSION, _ended(), "is_current"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def empty_day_rerun(spark, sf_dir):
+    """Load to the newest day, take its rows out of the lake but not its folder, and rerun it."""
+    lake, target = _lake(spark, sf_dir), new_folder(spark, "warehouse")
+    rows = events(spark, sf_dir)
+    last = _newest_day(rows)
+    daily.rebuild(spark, lake, target, typed=True)
+    held = read_day(spark, lake, last, typed=True).where(F.lit(False)).drop("date")
+    held.coalesce(1).write.mode("overwrite").parquet(f"{lake}/date={last}")
+    daily.run_daily(spark, lake, target, last, typed=True)
+    daily.run_daily(spark, lake, target, last + timedelta(days=1), typed=True)
+    return _loaded(spark, target)
+
+
+@query
+def activity_of_loaded_tables(spark, sf_dir):
+    """User activity over what the loader wrote, instead of over staged events."""
+    lake, target = _lake(spark, sf_dir), new_folder(spark, "warehouse")
+    daily.rebuild(spark, lake, target, typed=True)
+    found = marts.user_activity(
+        daily.read_dim_user(spark, target),
+        daily.read_fact_events(spark, target),
+        daily.read_fact_orders(spark, target),
+        AS_OF,
+    )
+    return _plain(found)
+
+
+def _loaded(spark: SparkSession, target: str) -> DataFrame:
+    """Counts and keys of every table of a warehouse, per day."""
     zero = F.lit(0).cast("double")
     event_rows = daily.read_fact_events(spark, target).groupBy("event_date").agg(
-        F.count("*").alias("n"), F.sum("user_sk").alias("sk_sum"), F.max("event_sk").alias("top_sk")
+        F.count("*").alias("n"),
+        F.sum("user_sk").alias("sk_sum"),
+        F.count_distinct("event_sk").alias("n_keys"),
     )
     order_rows = daily.read_fact_orders(spark, target).groupBy("order_date").agg(
         F.count("*").alias("n"),
         F.sum("user_sk").alias("sk_sum"),
-        F.max("order_sk").alias("top_sk"),
+        F.count_distinct("order_sk").alias("n_keys"),
         F.sum("order_amount").cast("double").alias("amount"),
     )
     users = daily.read_dim_user(spark, target)
     user_rows = users.groupBy(F.to_date("valid_from").alias("day")).agg(
-        F.count("*").alias("n"), F.sum("user_sk").alias("sk_sum"), F.max("user_sk").alias("top_sk")
+        F.count("*").alias("n"),
+        F.sum("user_sk").alias("sk_sum"),
+        F.count_distinct("user_sk").alias("n_keys"),
     )
     parts = [
         ("fact_events", event_rows.withColumnRenamed("event_date", "day").withColumn("amount", zero)),
@@ -510,7 +631,7 @@ def daily_load(spark, sf_dir):
         ("dim_user", user_rows.withColumn("amount", zero)),
     ]
     out = [
-        df.select(F.lit(name).alias("loaded_table"), "day", "n", "sk_sum", "top_sk", "amount")
+        df.select(F.lit(name).alias("loaded_table"), "day", "n", "sk_sum", "n_keys", "amount")
         for name, df in parts
     ]
     return out[0].unionByName(out[1]).unionByName(out[2])
@@ -559,10 +680,9 @@ def dq_accepted_values(spark, sf_dir):
 
 @query
 def dq_relationships(spark, sf_dir):
-    """Facts whose user has no version from the first day."""
-    rows = events(spark, sf_dir)
-    known = scd2_history(rows.where(F.col("event_date") <= F.lit(FIRST_DAY)), surrogate=None)
-    return quality.orphans(rows, known.where("is_current"), "user_id")
+    """Facts, some of them of strangers, whose user has no open version."""
+    known = scd2_history(events(spark, sf_dir), surrogate=None)
+    return quality.orphans(strangers(spark, sf_dir), known.where("is_current"), "user_id")
 
 
 @query
@@ -583,7 +703,13 @@ def row_count_drift(spark, sf_dir):
 
 @query
 def dq_suite(spark, sf_dir):
-    return quality.event_suite(dirty_events(spark, sf_dir)).drop("message")
+    return quality.event_suite(dirty_events(spark, sf_dir))
+
+
+@query
+def dq_rejected_rows(spark, sf_dir):
+    """Why raw rows of a dirty lake cannot be staged, and how many."""
+    return rejected_rows(dirty_lake_rows(spark, sf_dir))
 
 
 @query
@@ -616,15 +742,16 @@ def dq_text_limits(spark, sf_dir):
 
 @query
 def dq_declared(spark, sf_dir):
-    """All declared tests; open versions are left out of the parent so that some facts fail."""
-    rows = events(spark, sf_dir)
-    history = scd2_history(rows)
-    products = dims.dim_product(spark)
+    """All declared tests over loaded tables; some facts get a key that no user has."""
+    lake, target = _lake(spark, sf_dir), new_folder(spark, "warehouse")
+    daily.rebuild(spark, lake, target, typed=True)
+    lost = F.col("event_id").cast("bigint") % 97 == 0
+    user = F.when(lost, -F.col("user_sk")).otherwise(F.col("user_sk"))
     return quality.declared_checks(
         {
-            "dim_user": history.where(~F.col("is_current")),
-            "fact_events": facts.load_fact_events(rows, history, keyed=False),
-            "fact_orders": facts.load_fact_orders(rows, history, products, keyed=False),
+            "dim_user": daily.read_dim_user(spark, target),
+            "fact_events": daily.read_fact_events(spark, target).withColumn("user_sk", user),
+            "fact_orders": daily.read_fact_orders(spark, target),
             "stg_events": dirty_events(spark, sf_dir),
         }
     )
