@@ -23,7 +23,7 @@ def good(rows, labels):
         bad = max(symbols / per / 0.1, shouts / per / 0.2, dup / of / 0.3, repeated / per / 0.1)
         judged.append((r, failed, bad))
     holdout = [(r["lang"], bad, labels[r["doc_id"]]) for r, failed, bad in judged if not failed and r["doc_id"] in labels]
-    cutoffs = test_quality_rules.plain_cutoffs(holdout, (0.25, 0.5, 1.0, 2.0, 4.0, 8.0), 0.01, 0.05)
+    cutoffs = test_quality_rules.plain_cutoffs(holdout, (0.25, 0.5, 1.0, 2.0, 4.0, 8.0), 0.02, 0.05)
     return [r for r, failed, bad in judged if not failed and not bad > cutoffs.get(r["lang"], float("inf"))]
 
 

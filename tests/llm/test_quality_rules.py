@@ -65,7 +65,7 @@ def plain_cutoffs(rows, cutoffs, rate, risk):
         for c in cutoffs:
             wrong = sum(b > c for b in good)
             if good and wrong <= rate * len(good) and exact(wrong, len(good), rate) <= risk / (len(strata) * len(cutoffs)):
-                passed.append((sum(b > c for b in bad), c))
+                passed.append((sum(b > c for b in bad) - wrong, c))
         if passed:
             out[stratum] = max(passed)[1]
     return out

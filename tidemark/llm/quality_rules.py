@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import SPACES, let, words_of
 from tidemark.sources.scratch import pin
 
-RATE = 0.01  # of good documents that a cutoff may reject
+RATE = 0.02  # of good documents that a cutoff may reject
 RISK = 0.05  # that any cutoff breaks this
 CUTOFFS = (0.25, 0.5, 1.0, 2.0, 4.0, 8.0)
 STRATUM = "lang"
@@ -157,8 +157,8 @@ def certified_cutoffs(
 ) -> DataFrame:
     """``stratum, cutoff`` from ``labelled (stratum, badness, quality)``, one row per stratum that has one.
 
-    Of a stratum's certified cutoffs the one that rejects most bad documents is taken,
-    of equals the loosest. A stratum with too few labels to certify any gets no row.
+    Of a stratum's certified cutoffs the one is taken that rejects most bad documents
+    beyond the good ones that it costs, of equals the loosest. A stratum with too few labels to certify any gets no row.
     Every stratum and every cutoff counts as a test of its own.
     """
     good, bad = F.col("quality") == 1, F.col("quality") == 0
@@ -189,7 +189,8 @@ def certified_cutoffs(
     )
     chance = at_most(F.col("test.wrong"), F.col("n"), rate)
     passed = tests.where((F.col("n") > 0) & (chance <= F.lit(risk) / F.col("tests")))
-    best = F.max(F.struct("test.right", "test.cutoff"))
+    gain = (F.col("test.right") - F.col("test.wrong")).alias("gain")
+    best = F.max(F.struct(gain, "test.cutoff"))
     return passed.groupBy("stratum").agg(best.alias("best")).select("stratum", "best.cutoff")
 
 

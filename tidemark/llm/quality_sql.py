@@ -48,11 +48,11 @@ WITH texts AS (
   SELECT *, count(*) OVER () AS m,
          list_sum(list_transform(range(0, wrong + 1), lambda i:
            exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
-               + i * ln(0.01::DOUBLE) + (n - i) * ln(0.99::DOUBLE)))) AS chance
+               + i * ln(0.02::DOUBLE) + (n - i) * ln(0.98::DOUBLE)))) AS chance
   FROM tests WHERE true
 ), chosen AS (
-  SELECT lang AS held, arg_max(cutoff, hits * 1000.0 + cutoff) AS cutoff
-  FROM chances WHERE n > 0 AND wrong <= n * 0.01 AND chance <= 0.05 / m GROUP BY lang
+  SELECT lang AS held, arg_max(cutoff, (hits - wrong) * 1000.0 + cutoff) AS cutoff
+  FROM chances WHERE n > 0 AND wrong <= n * 0.02 AND chance <= 0.05 / m GROUP BY lang
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_shouts, n_lines,
        base_failed, NOT base_failed AND NOT coalesce(badness > cutoff, false) AS kept, badness, cutoff
