@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -15,6 +17,8 @@ def local_session(cores: int | str = "*", app: str = "tidemark") -> SparkSession
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # Scratch tables go to a folder with a name, as they do on a cluster.
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-scratch-"))
         # Do not look up the Python call site of every column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
