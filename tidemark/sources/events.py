@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tidemark.functions import utc_timestamp
 from tidemark.functions.days import as_date
 from tidemark.schemas import MONEY, RAW_EVENT
-from tidemark.sources.sinks import path_exists
+from tidemark.sources.sinks import file_names, partition_days, path_exists
 
 PARTITION = "date"
 # JSON lines that our own sink puts together end in .txt.
@@ -40,27 +40,36 @@ def _scan(spark: SparkSession, root: str, fmt: str) -> DataFrame:
     return reader.option("pathGlobFilter", _GLOBS[fmt]).format(fmt).load(root)
 
 
-def _files_without_product(spark: SparkSession, files: list[str]) -> list[str]:
-    """Files whose ``product_id`` column has no type because every value is NULL.
-
-    Footers are compared by a Spark job; a group that does not agree is halved,
-    so the number of jobs grows with the odd files, not with the lake.
-    """
-    if not files:
-        return []
+def _product_type(spark: SparkSession, paths: list[str]) -> T.DataType | None:
+    """The common type of ``product_id`` in the footers under ``paths``; None when they differ."""
     try:
-        schema = spark.read.option("mergeSchema", True).parquet(*files).schema
+        schema = spark.read.option("mergeSchema", True).parquet(*paths).schema
     except (PySparkException, Py4JJavaError) as failure:
         # Only types that do not agree are a finding; a file that cannot be read is not.
-        if len(files) == 1 or "MERGE_SCHEMA" not in str(failure).upper():
+        if len(paths) == 1 and not paths[0].rpartition("/")[2].startswith(f"{PARTITION}="):
             raise
-        half = len(files) // 2
-        return _files_without_product(spark, files[:half]) + _files_without_product(
-            spark, files[half:]
-        )
-    names = {f.name: f.dataType for f in schema.fields}
-    untyped = not isinstance(names.get("product_id", T.StringType()), T.StringType)
-    return files if untyped else []
+        if "MERGE_SCHEMA" not in str(failure).upper():
+            raise
+        return None
+    return {f.name: f.dataType for f in schema.fields}.get("product_id", T.StringType())
+
+
+def _untyped(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
+    """Paths whose ``product_id`` has no type because every value is NULL, and mixed ones.
+
+    Footers are compared by a Spark job; a group that does not agree is halved, so the
+    number of jobs grows with the odd paths, not with the lake.
+    """
+    if not paths:
+        return [], []
+    kind = _product_type(spark, paths)
+    if kind is None and len(paths) > 1:
+        half = len(paths) // 2
+        parts = [_untyped(spark, paths[:half]), _untyped(spark, paths[half:])]
+        return parts[0][0] + parts[1][0], parts[0][1] + parts[1][1]
+    if kind is None:
+        return [], paths
+    return ([] if isinstance(kind, T.StringType) else paths), []
 
 
 def read_raw(
@@ -81,27 +90,36 @@ def read_raw(
         lake = lake.where(F.col(PARTITION).isin([as_date(d) for d in days]))
     if typed or fmt == "json":
         return lake
-    if days is None:
-        files = lake.inputFiles()
-    else:
-        held = lake.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
-        files = [row.file for row in held]
-    odd = _files_without_product(spark, sorted(files))
-    if not odd:
+    wanted = [as_date(d) for d in days] if days is not None else None
+    held = [d for d in partition_days(spark, root, PARTITION) if wanted is None or d in wanted]
+    folders = {f"{root}/{PARTITION}={d}": d for d in held if _has_parquet(spark, root, d)}
+    whole, mixed = _untyped(spark, list(folders))
+    # Files are looked at one by one only in days that hold both kinds.
+    inside = lake.where(F.col(PARTITION).isin([folders[p] for p in mixed]))
+    names = inside.select(F.col("_metadata.file_path").alias("file")).distinct().collect() if mixed else []
+    files, _ = _untyped(spark, sorted(row.file for row in names))
+    if not whole and not files:
         return lake
-    # The odd files hold no product at all: read every other column from them.
+    # What is odd holds no product at all: read every other column from it.
     # Local paths come as file:/ while files are pruned and as file:/// in rows.
-    skipped = sorted({*odd, *(p.replace("file:///", "file:/") for p in odd)})
-    typed_files = ~F.col("_metadata.file_path").isin(skipped)
+    skipped = sorted({*files, *(p.replace("file:///", "file:/") for p in files)})
+    typed_rows = ~F.col(PARTITION).isin([folders[p] for p in whole])
+    if skipped:
+        typed_rows = typed_rows & ~F.col("_metadata.file_path").isin(skipped)
     rest = T.StructType([f for f in _LAKE.fields if f.name != "product_id"])
     without = (
         spark.read.schema(rest)
         .option("basePath", root)
-        .parquet(*odd)
+        .option("pathGlobFilter", _GLOBS["parquet"])
+        .parquet(*whole, *files)
         .withColumn("product_id", F.lit(None).cast("string"))
         .select(*_LAKE.fieldNames())
     )
-    return lake.where(typed_files).unionByName(without)
+    return lake.where(typed_rows).unionByName(without)
+
+
+def _has_parquet(spark: SparkSession, root: str, day: date) -> bool:
+    return any(n.endswith(".parquet") for n in file_names(spark, f"{root}/{PARTITION}={day}"))
 
 
 def typed_columns(timestamp: Column | None = None) -> list[Column]:

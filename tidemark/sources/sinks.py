@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from datetime import date
 
@@ -85,9 +86,9 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 def partition_days(spark: SparkSession, path: str, part_col: str) -> list[date]:
     """The days of a table's partitions, by its folders; no file is opened."""
-    names = _file_names(spark, path)
-    prefix = f"{part_col}="
-    return sorted(date.fromisoformat(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+    day = re.compile(rf"{re.escape(part_col)}=(\d{{4}}-\d{{2}}-\d{{2}})")
+    found = (day.fullmatch(name) for name in file_names(spark, path))
+    return sorted(date.fromisoformat(m[1]) for m in found if m)
 
 
 def replace_table(df: DataFrame, path: str, part_col: str, sort_col: str) -> None:
@@ -102,7 +103,8 @@ def replace_table(df: DataFrame, path: str, part_col: str, sort_col: str) -> Non
     )
 
 
-def _file_names(spark: SparkSession, path: str) -> set[str]:
+def file_names(spark: SparkSession, path: str) -> set[str]:
+    """Names in a folder; none when it is missing."""
     fs, located = _located(spark, path)
     return {s.getPath().getName() for s in fs.listStatus(located)} if fs.exists(located) else set()
 
@@ -123,7 +125,7 @@ def overwrite_partitions(
     """
     spark = df.sparkSession
     folders = {f"{path}/{part_col}={day}" for day in days}
-    before = {folder: _file_names(spark, folder) for folder in folders}
+    before = {folder: file_names(spark, folder) for folder in folders}
     out = _spread(df, part_col) if spread else df
     out = out.sortWithinPartitions(part_col, *([sort_col] if sort_col else []))
     (
@@ -135,5 +137,5 @@ def overwrite_partitions(
     # A dynamic overwrite leaves a day without new rows as it was; files that
     # are all still there show that, and such a day must end up empty.
     for folder, names in before.items():
-        if names and _file_names(spark, folder) == names:
+        if names and file_names(spark, folder) == names:
             delete_path(spark, folder)
