@@ -74,3 +74,56 @@ def test_bounds():
     assert licenses.size_bounds(10, 1.0) == (10, 10)
     with pytest.raises(ValueError):
         licenses.scan(None, least=0)
+
+
+def prose(start, n):
+    return " ".join(f"word{i} of the thing{i}" for i in range(start, start + n))
+
+
+def wrapped(text, width=76, prefix=""):
+    import textwrap
+
+    return "\n".join(prefix + line for line in textwrap.wrap(" ".join(text.split()), width))
+
+
+def found_in(df):
+    return sorted((r.doc_id, r.license) for r in df.collect())
+
+
+@pytest.mark.parametrize("name", ["MIT", "ISC", "Apache-2.0 header", "GPL-3.0 header", "MPL-2.0 header", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0"])
+def test_wrapped_licences_in_long_documents(documents, name):
+    text = licenses.TEMPLATES[name]
+    inside = "\n".join([prose(0, 300), wrapped(text), prose(300, 300)])
+    commented = "\n".join([prose(0, 50), wrapped(text, 60, " * "), prose(50, 200)])
+    one_line = " ".join([prose(0, 300), *text.split(), prose(300, 300)])
+    rows = [(1, inside), (2, commented), (3, one_line), (4, prose(0, 500))]
+    # A line may be a notice of its own, and the second text as a whole be like a long licence.
+    found = found_in(licenses.passages(documents(rows)))
+    assert found in ([(1, name), (2, name), (3, name)], [(1, name), (3, name)])
+    assert {(1, name), (2, name), (3, name)} <= set(found_in(licenses.scan_all(documents(rows))))
+
+
+def test_passages_between_other_words(documents):
+    bsd = licenses.TEMPLATES["BSD-3-Clause"].split()
+    edited = " ".join(w for i, w in enumerate(bsd) if i % 20)
+    rows = [
+        (1, "See the file; it is Released under the MIT License. Thanks to all who helped with it."),
+        (2, "\n".join(["Foo", prose(0, 100), wrapped(edited, 50), prose(200, 90)])),
+        (3, "\n".join([wrapped(licenses.TEMPLATES["MIT"]), prose(0, 200), wrapped(licenses.TEMPLATES["ISC"]), prose(0, 200), wrapped(licenses.TEMPLATES["MIT"])])),
+        (4, "Some text here.\nReleased under the MIT License.\nMore text."),
+        (5, " ".join(licenses.TEMPLATES["MIT"].split()[:80]) + "\n" + prose(0, 100)),
+    ]
+    found = licenses.passages(documents(rows)).collect()
+    assert sorted((r.doc_id, r.license) for r in found) == [
+        (1, "MIT notice"), (2, "BSD-3-Clause"), (3, "ISC"), (3, "MIT"), (3, "MIT"),
+    ]
+    by_doc = {r.doc_id: r for r in found}
+    assert (by_doc[1].unit, by_doc[1].dice, by_doc[1].n_bigrams) == (-6, 1.0, 4)
+    assert all(r.dice >= 0.8 for r in found)
+
+
+def test_passages_of_odd_tables(odd_documents, clashing, no_documents, documents):
+    assert licenses.passages(odd_documents).collect() == []
+    assert licenses.passages(clashing).collect() == []
+    assert licenses.passages(no_documents).collect() == []
+    assert licenses.passages(documents([(1, "x")]), {}).collect() == []

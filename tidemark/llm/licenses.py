@@ -1,4 +1,8 @@
-"""Licence scan: Dice coefficients of word bigrams against licence templates."""
+"""Licence scan: Dice coefficients of word bigrams against licence templates.
+
+``scan`` compares lines and whole texts, ``passages`` the stretches of words in between,
+and ``scan_all`` is both.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import id_and_text, let
+from tidemark.llm.license_texts import FULL_TEXTS
 
 LEAST_DICE = 0.8
 
@@ -70,7 +75,7 @@ TEMPLATES: dict[str, str] = {
         "of the MPL was not distributed with this file, You can obtain one at "
         "https://mozilla.org/MPL/2.0/."
     ),
-}
+} | FULL_TEXTS
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -83,13 +88,18 @@ def normal_words(text: Column) -> Column:
 
 def bigrams(words: Column) -> Column:
     """Hashes of the distinct pairs of neighbouring words."""
+    return F.array_distinct(pairs(words))
+
+
+def pairs(words: Column) -> Column:
+    """Hashes of all pairs of neighbouring words, in their order."""
 
-    def pairs(w: Column) -> Column:
+    def hashed(w: Column) -> Column:
         starts = F.sequence(F.lit(1), F.size(w) - F.lit(1))
-        found = F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, 2))))
+        found = F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, 2)))
         return F.when(F.size(w) > 1, found).otherwise(F.array().cast("array<bigint>"))
 
-    return let(words, pairs)
+    return let(words, hashed)
 
 
 def size_bounds(size: int, least: float) -> tuple[int, int]:
@@ -102,23 +112,47 @@ def size_bounds(size: int, least: float) -> tuple[int, int]:
     return ceil(size / factor - 1e-9), floor(size * factor + 1e-9)
 
 
-def _templates(spark: SparkSession, texts: Mapping[str, str], least: float) -> Column | None:
-    """The templates as one constant array: names, size bounds and bigrams."""
+_KNOWN = "array<struct<name:string,low:int,high:int,grams:array<bigint>>>"
+
+
+def _template_grams(spark: SparkSession, texts: Mapping[str, str]) -> list[tuple[str, list[int]]]:
+    """The templates that have bigrams, by name."""
     table = spark.createDataFrame(sorted(texts.items()), "name string, text string")
     rows = table.select("name", bigrams(normal_words(F.col("text"))).alias("grams")).collect()
+    return [(name, grams) for name, grams in sorted(map(tuple, rows)) if grams]
+
+
+def _templates(rows: list[tuple[str, list[int]]], least: float) -> Column:
+    """The templates as one constant array: names, size bounds and bigrams."""
     constants = []
-    for name, grams in sorted(map(tuple, rows)):
-        if grams:
-            low, high = size_bounds(len(grams), least)
-            constants.append(
-                F.struct(
-                    F.lit(name).alias("name"),
-                    F.lit(low).alias("low"),
-                    F.lit(high).alias("high"),
-                    F.lit(grams).cast("array<bigint>").alias("grams"),
-                )
+    for name, grams in rows:
+        low, high = size_bounds(len(grams), least)
+        constants.append(
+            F.struct(
+                F.lit(name).alias("name"),
+                F.lit(low).alias("low"),
+                F.lit(high).alias("high"),
+                # One string is one literal, however long the text is.
+                F.split(F.lit(" ".join(map(str, grams))), " ").cast("array<bigint>").alias("grams"),
             )
-    return F.array(*constants) if constants else None
+        )
+    return F.array(*constants) if constants else F.array().cast(_KNOWN)
+
+
+def _best(grams: Column, known: Column, least: float) -> Column:
+    """``dice, name`` of the template most like ``grams``; NULL if none reaches ``least``."""
+    n = F.size(grams)
+    near = F.filter(known, lambda t: (n >= t["low"]) & (n <= t["high"]))
+
+    def dice(t: Column) -> Column:
+        both = F.size(F.array_intersect(grams, t["grams"])).cast("double")
+        return F.struct(
+            (F.lit(2.0) * both / (n + F.size(t["grams"]))).alias("dice"), t["name"].alias("name")
+        )
+
+    scores = F.filter(F.transform(near, dice), lambda s: s["dice"] >= F.lit(least))
+    top = lambda found: F.filter(found, lambda s: s["dice"] == F.array_max(found)["dice"])
+    return let(scores, lambda found: F.array_min(top(found)))
 
 
 def scan(
@@ -136,34 +170,15 @@ def scan(
     """
     if not 0 < least <= 1:
         raise ValueError("the least Dice coefficient must lie in (0, 1]")
-    known = _templates(docs.sparkSession, templates, least)
+    known = _templates(_template_grams(docs.sparkSession, templates), least)
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     # A text of one line is the line as well; the line then stands for both.
     whole = F.when(F.size(lines) > 1, F.array(F.col("text"))).otherwise(F.array(F.lit("")))
     units = id_and_text(docs).select("doc_id", F.posexplode(F.concat(whole, lines)).alias("unit", "part"))
     counted = units.select("doc_id", "unit", bigrams(normal_words(F.col("part"))).alias("grams"))
-    if known is None:
-        known = F.array().cast(
-            "array<struct<name:string,low:int,high:int,grams:array<bigint>>>"
-        )
-
-    def best(grams: Column) -> Column:
-        n = F.size(grams)
-        near = F.filter(known, lambda t: (n >= t["low"]) & (n <= t["high"]))
-
-        def dice(t: Column) -> Column:
-            both = F.size(F.array_intersect(grams, t["grams"])).cast("double")
-            return F.struct(
-                (F.lit(2.0) * both / (n + F.size(t["grams"]))).alias("dice"), t["name"].alias("name")
-            )
-
-        scores = F.filter(F.transform(near, dice), lambda s: s["dice"] >= F.lit(least))
-        top = lambda found: F.filter(found, lambda s: s["dice"] == F.array_max(found)["dice"])
-        return let(scores, lambda found: F.array_min(top(found)))
-
     scored = counted.select(
         "doc_id", "unit", F.explode(F.array(let(F.col("grams"), lambda g: F.struct(
-            best(g).alias("best"), F.size(g).alias("n")
+            _best(g, known, least).alias("best"), F.size(g).alias("n")
         )))).alias("found")
     )
     return scored.where(F.col("found.best").isNotNull()).select(
@@ -173,3 +188,216 @@ def scan(
         F.col("found.best.dice").alias("dice"),
         F.col("found.n").cast("bigint").alias("n_bigrams"),
     )
+
+
+def _steps(grams: Column) -> Column:
+    """``at, gram, before, after``: each place with the same bigram's last and next one."""
+    marked = F.transform(grams, lambda g, i: F.struct(g.alias("gram"), i.alias("at")))
+
+    def linked(held: Column) -> Column:
+        def beside(x: Column, j: Column, none: int) -> Column:
+            other = F.get(held, j)
+            return F.when(other["gram"] == x["gram"], other["at"]).otherwise(F.lit(none))
+
+        return F.transform(
+            held,
+            lambda x, j: F.struct(
+                x["at"].alias("at"),
+                x["gram"].alias("gram"),
+                beside(x, j - F.lit(1), -1).alias("before"),
+                beside(x, j + F.lit(1), 2**31 - 1).alias("after"),
+            ),
+        )
+
+    return F.array_sort(let(F.array_sort(marked), linked))
+
+
+def _stretches(steps: Column, template: Column, least: float) -> Column:
+    """Stretches of ``steps`` that reach ``least`` with ``template``, at most one per run.
+
+    A stretch reaches it when ``(2 - least) * hits - least * others`` over its distinct
+    bigrams is ``least`` times the template's size. A run ends where that sum falls to 0,
+    so what lies before cannot help what follows; its greatest sum is where the stretch
+    ends, and the greatest sum backwards from there is where it starts.
+    """
+    hit, other = F.lit(2.0 - least), F.lit(-float(least))
+    size = F.size(template["grams"])
+    span = "start:int,end:int"
+    state = f"struct<start:int,score:double,hits:int,best:double,end:int,most:int,found:array<struct<{span}>>>"
+
+    def fresh_run(at: Column, found: Column) -> Column:
+        none = F.lit(0)
+        return F.struct(
+            at.alias("start"), F.lit(0.0).alias("score"), none.alias("hits"), F.lit(0.0).alias("best"),
+            F.lit(-1).alias("end"), none.alias("most"), found.alias("found"),
+        )
+
+    def closed(s: Column) -> Column:
+        one = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))
+        return F.when(s["most"] >= template["low"], F.concat(s["found"], one)).otherwise(s["found"])
+
+    def forward(s: Column, x: Column) -> Column:
+        new = x["before"] < s["start"]
+        is_hit = new & F.array_contains(template["grams"], x["gram"])
+
+        def after(held: Column) -> Column:
+            score = s["score"] + F.when(held, hit).when(new, other).otherwise(F.lit(0.0))
+            hits = s["hits"] + held.cast("int")
+
+            def moved(v: Column) -> Column:
+                better = v > s["best"]
+                going = F.struct(
+                    s["start"].alias("start"), v.alias("score"), hits.alias("hits"),
+                    F.greatest(v, s["best"]).alias("best"),
+                    F.when(better, x["at"]).otherwise(s["end"]).alias("end"),
+                    F.when(better, hits).otherwise(s["most"]).alias("most"),
+                    s["found"].alias("found"),
+                )
+                return F.when(v > 0, going).otherwise(fresh_run(x["at"] + F.lit(1), closed(s)))
+
+            return let(score, moved)
+
+        return let(is_hit, after)
+
+    empty = F.array().cast(f"array<struct<{span}>>")
+    zero = fresh_run(F.lit(0), empty).cast(state)
+    runs = F.aggregate(steps, zero, lambda s, x: forward(s, x).cast(state), closed)
+
+    back_state = "struct<score:double,hits:int,n:int,best:double,start:int,most:int,size:int>"
+    back_zero = F.struct(
+        F.lit(0.0).alias("score"), F.lit(0).alias("hits"), F.lit(0).alias("n"), F.lit(0.0).alias("best"),
+        F.lit(-1).alias("start"), F.lit(0).alias("most"), F.lit(0).alias("size"),
+    ).cast(back_state)
+
+    def backward(run: Column) -> Column:
+        def step(s: Column, x: Column) -> Column:
+            new = x["after"] > run["end"]
+            is_hit = new & F.array_contains(template["grams"], x["gram"])
+
+            def after(held: Column) -> Column:
+                score = s["score"] + F.when(held, hit).when(new, other).otherwise(F.lit(0.0))
+                hits, n = s["hits"] + held.cast("int"), s["n"] + new.cast("int")
+                better = score > s["best"]
+                return F.struct(
+                    score.alias("score"), hits.alias("hits"), n.alias("n"),
+                    F.when(better, score).otherwise(s["best"]).alias("best"),
+                    F.when(better, x["at"]).otherwise(s["start"]).alias("start"),
+                    F.when(better, hits).otherwise(s["most"]).alias("most"),
+                    F.when(better, n).otherwise(s["size"]).alias("size"),
+                ).cast(back_state)
+
+            return let(is_hit, after)
+
+        places = F.slice(steps, run["start"] + F.lit(1), run["end"] - run["start"] + F.lit(1))
+        return F.aggregate(F.reverse(places), back_zero, step, lambda s: F.struct(
+            (-s["most"]).alias("shared"),
+            (F.lit(-2.0) * s["most"] / (s["size"] + size)).alias("dice"),
+            template["name"].alias("name"),
+            s["start"].alias("start"),
+            run["end"].alias("end"),
+            s["size"].alias("n"),
+        ))
+
+    return F.filter(F.transform(runs, backward), lambda w: -w["dice"] >= F.lit(least))
+
+
+def _apart(found: Column) -> Column:
+    """Of stretches that share words, those with more bigrams of their template stay."""
+    kind = "array<struct<shared:int,dice:double,name:string,start:int,end:int,n:int>>"
+
+    def add(kept: Column, w: Column) -> Column:
+        clash = F.exists(kept, lambda k: (k["start"] <= w["end"]) & (w["start"] <= k["end"]))
+        return F.when(clash, kept).otherwise(F.concat(kept, F.array(w))).cast(kind)
+
+    return F.aggregate(F.array_sort(found), F.array().cast(kind), add)
+
+
+def _licensed_lines(text: Column, known: Column, least: float) -> Column:
+    """``first, last, name`` of the lines that ``scan`` reports, in words of the text."""
+    kind = "struct<words:int,found:array<struct<first:int,last:int,name:string>>>"
+    zero = F.struct(F.lit(0).alias("words"), F.array().alias("found")).cast(kind)
+
+    def add(s: Column, line: Column) -> Column:
+        def told(w: Column) -> Column:
+            def joined(best: Column) -> Column:
+                end = s["words"] + F.size(w)
+                one = F.array(F.struct(
+                    s["words"].alias("first"), (end - F.lit(1)).alias("last"), best["name"].alias("name")
+                ))
+                found = F.when(best.isNull(), s["found"]).otherwise(F.concat(s["found"], one))
+                return F.struct(end.alias("words"), found.alias("found")).cast(kind)
+
+            return let(let(bigrams(w), lambda g: _best(g, known, least)), joined)
+
+        return let(normal_words(line), told)
+
+    return F.aggregate(F.split(text, "\n"), zero, add, lambda s: s["found"])
+
+
+def passages(
+    docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = LEAST_DICE
+) -> DataFrame:
+    """Licences that are neither a line nor a whole text, in the columns of ``scan``.
+
+    A passage is any stretch of neighbouring words, over line ends or inside a line; its
+    unit is ``-w`` if it begins at the text's ``w``-th word. A text can only hold one if it
+    holds the least number of a template's bigrams that a match shares, so few texts are
+    searched. Of passages that share words, the one that shares more bigrams with its
+    template stays; one that a line or the whole text reports already is left out. Copies
+    that no more foreign words divide than would still leave one match count as one.
+    """
+    if not 0 < least <= 1:
+        raise ValueError("the least Dice coefficient must lie in (0, 1]")
+    rows = _template_grams(docs.sparkSession, templates)
+    known = _templates(rows, least)
+    every = ",".join(f"{g}L" for g in sorted({g for _, grams in rows for g in grams}))
+    texts = id_and_text(docs).select("doc_id", "text", pairs(normal_words(F.col("text"))).alias("grams"))
+    shared = F.expr(f"array_distinct(filter(grams, g -> g IN ({every or 'NULL'})))")
+
+    def near(held: Column) -> Column:
+        enough = lambda t: (F.size(held) >= t["low"]) & (
+            F.size(F.array_intersect(t["grams"], held)) >= t["low"]
+        )
+        return F.filter(known, enough)
+
+    # Exploding an array of one keeps the plan from computing a column again where it is used.
+    candidates = texts.select(
+        "doc_id", "text", F.explode(F.array(F.struct("grams", let(shared, near).alias("near")))).alias("c")
+    ).where(F.size("c.near") > 0)
+
+    def searched(steps: Column) -> Column:
+        return _apart(F.flatten(F.transform(F.col("c.near"), lambda t: _stretches(steps, t, least))))
+
+    is_whole = F.size(F.split("text", "\n")) > 1
+    whole = let(F.array_distinct("c.grams"), lambda g: _best(g, known, least))
+    told = candidates.select(
+        "doc_id",
+        F.explode(F.array(F.struct(
+            let(_steps(F.col("c.grams")), searched).alias("found"),
+            _licensed_lines(F.col("text"), known, least).alias("lines"),
+            F.when(is_whole, whole["name"]).alias("whole"),
+        ))).alias("t"),
+    )
+    by_line = F.exists(
+        "t.lines",
+        lambda x: (x["name"] == F.col("w.name"))
+        & (x["first"] <= F.col("w.end") + F.lit(1))
+        & (F.col("w.start") <= x["last"]),
+    )
+    left = told.select("doc_id", "t", F.explode("t.found").alias("w")).where(
+        ~by_line & ~F.col("t.whole").eqNullSafe(F.col("w.name"))
+    )
+    return left.select(
+        "doc_id",
+        (F.lit(-1) - F.col("w.start")).cast("bigint").alias("unit"),
+        F.col("w.name").alias("license"),
+        (-F.col("w.dice")).alias("dice"),
+        F.col("w.n").cast("bigint").alias("n_bigrams"),
+    )
+
+
+def scan_all(
+    docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = LEAST_DICE
+) -> DataFrame:
+    """``scan`` and ``passages`` together."""
+    return scan(docs, templates, least).unionByName(passages(docs, templates, least))

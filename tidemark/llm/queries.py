@@ -36,7 +36,7 @@ def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(_table(spark, sf_dir, "documents"))
+    return licenses.scan_all(_table(spark, sf_dir, "documents"))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
