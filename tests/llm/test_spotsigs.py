@@ -121,3 +121,64 @@ def test_equal_texts_have_equal_fingerprints(documents):
     rows = spotsigs.fingerprints(documents([(1, "a the of"), (2, "a the of"), (3, None), (4, "")])).collect()
     prints = {r.doc_id: r.fingerprint for r in rows}
     assert prints[1] == prints[2] != "" and prints[3] == prints[4] == ""
+
+
+def unanchored(seed, n, space=" "):
+    rng = np.random.default_rng(seed)
+    return space.join(f"w{i}x" for i in rng.integers(0, 5000, n))
+
+
+def near(a, b):
+    return spotsigs.likeness(spotsigs.signatures(a), spotsigs.signatures(b))
+
+
+def test_texts_without_anchors_have_signatures_all_over():
+    base = unanchored(1, 600).split()
+    changed = list(base)
+    changed[0], changed[300] = "other", "different"
+    half = base[:300] + unanchored(2, 300).split()
+    tail = base[:2] + unanchored(3, 598).split()
+    whole = " ".join(base)
+    assert len(spotsigs.signatures(whole)) >= 600 / spotsigs.SPARSE
+    assert near(whole, " ".join(changed)) > 0.9
+    assert 0.2 < near(whole, " ".join(half)) < 0.5
+    assert near(whole, " ".join(tail)) < 0.05
+    # What stands in front does not move the chosen words.
+    assert near(whole, "some more words " + whole) > 0.9
+
+
+def test_every_long_run_of_content_words_has_a_signature():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        content = rng.integers(0, 6, rng.integers(1, 60)).astype(np.uint64) * np.uint64(2)
+        starts = np.sort(rng.integers(0, len(content) + 1, rng.integers(0, 5)))
+        own = spotsigs._own_anchors(content, np.concatenate(([0], starts)))
+        edges = [0, *starts.tolist(), len(content)]
+        for low, high in zip(edges, edges[1:], strict=False):
+            inside = [i for i in own.tolist() if low <= i and i + 1 < high]
+            if high - low > spotsigs.SPARSE:
+                gaps = np.diff([low - 1, *inside, high - 1])
+                assert inside and gaps.max() <= spotsigs.SPARSE
+            else:
+                assert not inside
+
+
+@pytest.mark.parametrize("make", [
+    lambda r: "".join(chr(0x4E00 + i) for i in r.integers(0, 3000, 600)),
+    lambda r: ";".join(f"f{i}(x{i})" for i in r.integers(0, 3000, 300)),
+    lambda r: "".join(chr(97 + i) for i in r.integers(0, 26, 900)),
+])
+def test_texts_without_blanks(make):
+    text, other = make(np.random.default_rng(1)), make(np.random.default_rng(2))
+    half = len(text) // 2
+    assert len(spotsigs.signatures(text)) > 40
+    assert near(text, text[:half] + other[half:]) > 0.2
+    assert near(text, other) < 0.05
+
+
+def test_no_long_document_hangs_on_one_signature(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()
+    for (text,) in rows:
+        words = len((text or "").split())
+        if words >= 30 and len(set(text.lower().split())) > 20:
+            assert len(spotsigs.signatures(text)) >= words / 30

@@ -4,6 +4,11 @@ Wherever a very common word stands, the next few content words form a chain. Cha
 follow the running text, not its navigation or templates, and an edit changes only the
 chains that cross it. A fingerprint is the sorted bag of its chains' hashes.
 
+Other languages, code, tables and lists have few such words or none. Where ``SPARSE``
+content words follow one another without one, the word pair with the least hash of each
+window of that many pairs begins a chain as well, so that every text has chains all over
+and equal passages choose equal words wherever they stand.
+
 Two bags whose sizes differ by more than a factor cannot be alike by more than that
 factor, so fingerprints are compared only within a class of like sizes and the next,
 and pairs that the sizes rule out are not counted through.
@@ -12,6 +17,7 @@ and pairs that the sizes rule out are not counted through.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from math import floor, log
 
@@ -32,6 +38,15 @@ ANCHORS = (
 ).split()
 
 CHAIN = 2  # content words after an anchor
+SPARSE = 8  # content words in a row without an anchor, from which on they have their own
+# Letters of scripts without blanks between words, each a word of its own: Thai to Myanmar,
+# Khmer, kana, Han and their extensions.
+_UNSPACED = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\U00020000-\U0003ffff]"
+)
+_LONG_TOKEN = 40  # characters from which on a token is no word
+_RUNS = re.compile(r"[^\W_]+")
 _HASH_BYTES = 6
 _CACHED_WORDS = 400_000
 _START = np.uint64(0x27D4EB2F165667C5)
@@ -59,16 +74,65 @@ _ANCHOR_SET = frozenset(ANCHORS)
 _codes = _WordCodes()
 
 
+def _tokens(text: str) -> list[str]:
+    """Lower-case tokens between white space.
+
+    Letters of unspaced scripts stand alone. A token longer than any word is cut at its
+    marks, and what is still as long into its characters.
+    """
+    text = text.lower()
+    if not text.isascii() and _UNSPACED.search(text):
+        text = _UNSPACED.sub(r" \g<0> ", text)
+    tokens = text.split()
+    if not tokens or max(map(len, tokens)) <= _LONG_TOKEN:
+        return tokens
+    out: list[str] = []
+    for token in tokens:
+        if len(token) <= _LONG_TOKEN:
+            out.append(token)
+            continue
+        for run in _RUNS.findall(token):
+            out.extend(run if len(run) > _LONG_TOKEN else (run,))
+    return out
+
+
+def _own_anchors(content: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Places of the content words that begin a chain where no anchor stands near.
+
+    ``starts`` says how many content words come before each anchor. Within a run of
+    content words between anchors, each window of ``SPARSE`` neighbouring pairs chooses its
+    least one; a run with fewer pairs has none.
+    """
+    n = len(content) - 1
+    if n < SPARSE:
+        return np.empty(0, np.int64)
+    edges = np.concatenate(([0], starts, [len(content)]))
+    if int(np.diff(edges).max()) <= SPARSE:
+        return np.empty(0, np.int64)
+    mixed = content[:-1] * _FACTORS[0] ^ content[1:] * _FACTORS[1]
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * _FACTORS[2]
+    mixed ^= mixed >> np.uint64(29)
+    windows = np.lib.stride_tricks.sliding_window_view(mixed, SPARSE)
+    # Windows that cross an anchor do not count: between their words stands one already.
+    cut = np.zeros(len(content) + 1, np.int64)
+    cut[starts] = 1
+    crossed = np.cumsum(cut)
+    first = np.arange(len(windows))
+    free = first[crossed[first + SPARSE] == crossed[first]]
+    return np.unique(free + windows[free].argmin(axis=1))
+
+
 def signatures(text: str | None, chain: int = CHAIN) -> np.ndarray:
     """The sorted 48-bit hashes of all chains of ``text``, repeats included.
 
-    The start of the text counts as an anchor. A text with too few content words for any
+    The start of the text counts as an anchor, and where anchors are sparse, chosen content
+    words do (see above). A text with too few content words for any
     chain has one signature, of all its words or, without a word, of its characters; an
     empty text and NULL have none.
     """
     if not text:
         return np.empty(0, np.uint64)
-    tokens = text.lower().split()
+    tokens = _tokens(text)
     codes = np.fromiter(map(_codes.__getitem__, tokens), np.uint64, len(tokens))
     codes = codes[codes != 0]
     anchor = (codes & np.uint64(1)).astype(bool)
@@ -80,7 +144,9 @@ def signatures(text: str | None, chain: int = CHAIN) -> np.ndarray:
         return lone >> np.uint64(64 - 8 * _HASH_BYTES)
     # How many content words come before each anchor is where its chain begins.
     starts = np.concatenate(([0], np.cumsum(~anchor)[anchor]))
-    total = np.concatenate(([_START], codes[anchor])) * _FACTORS[0]
+    own = _own_anchors(content, starts)
+    total = np.concatenate(([_START], codes[anchor], content[own])) * _FACTORS[0]
+    starts = np.concatenate((starts, own + 1))
     fits = starts < room
     starts, total = starts[fits], total[fits]
     for i in range(chain):
