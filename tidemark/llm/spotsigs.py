@@ -10,8 +10,9 @@ window of that many pairs begins a chain as well, so that every text has chains
 and equal passages choose equal words wherever they stand.
 
 Two bags whose sizes differ by more than a factor cannot be alike by more than that
-factor, so fingerprints are compared only within a class of like sizes and the next,
-and pairs that the sizes rule out are not counted through.
+factor, so ``likeness`` with a least value does not count such pairs through. The
+registered query needs every value and asks for none; nothing here compares documents
+other than neighbours and edits.
 """
 
 from __future__ import annotations
