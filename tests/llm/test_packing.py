@@ -73,3 +73,19 @@ bits = st.one_of(spaces, st.sampled_from(["a", "don't", "It's", "12", "x1y", "ñ
 def test_cached_pieces_equal_the_whole_text(text):
     got = array("I", tokens.encoder().packed(text)).tolist()
     assert got == ids_of(text)
+
+
+literal = st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", "<|endoftext|><|endoftext|>"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(bits, literal), max_size=12).map("".join))
+def test_added_tokens_equal_the_whole_text(text):
+    got = array("I", tokens.encoder().packed(text)).tolist()
+    assert got == ids_of(text)
+
+
+def test_an_added_token_is_one_id(documents):
+    assert array("I", tokens.encoder().packed("a <|endoftext|> b")).tolist() == [64, 220, 50256, 275]
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "x\n<|endoftext|>\n\n y <|endoftext|"), (4, None)]
+    check(rows, packing.packed_digest(documents(rows)).collect())

@@ -4,14 +4,19 @@ A split at a single blank or line break between two other characters is one that
 vocabulary's own pattern always makes, so the ids of a text are the ids of the pieces in
 between, in a row. Natural text repeats its words, and a cached piece costs a dictionary
 look-up.
+
+Tokens that the vocabulary's JSON adds, such as ``<|endoftext|>``, are found first, as the
+``tokenizers`` library does: each is one id, and the text between is encoded by itself.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 from array import array
 from functools import lru_cache
+from pathlib import Path
 
 import public_tokenizers
 import tiktoken
@@ -62,6 +67,19 @@ def _packed(ids: list[int]) -> bytes:
     return numbers.tobytes()
 
 
+def added_tokens(vocabulary: str) -> dict[str, int]:
+    """Ids of the tokens that the JSON beside the rank file adds to it; none without a JSON."""
+    described = Path(vocabulary).with_suffix(".json")
+    if not described.exists():
+        return {}
+    found = {}
+    for token in json.loads(described.read_text(encoding="utf-8")).get("added_tokens") or []:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"added token {token['content']!r} takes its surroundings into account")
+        found[token["content"]] = token["id"]
+    return found
+
+
 class TextEncoder:
     """Whole texts to packed ids; equal to encoding each text in one go."""
 
@@ -77,9 +95,18 @@ class TextEncoder:
         self._after_blank = _Pieces(self._encoding, " ", tails)
         self._after_break = _Pieces(self._encoding, "", tails)
         self._break = _packed(self._encoding.encode_ordinary("\n"))
+        self._added = {token: _packed([i]) for token, i in added_tokens(vocabulary).items()}
+        longest_first = sorted(map(re.escape, self._added), key=len, reverse=True)
+        self._any_added = re.compile(f"({'|'.join(longest_first)})") if longest_first else None
 
     def packed(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers, without an end."""
+        if not any(token in text for token in self._added):
+            return self._plain(text)
+        parts = self._any_added.split(text)
+        return b"".join(self._added[p] if i % 2 else self._plain(p) for i, p in enumerate(parts))
+
+    def _plain(self, text: str) -> bytes:
         try:
             return self._break.join(map(self._line, text.split("\n"))) if text else b""
         except _OddSpace:
