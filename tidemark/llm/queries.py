@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    filter_audit,
     langid,
     licenses,
     mixing,
@@ -19,6 +20,7 @@ from tidemark.llm import (
     token_shards,
     warc,
 )
+from tidemark.llm.filter_audit_sql import AUDIT
 from tidemark.llm.licenses_sql import LICENSES
 from tidemark.llm.mixing_sql import MIX
 from tidemark.llm.quality_sql import QUALITY
@@ -83,6 +85,10 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -96,6 +102,7 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_substring_dedup,
         op10_warc_derivatives,
+        op11_filter_interaction_audit,
     )
 }
 
@@ -105,4 +112,5 @@ SQL: dict[str, str] = {
     "op2_license_scan": LICENSES,
     "op4_quality_rules": QUALITY,
     "op5_mixing": MIX,
+    "op11_filter_interaction_audit": AUDIT,
 }
