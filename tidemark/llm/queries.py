@@ -15,6 +15,7 @@ from tidemark.llm import (
     packing,
     quality_rules,
     simhash,
+    spelling,
     spotsigs,
     substrings,
     token_shards,
@@ -89,6 +90,10 @@ def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -103,6 +108,7 @@ QUERIES: dict[str, Query] = {
         op9_substring_dedup,
         op10_warc_derivatives,
         op11_filter_interaction_audit,
+        op13_spelling_variants,
     )
 }
 
