@@ -11,6 +11,7 @@ from tidemark.llm import (
     filter_audit,
     langid,
     licenses,
+    lm_scores,
     mixing,
     packing,
     quality_rules,
@@ -90,6 +91,10 @@ def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.scores(_table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(_table(spark, sf_dir, "documents"))
 
@@ -108,6 +113,7 @@ QUERIES: dict[str, Query] = {
         op9_substring_dedup,
         op10_warc_derivatives,
         op11_filter_interaction_audit,
+        op12_lm_scores,
         op13_spelling_variants,
     )
 }
