@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions import json_has, json_text, product_number, utc_timestamp
+from tidemark.functions import json_contains, json_text, product_number, utc_timestamp
 from tidemark.schemas import DEFAULTS, DIM_USER, conform
 from tidemark.sources.events import partition_inventory, read_day, read_events, read_raw
 from tidemark.sources.scratch import scratch_root
@@ -144,7 +144,7 @@ def test_scalar_functions(spark):
     )
     rows = df.select(
         json_text(F.col("m"), "payment_gateway"),
-        F.coalesce(json_has(F.col("m"), {"payment_gateway": "stripe"}), F.lit(False)),
+        F.coalesce(json_contains(F.col("m"), {"payment_gateway": "stripe"}), F.lit(False)),
         product_number(F.col("p")),
     ).collect()
     assert [tuple(r) for r in rows] == [("stripe", True, 7), (None, False, None), (None, False, None)]

@@ -1,8 +1,8 @@
 """Column expressions shared by the operators and plans."""
 
+from tidemark.functions.containment import json_contains
 from tidemark.functions.numeric import pct, ratio_pct, round_half_up
 from tidemark.functions.text import (
-    json_has,
     json_text,
     product_number,
     to_json_text,
@@ -10,7 +10,7 @@ from tidemark.functions.text import (
 )
 
 __all__ = [
-    "json_has",
+    "json_contains",
     "json_text",
     "pct",
     "product_number",

@@ -12,14 +12,6 @@ def json_text(doc: Column, field: str) -> Column:
     return F.get_json_object(doc, f"$.{field}")
 
 
-def json_has(doc: Column, wanted: dict[str, str]) -> Column:
-    """True where the document holds every given field with the given value."""
-    found = F.lit(True)
-    for field, value in wanted.items():
-        found = found & (json_text(doc, field) == F.lit(value))
-    return found
-
-
 def to_json_text(doc: Column, dtype: T.DataType) -> Column:
     """JSON text of a nested value; text passes through unchanged."""
     return doc if isinstance(dtype, T.StringType) else F.to_json(doc)

@@ -238,6 +238,15 @@ FROM ev GROUP BY session_id, user_id""",
     "json_filter": _EV
     + """SELECT event_id, user_id, metadata FROM ev
 WHERE metadata->>'$.payment_gateway' = 'stripe'""",
+    # What the documents are made of, not what they say.
+    "json_contains": _EV
+    + """SELECT event_id,
+       platform = 'ios' AND event_id % 4 <> 3 AS by_key,
+       event_type = 'purchase' AND event_id % 2 = 0 AS by_items,
+       event_id % 5 = 0 AS by_number,
+       event_id % 3 = 0 AS by_null,
+       event_id % 2 = 0 AS by_depth
+FROM ev""",
     "json_extract": _EV
     + """SELECT metadata->>'$.client_version' AS client_version,
        metadata->>'$.payment_gateway' AS payment_gateway, COUNT(*) AS n

@@ -74,6 +74,18 @@ SELECT CAST(event_id AS VARCHAR(20)) AS event_id, user_id,
 FROM {events}
 """
 
+# A nested document per event; its keys hold dots, its numbers final zeros and exponents.
+CLIENT_DOCUMENTS = """
+SELECT event_id, '{{"client":{{"os.name":"' || platform || '","build":' ||
+    CASE event_id % 4 WHEN 0 THEN '3' WHEN 1 THEN '3.00' WHEN 2 THEN '30e-1' ELSE '"3"' END ||
+    CASE WHEN event_id % 3 = 0 THEN ',"beta":null' WHEN event_id % 3 = 1 THEN ',"beta":false' ELSE '' END ||
+    '}},"tags":[' || CASE WHEN event_type = 'purchase' THEN '"paid",' ELSE '' END || metadata_tag || ',7],' ||
+    '"cart":{{"lines":[{{"price":' || CASE event_id % 5 WHEN 0 THEN '1' WHEN 1 THEN '1.01' ELSE '0.5' END ||
+    '}},{{"price":2}}]}},"path":[["y","x"],[' || CASE event_id % 2 WHEN 0 THEN '[3,2],1' ELSE '[1],2' END || ']]}}' AS doc
+FROM (SELECT *, '{{"gateway":"' || CASE event_id % 2 WHEN 0 THEN 'stripe' ELSE 'meta_pay' END || '"}}' AS metadata_tag
+      FROM {events}) AS tagged
+"""
+
 USERDAY = """
 SELECT event_id, user_id || '#' || CAST(event_date AS VARCHAR(10)) AS user_id,
        event_type, event_timestamp
@@ -116,6 +128,11 @@ def dirty_lake_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(events(spark, sf_dir), DIRTY_LAKE.format(events="SOURCE"))
 
 
+def client_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested JSON document per event."""
+    return _derive(events(spark, sf_dir), CLIENT_DOCUMENTS.format(events="SOURCE"))
+
+
 def user_day_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events keyed by user and day, where most keys do not finish the funnel."""
     return _derive(events(spark, sf_dir), USERDAY.format(events="SOURCE"))

@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import json_has, json_text, product_number, utc_timestamp
+from tidemark.functions import json_contains, json_text, product_number, utc_timestamp
 from tidemark.functions.days import within_day
 from tidemark.operators import quality
 from tidemark.operators.activity import active_days
@@ -50,6 +50,7 @@ from workload.fixtures import (
     AS_OF,
     ORDERS_AS_OF,
     RETENTION_AS_OF,
+    client_documents,
     customer_orders,
     dirty_events,
     dirty_lake_rows,
@@ -267,10 +268,25 @@ def session_lookup(spark, sf_dir):
 
 @query
 def json_filter(spark, sf_dir):
-    wanted = json_has(F.col("metadata"), {"payment_gateway": "stripe"})
+    wanted = json_contains(F.col("metadata"), {"payment_gateway": "stripe"})
     return events(spark, sf_dir).where(wanted).select("event_id", "user_id", "metadata")
 
 
+@query_named("json_contains")
+def nested_containment(spark, sf_dir):
+    """Which of five patterns every event's nested document holds."""
+    doc = F.col("doc")
+    patterns = {
+        "by_key": {"client": {"os.name": "ios", "build": 3}},
+        "by_items": {"tags": [{"gateway": "stripe"}, "paid"]},
+        "by_number": {"cart": {"lines": [{"price": 1.0}]}},
+        "by_null": {"client": {"beta": None}, "tags": []},
+        "by_depth": {"path": [[1, [2]], ["x"]]},
+    }
+    held = [json_contains(doc, wanted).alias(name) for name, wanted in patterns.items()]
+    return client_documents(spark, sf_dir).select("event_id", *held)
+
+
 @query
 def json_extract(spark, sf_dir):
     doc = F.col("metadata")
