@@ -80,21 +80,21 @@ def _unpack_sorted(body: bytes) -> np.ndarray:
     return np.cumsum(_unpack(body, "<u8"), dtype=np.uint64)
 
 
-def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    mixed = keys * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(33)) % np.uint64(buckets)
-
-
-def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of the keys of each bucket that has any, in the order of the keys."""
-    of = _bucket_of(keys, buckets)
+def _dealt(of: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The places that hold each bucket that occurs, in order."""
     order = np.argsort(of, kind="stable")
-    sizes = np.bincount(of.astype(np.int64), minlength=buckets)
+    sizes = np.bincount(of, minlength=buckets)
     ends = np.cumsum(sizes)
     for bucket in np.flatnonzero(sizes).tolist():
         yield bucket, order[ends[bucket] - sizes[bucket] : ends[bucket]]
 
 
+def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of the keys of each bucket that has any, in the order of the keys."""
+    mixed = keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+    return _dealt((mixed % np.uint64(buckets)).astype(np.int64), buckets)
+
+
 def _turned(keys: np.ndarray) -> np.ndarray:
     """From text order to latest byte first, or back; the byte that follows stays last."""
     out = keys & np.uint64(255)
@@ -104,19 +104,44 @@ def _turned(keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _word_bucket(word: bytes, buckets: int) -> int:
-    return zlib.crc32(word) % buckets
+_BREAKS = np.zeros(256, bool)
+_BREAKS[[*b" \t\n\x0b\f\r", LEAD, END]] = True
 
 
-def _framed(texts: list[bytes]) -> np.ndarray:
-    lead, end = bytes([LEAD]) * DEPTH, bytes([END])
-    return np.frombuffer(b"".join(lead + t + end for t in texts), np.uint8)
+class _Chunk:
+    """The texts of a chunk in one line of bytes: their byte runs and their words."""
 
+    def __init__(self, texts: list[bytes]):
+        lead, end = bytes([LEAD]) * DEPTH, bytes([END])
+        self.data = np.frombuffer(b"".join(lead + t + end for t in texts), np.uint8)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + DEPTH + 1
+        self.ends = np.cumsum(sizes)
+        self.starts = self.ends - sizes
 
-def _grams(texts: list[bytes]) -> tuple[ByteGrams, np.ndarray]:
-    """The runs of a chunk's texts, and which of them lie within a text."""
-    grams = ByteGrams(_framed(texts), DEPTH + 1)
-    return grams, np.flatnonzero(grams.keys & np.uint64(255) != LEAD)
+    def words(self) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """The first word of each text and one past the last, which word each is, and the words."""
+        letters = ~_BREAKS[self.data]
+        # The line begins and ends with breaks.
+        edges = np.flatnonzero(letters[1:] != letters[:-1]) + 1
+        begins, stops = edges[::2], edges[1::2]
+        offsets = np.concatenate(([0], np.cumsum(stops - begins)))
+        words = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(),
+            len(begins),
+            [None, pa.py_buffer(offsets.astype("<i8")), pa.py_buffer(self.data[letters])],
+        ).dictionary_encode()
+        first = np.searchsorted(begins, np.append(self.starts, len(self.data)))
+        return first, words.indices.to_numpy(), words.dictionary.to_pylist()
+
+    def grams(self) -> tuple[ByteGrams, np.ndarray]:
+        """The byte runs, and which of them lie within a text."""
+        grams = ByteGrams(self.data, DEPTH + 1)
+        return grams, np.flatnonzero(grams.keys & np.uint64(255) != LEAD)
+
+
+def _word_buckets(words: list[bytes], buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of the words of each bucket that has any, in the order of the words."""
+    return _dealt(np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets, buckets)
 
 
 def _gather(buckets: int):
@@ -130,24 +155,17 @@ def _gather(buckets: int):
         teachers = sum(not d[1] for d in docs)
         meta = [(d[0] is not None, d[0] or 0, d[1], len(d[2])) for d in docs]
         body = _pack(b"".join(texts))
-        yield _batch(
-            [("text", number, 0, teachers, body, _pack(np.array(meta, "<i8")))], schema
-        )
-        words: Counter[bytes] = Counter()
-        for text in texts[:teachers]:
-            words.update(text.split())
-        for text in texts[teachers:]:
-            for word in text.split():
-                words.setdefault(word, 0)
-        dealt: dict[int, list[bytes]] = {}
-        for word in words:
-            dealt.setdefault(_word_bucket(word, buckets), []).append(word)
-        for bucket, own in dealt.items():
-            counts = np.fromiter(map(words.__getitem__, own), "<i8", len(own))
-            yield _batch([("word", number, bucket, len(own), _pack(b" ".join(own)), _pack(counts))], schema)
-        del words, dealt
-        grams, own = _grams(texts)
-        taught = sum(len(t) + DEPTH + 1 for t in texts[:teachers])
+        yield _batch([("text", number, 0, teachers, body, _pack(np.array(meta, "<i8")))], schema)
+        line = _Chunk(texts)
+        del texts, docs[:]
+        first, of, words = line.words()
+        counts = np.bincount(of[: first[teachers]], minlength=len(words)).astype("<i8")
+        for bucket, at in _word_buckets(words, buckets):
+            own = _pack(b" ".join([words[i] for i in at.tolist()]))
+            yield _batch([("word", number, bucket, len(at), own, _pack(counts[at]))], schema)
+        del words, of
+        grams, own = line.grams()
+        taught = int(line.starts[teachers]) if teachers < len(line.starts) else len(line.data)
         counts = np.bincount(grams.ids[: max(taught - DEPTH, 0)], minlength=len(grams.keys))[own]
         keys = grams.keys[own]
         for bucket, at in _by_bucket(keys, buckets):
@@ -411,6 +429,20 @@ _SCORES = T.StructType(
 )
 
 
+def _sums(values: np.ndarray, of: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Per stretch of ``of`` between two ``bounds`` the sum of ``values`` there, some megabytes at once."""
+    out = np.zeros(len(bounds) - 1, values.dtype)
+    first = 0
+    while first < len(out):
+        reach = int(np.searchsorted(bounds, bounds[first] + (1 << 21)))
+        last = min(max(reach - 1, first + 1), len(out))
+        sums = np.concatenate(([0], np.cumsum(values[of[bounds[first] : bounds[last]]])))
+        own = bounds[first : last + 1] - bounds[first]
+        out[first:last] = sums[own[1:]] - sums[own[:-1]]
+        first = last
+    return out
+
+
 def _score(buckets: int, teachers: int, tokens: int, distinct: int):
     """Adds up what a chunk's documents were answered."""
     schema = _arrow(_SCORES)
@@ -419,43 +451,24 @@ def _score(buckets: int, teachers: int, tokens: int, distinct: int):
     def chunk(row: dict, answers: dict) -> pa.RecordBatch:
         meta = _unpack(row["more"], "<i8").reshape(-1, 4)
         whole = _unpack(row["body"])
-        ends = np.cumsum(meta[:, 3])
-        texts = [whole[e - n : e] for e, n in zip(ends.tolist(), meta[:, 3].tolist(), strict=True)]
-        del whole
-        # Words in the order of their first occurrence, as when they were asked for.
-        counts: dict[bytes, int] = {}
-        for text in texts:
-            counts.update(dict.fromkeys(text.split(), 0))
-        place: dict[int, int] = {}
-        found = {b: a.tolist() for (kind, b), a in answers.items() if kind == "word"}
-        for word in counts:
-            bucket = _word_bucket(word, buckets)
-            at = place.get(bucket, 0)
-            counts[word] = found[bucket][at]
-            place[bucket] = at + 1
-        n_words, known, base = [], [], []
-        for text in texts:
-            n = np.array([*map(counts.__getitem__, text.split()), teachers], np.float64)
-            n_words.append(len(n))
-            known.append(int(np.count_nonzero(n)))
-            base.append(float(np.log10((n + 1) / unseen).sum()))
-        del counts, found
-        grams, own = _grams(texts)
+        ends = np.cumsum(meta[:, 3]).tolist()
+        line = _Chunk([whole[e - n : e] for e, n in zip(ends, meta[:, 3].tolist(), strict=True)])
+        del whole, row["body"]
+        # Distinct words and runs come in the order in which they were asked for.
+        first, of, words = line.words()
+        counts = np.zeros(len(words))
+        for bucket, at in _word_buckets(words, buckets):
+            counts[at] = answers.pop(("word", bucket))
+        n_words = np.diff(first) + 1
+        known = _sums((counts > 0).astype(np.int64), of, first) + (teachers > 0)
+        base = _sums(np.log10((counts + 1) / unseen), of, first) + math.log10((teachers + 1) / unseen)
+        del words, of, counts
+        grams, own = line.grams()
         values = np.zeros(len(grams.keys))
         keys = grams.keys[own]
         for bucket, at in _by_bucket(keys, buckets):
-            values[own[at]] = answers["gram", bucket]
-        sizes = meta[:, 3] + DEPTH + 1
-        starts = np.cumsum(sizes) - sizes
-        scores = np.empty(len(texts))
-        first = 0
-        while first < len(texts):
-            # Documents of some megabytes at once.
-            last = max(int(np.searchsorted(starts, starts[first] + (1 << 21))), first + 1)
-            stop = starts[last] if last < len(texts) else len(grams.ids)
-            part = values[grams.ids[starts[first] : stop]]
-            scores[first:last] = np.add.reduceat(part, starts[first:last] - starts[first])
-            first = last
+            values[own[at]] = answers.pop(("gram", bucket))
+        scores = _sums(values, grams.ids, np.append(line.starts, len(grams.ids)))
         bits = -scores * math.log2(10) / (meta[:, 3] + 1)
         ids = [i if there else None for there, i in meta[:, :2].tolist()]
         return pa.RecordBatch.from_arrays(
@@ -464,7 +477,7 @@ def _score(buckets: int, teachers: int, tokens: int, distinct: int):
                 pa.array(meta[:, 2].astype(bool)),
                 pa.array(n_words, pa.int64()),
                 pa.array(known, pa.int64()),
-                pa.array([tokens] * len(texts), pa.int64()),
+                pa.array(np.full(len(meta), tokens)),
                 pa.array(base, pa.float64()),
                 pa.array(scores),
                 pa.array(meta[:, 3]),
@@ -524,6 +537,7 @@ def scores(docs: DataFrame) -> DataFrame:
 
     tokens, known = (total or 0) + teachers, (distinct or 0) + (teachers > 0)
     both = texts.unionByName(word_answers).unionByName(gram_answers)
-    by_chunk = both.withColumn("later", F.col("kind") == "text").repartition(partitions(spark), "chunk")
+    chunks = max(partitions(spark), size // CHUNK_BYTES)
+    by_chunk = both.withColumn("later", F.col("kind") == "text").repartition(chunks, "chunk")
     ordered = by_chunk.sortWithinPartitions("chunk", "later").drop("later")
     return map_batches(ordered, _score(buckets, teachers, tokens, known), _SCORES)
