@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.operators.asof import asof_join
 from tidemark.operators.keys import dense_keys
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.skew import skewed_join
 from tidemark.schemas import DEFAULT_TIER, open_end
 from tidemark.sources.scratch import pin
 
@@ -244,12 +244,10 @@ def pit_join(
     """Attach the version valid at each fact's time: ``valid_from <= ts < valid_to``.
 
     Versions of a key do not overlap, so a fact matches at most one. Facts before
-    the first version are dropped, or kept without it when ``how="left"``.
+    the first version are dropped, or kept without it when ``how="left"``. A key costs its
+    facts plus its versions, see :mod:`tidemark.operators.asof`.
     """
-    valid = (F.col(ts) >= F.col("valid_from")) & (F.col(ts) < F.col("valid_to"))
-    versions = dim.select(key, *take, "valid_from", "valid_to")
-    joined = skewed_join(facts, versions, key, valid, how, spread_by, hot)
-    return joined.drop("valid_from", "valid_to")
+    return asof_join(facts, dim, key, ts, "valid_from", "valid_to", take, how, spread_by, hot)
 
 
 def interval_problems(
