@@ -137,21 +137,47 @@ def test_funnel_date_bounds(staged):
     assert [r.users_reached for r in got] == [1, 0, 0, 0]
 
 
-def test_funnel_does_not_depend_on_hot_keys(spark, monkeypatch):
-    rng = random.Random(3)
+# One event type counts for two steps, another for none.
+STEPS = (("a", ("signup",)), ("b", ("login", "like")), ("c", ("like",)), ("d", ("purchase", "login")))
+
+
+def _walk(rows, steps):
+    """Step times per key, one step after the other over all of a key's events."""
+    out = {}
+    for user in {u for u, _, _ in rows if u is not None}:
+        times, at = [], None
+        for _, kinds in steps:
+            later = [t for u, k, t in rows if u == user and k in kinds and t is not None and (at is None or t >= at)]
+            at = min(later, default=None)
+            times.append(at)
+            if at is None:
+                break
+        if times[0] is not None:
+            out[user] = tuple(times + [None] * (len(steps) - len(times)))
+    return out
+
+
+@pytest.mark.parametrize("steps", [marts.FUNNEL_STEPS, STEPS, STEPS[:1]])
+@pytest.mark.parametrize("slot", ["HOUR", "MINUTE", "SECOND", "DAY"])
+def test_funnel_equals_a_walk_over_all_events(spark, steps, slot):
+    """A third of the events are one key's, and many share an instant."""
+    rng = random.Random(len(steps))
     kinds = ("signup", "login", "post", "like", "purchase")
-    data = [
-        (i, "hot" if i % 3 == 0 else f"u{rng.randrange(300)}", rng.choice(kinds), rng.randrange(500))
-        for i in range(4_000)
-    ]
-    df = spark.createDataFrame(data, "event_id int, user_id string, event_type string, s int")
-    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    df = df.withColumn("event_timestamp", F.timestamp_add("SECOND", F.col("s"), start)).drop("s")
-    plain = marts.funnel_step_times(df)
-    monkeypatch.setattr(marts, "hot_keys", lambda *_: {"hot": 64, "u1": 2, "u7": 4})
-    split = marts.funnel_step_times(df)
-    assert split.exceptAll(plain).count() == 0
-    assert split.count() == plain.count()
+    start = datetime.datetime(2023, 12, 31, 23, 30)
+    rows = []
+    for i in range(2_500):
+        user = "hot" if i % 3 == 0 else rng.choice([None, *(f"u{n}" for n in range(200))])
+        at = start + datetime.timedelta(seconds=rng.randrange(3) * 1800 + rng.randrange(90))
+        rows.append((user, rng.choice(kinds), None if i % 97 == 0 else at))
+    df = spark.createDataFrame(rows, "user_id string, event_type string, event_timestamp timestamp_ntz")
+    got = {r[0]: tuple(r)[1:] for r in marts.funnel_step_times(df, steps, slot=slot).collect()}
+    assert got == _walk(rows, steps) and len(got) > 50
+
+
+def test_funnel_of_times_before_the_epoch(staged):
+    times = ["1969-12-31 23:59:59", "1969-12-31 23:30:00", "1970-01-01 00:10:00"]
+    rows = staged([("u", k, t) for k, t in zip(("login", "signup", "like"), times, strict=True)])
+    assert _funnel(rows) == [1, 1, 1, 0]
 
 
 def _users(spark, n):

@@ -77,6 +77,16 @@ def test_stickiness_shuffles_users_once(spark):
     assert plan.count("FileScan") == 1
 
 
+def test_funnel_reads_and_shuffles_events_once(spark):
+    plan = _plan(marts.funnel_step_times(events(spark, SF)))
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    assert plan.count("Exchange hashpartitioning(user_id") == 2
+    assert plan.count("Exchange") == 2
+    # Below the second one lies a row per key and slot.
+    below = plan[plan.rindex("Exchange hashpartitioning", 0, plan.rindex("Exchange hashpartitioning")) :]
+    assert "HashAggregate(keys=[user_id" in below or "SortAggregate(key=[user_id" in below
+
+
 def test_partitioned_facts_prune_days(spark, folder):
     path = folder("facts")
     overwrite_partitions(events(spark, SF), path, "event_date", sort_col="event_timestamp")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.days import between_days
 
+_EPOCH = date(1970, 1, 1).toordinal()
 WORD = 60  # days per word; leaves the sign bit of a 64-bit value unused
 
 
@@ -73,6 +74,68 @@ def sliding_distinct(
             )
         )
     )
+    return _count_windows(packed, origin, words, first, last, days, name, daily_name)
+
+
+def sliding_distinct_of_words(
+    words: DataFrame,
+    first: date,
+    last: date,
+    days: int,
+    key: str = "user_id",
+    name: str = "mau",
+    daily_name: str | None = None,
+) -> DataFrame:
+    """:func:`sliding_distinct` from stored rows of :func:`day_words` instead of from events.
+
+    Only the words that overlap the days in question are read.
+    """
+    low = (first.toordinal() - days + 1 - _EPOCH) // WORD
+    high = (last.toordinal() - _EPOCH) // WORD
+    none = F.lit(0).cast("bigint")
+    packed = (
+        words.where(F.col("word").between(low, high) & F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(
+            *(
+                F.bit_or(F.when(F.col("word") == w, F.col("bits")).otherwise(none)).alias(f"w{w - low}")
+                for w in range(low, high + 1)
+            )
+        )
+    )
+    origin = date.fromordinal(low * WORD + _EPOCH)
+    return _count_windows(packed, origin, high - low + 1, first, last, days, name, daily_name)
+
+
+def word_of(day: date) -> int:
+    """Which word holds the bit of a day."""
+    return (day.toordinal() - _EPOCH) // WORD
+
+
+def merge_day(kept: DataFrame, active: DataFrame, day: date, key: str = "user_id") -> DataFrame:
+    """``(key, bits)`` of a word after the keys ``active`` on ``day`` have been put in.
+
+    ``kept`` holds the word's rows of before. Whatever it says of the day is taken back
+    first, so a rerun of the day with other keys gives the same as if they had been the first.
+    """
+    bit = 1 << (day.toordinal() - _EPOCH) % WORD
+    others = kept.select(key, F.col("bits").bitwiseAND(F.lit(~bit)).alias("bits"))
+    own = active.where(F.col(key).isNotNull()).select(key, F.lit(bit).cast("bigint").alias("bits"))
+    merged = others.unionByName(own).groupBy(key).agg(F.bit_or("bits").alias("bits"))
+    return merged.where(F.col("bits") != 0)
+
+
+def _count_windows(
+    packed: DataFrame,
+    origin: date,
+    words: int,
+    first: date,
+    last: date,
+    days: int,
+    name: str,
+    daily_name: str | None,
+) -> DataFrame:
+    """Count per date the keys of ``packed (w0, w1, …)``, whose bits count days from ``origin``."""
     # One mask row per date, as a literal array: every test runs where ``packed`` is produced.
     masks = []
     for ordinal in range(first.toordinal(), last.toordinal() + 1):

@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import pct, ratio_pct, round_half_up
 from tidemark.functions.days import between_days
-from tidemark.operators.activity import WORD, day_words, sliding_distinct
+from tidemark.operators.activity import (
+    WORD,
+    day_words,
+    sliding_distinct,
+    sliding_distinct_of_words,
+)
 from tidemark.operators.keys import percent_rank_of, rank_descending
-from tidemark.operators.skew import hot_keys, skewed_join
 
 
 def dau(events: DataFrame, key: str = "user_id", day: str = "event_date") -> DataFrame:
@@ -56,6 +60,25 @@ def dau_mau(
     """
     first = as_of - timedelta(days=spine_days)
     counts = sliding_distinct(events, first, as_of, mau_days, key, day, daily_name="dau")
+    return _stickiness(counts, ma_rows, calendar)
+
+
+def dau_mau_of_words(
+    words: DataFrame,
+    as_of: date,
+    spine_days: int = 60,
+    mau_days: int = 30,
+    ma_rows: int = 7,
+    calendar: DataFrame | None = None,
+    key: str = "user_id",
+) -> DataFrame:
+    """:func:`dau_mau` from the activity words that the daily load keeps; no event is read."""
+    first = as_of - timedelta(days=spine_days)
+    counts = sliding_distinct_of_words(words, first, as_of, mau_days, key, daily_name="dau")
+    return _stickiness(counts, ma_rows, calendar)
+
+
+def _stickiness(counts: DataFrame, ma_rows: int, calendar: DataFrame | None) -> DataFrame:
     if calendar is not None:
         spine = calendar.select(F.col("calendar_date").alias("metric_date"))
         counts = counts.join(spine, "metric_date")
@@ -82,7 +105,13 @@ def retention_counts(
     The second shuffle carries one row per user and word of days instead of one
     per active day, and the per-user window sees only those few rows.
     """
-    words = day_words(events.where(F.col(key).isNotNull()), key, day)
+    return retention_counts_of_words(day_words(events.where(F.col(key).isNotNull()), key, day), offsets, key)
+
+
+def retention_counts_of_words(
+    words: DataFrame, offsets: Sequence[int] = (1, 7, 14, 30), key: str = "user_id"
+) -> DataFrame:
+    """:func:`retention_counts` from the activity words ``(key, word, bits)`` of all days."""
     bits = F.col("bits")
     # Index of the lowest set bit: the zeros below it are set in ``bits - 1`` alone.
     lowest = F.bit_count(F.bitwise_not(bits).bitwiseAND(bits - F.lit(1)))
@@ -117,7 +146,23 @@ def retention(
     day: str = "event_date",
 ) -> DataFrame:
     """Retention percentages of matured cohorts, newest cohort first."""
-    counts = retention_counts(events, offsets, key, day)
+    return _matured(retention_counts(events, offsets, key, day), as_of, offsets, maturity_days)
+
+
+def retention_of_words(
+    words: DataFrame,
+    as_of: date,
+    offsets: Sequence[int] = (1, 7, 14, 30),
+    maturity_days: int = 30,
+    key: str = "user_id",
+) -> DataFrame:
+    """:func:`retention` from the activity words that the daily load keeps; no event is read."""
+    return _matured(retention_counts_of_words(words, offsets, key), as_of, offsets, maturity_days)
+
+
+def _matured(
+    counts: DataFrame, as_of: date, offsets: Sequence[int], maturity_days: int
+) -> DataFrame:
     mature = counts.where(F.col("cohort_date") <= F.lit(as_of - timedelta(days=maturity_days)))
     return mature.select(
         "cohort_date",
@@ -138,42 +183,82 @@ FUNNEL_STEPS: tuple[tuple[str, tuple[str, ...]], ...] = (
 )
 
 
+def _slot_steps(rows: DataFrame, steps: Sequence[str], key: str, ts: str) -> DataFrame:
+    """Per key and slot a step function: ``r{n}_{j}`` is when step ``j`` is reached in the slot
+    by a key that comes into it with ``n`` steps behind it, NULL if it is not.
+
+    Every candidate of a later step is compared with the time of the step before it, so each
+    round of windows goes one step further for all ``n`` at once, in one order of the rows.
+    """
+    within = W.partitionBy(key, "__slot")
+    names = []
+    for ahead in range(1, len(steps) + 1):
+        found = {}
+        for n in range(len(steps) - ahead + 1):
+            j = n + ahead
+            counts = F.col(f"__is_{j}")
+            if ahead > 1:
+                counts = counts & (F.col(ts) >= F.col(f"r{n}_{j - 1}"))
+            found[f"r{n}_{j}"] = F.min(F.when(counts, F.col(ts))).over(within)
+        rows = rows.withColumns(found)
+        names += found
+    return rows.groupBy(key, "__slot").agg(*(F.min(c).alias(c) for c in names))
+
+
 def funnel_step_times(
     events: DataFrame,
     steps: Sequence[tuple[str, Collection[str]]] = FUNNEL_STEPS,
     key: str = "user_id",
     ts: str = "event_timestamp",
     kind: str = "event_type",
-    spread_by: Sequence[str] = ("event_id",),
     start: date | None = None,
     end: date | None = None,
+    slot: str = "HOUR",
 ) -> DataFrame:
     """Per key that reached step 1: the time each step was first reached, in order.
 
     Step ``k + 1`` is the earliest of its events at or after step ``k``; an event
-    at the same instant counts. A key with very many events is split over tasks,
-    each of which keeps only its earliest match.
+    at the same instant counts, and one event may count for several steps. Events are read
+    once and shuffled once, by key and ``slot`` of time (a unit such as HOUR), so that no
+    task has more than a slot of a key. What a slot does is a function from the steps reached
+    before it to those reached after it; one row per key and slot is then composed in order.
     """
     wanted = sorted({t for _, types in steps for t in types})
-    rows = events.where(F.col(kind).isin(wanted) & F.col(key).isNotNull())
+    rows = events.where(F.col(kind).isin(wanted) & F.col(key).isNotNull() & F.col(ts).isNotNull())
     if start is not None:
         rows = rows.where(F.col(ts) >= F.lit(str(start)).cast("timestamp_ntz"))
     if end is not None:
         day_after = end + timedelta(days=1)
         rows = rows.where(F.col(ts) < F.lit(str(day_after)).cast("timestamp_ntz"))
-    hot = hot_keys(rows, key)
-    times = [f"{name}_time" for name, _ in steps]
-    reached = (
-        rows.where(F.col(kind).isin(list(steps[0][1]))).groupBy(key).agg(F.min(ts).alias(times[0]))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    names = [name for name, _ in steps]
+    narrow = rows.select(
+        key,
+        ts,
+        F.timestamp_diff(slot, epoch, F.col(ts)).alias("__slot"),
+        *(F.col(kind).isin(list(t)).alias(f"__is_{j}") for j, (_, t) in enumerate(steps, start=1)),
     )
-    for position in range(1, len(steps)):
-        candidates = rows.where(F.col(kind).isin(list(steps[position][1]))).select(
-            key, F.col(ts).alias("__ts"), *(c for c in spread_by if c != key)
-        )
-        later = F.col("__ts") >= F.col(times[position - 1])
-        joined = skewed_join(candidates, reached, key, later, "right", spread_by, hot)
-        reached = joined.groupBy(key, *times[:position]).agg(F.min("__ts").alias(times[position]))
-    return reached
+    slots = _slot_steps(narrow, names, key, ts)
+    functions = [c for c in slots.columns if c not in (key, "__slot")]
+    # A key has as many rows as hours in which it did something.
+    in_order = F.array_sort(F.collect_list(F.struct("__slot", *functions)))
+    per_key = slots.groupBy(key).agg(in_order.alias("__slots"))
+    at = dict(slots.dtypes)[functions[0]]
+    nowhere = F.struct(*(F.lit(None).cast(at).alias(f"t{j}") for j in range(1, len(steps) + 1)))
+
+    def compose(state: Column, then: Column) -> Column:
+        reached = sum((state[f"t{j}"].isNotNull().cast("int") for j in range(1, len(steps) + 1)), F.lit(0))
+        out = []
+        for j in range(1, len(steps) + 1):
+            later = F.lit(None).cast(at)
+            for n in range(j):
+                later = F.when(reached == n, then[f"r{n}_{j}"]).otherwise(later)
+            out.append(F.coalesce(state[f"t{j}"], later).alias(f"t{j}"))
+        return F.struct(*out)
+
+    composed = per_key.select(key, F.aggregate("__slots", nowhere, compose).alias("__t"))
+    times = (F.col(f"__t.t{j}").alias(f"{name}_time") for j, name in enumerate(names, start=1))
+    return composed.select(key, *times).where(F.col(f"{names[0]}_time").isNotNull())
 
 
 def funnel(
@@ -182,12 +267,11 @@ def funnel(
     key: str = "user_id",
     ts: str = "event_timestamp",
     kind: str = "event_type",
-    spread_by: Sequence[str] = ("event_id",),
     start: date | None = None,
     end: date | None = None,
 ) -> DataFrame:
     """One row per step: keys that reached it, step conversion, drop-off and total conversion."""
-    reached = funnel_step_times(events, steps, key, ts, kind, spread_by, start, end)
+    reached = funnel_step_times(events, steps, key, ts, kind, start, end)
     counts = reached.agg(*(F.count(f"{name}_time").alias(name) for name, _ in steps))
     cells = ", ".join(
         f"'{i}_{name}', {i}, `{name}`" for i, (name, _) in enumerate(steps, start=1)

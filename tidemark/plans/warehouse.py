@@ -9,17 +9,20 @@ from tidemark.plans import daily
 from tidemark.plans.dims import dim_date_of, dim_product, dim_user_snapshot
 from tidemark.plans.facts import snapshot_fact_events, snapshot_fact_orders
 from tidemark.sources.events import read_events
+from tidemark.sources.published import read_state
 
 
 def loaded_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     """The tables the daily loads have built, plus calendar and catalogue."""
-    events = daily.read_fact_events(spark, warehouse)
+    # One state for all, so that a load in between does not show in some of them only.
+    state = read_state(spark, warehouse)
+    events = daily.read_fact_events(spark, warehouse, state)
     return {
-        "dim_user": daily.read_dim_user(spark, warehouse),
+        "dim_user": daily.read_dim_user(spark, warehouse, state=state),
         "dim_date": dim_date_of(events),
         "dim_product": dim_product(spark),
         "fact_events": events,
-        "fact_orders": daily.read_fact_orders(spark, warehouse),
+        "fact_orders": daily.read_fact_orders(spark, warehouse, state),
     }
 
 

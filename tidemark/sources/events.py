@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,62 +12,70 @@ from pyspark.sql import types as T
 from tidemark.functions import utc_timestamp
 from tidemark.functions.days import as_date
 from tidemark.schemas import MONEY, RAW_EVENT
-from tidemark.sources.sinks import file_names, partition_days, path_exists
+from tidemark.sources.footers import column_footer, file_footers, listed_files
+from tidemark.sources.sinks import path_exists
 
 PARTITION = "date"
+# Added to raw rows on demand: where they come from, and a line that could not be parsed.
+SOURCE = "_source_file"
+CORRUPT = "_corrupt_line"
 # JSON lines that our own sink puts together end in .txt.
 _GLOBS = {"parquet": "*.parquet", "json": "*.{json,txt}"}
 _LAKE = T.StructType([*RAW_EVENT.fields, T.StructField(PARTITION, T.DateType())])
+_CORRUPT_FIELD = T.StructField(CORRUPT, T.StringType())
 
 
-_LISTED = [
-    T.StructField("path", T.StringType()),
-    T.StructField("modificationTime", T.TimestampType()),
-    T.StructField("length", T.LongType()),
-    T.StructField("content", T.BinaryType()),
-]
-
-
-def _scan(spark: SparkSession, root: str, fmt: str) -> DataFrame:
+def _scan(spark: SparkSession, root: str, fmt: str, source: bool = False) -> DataFrame:
     if fmt not in _GLOBS:
         raise ValueError(f"unknown event format {fmt!r}")
-    reader = spark.read.schema(_LAKE)
-    if fmt == "json":
-        reader = reader.option("mode", "FAILFAST")
+    if fmt == "json" and source:
+        # Lines that cannot be parsed become rows that hold their text.
+        schema = T.StructType([*RAW_EVENT.fields, _CORRUPT_FIELD, _LAKE.fields[-1]])
+        reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    else:
+        reader = spark.read.schema(_LAKE)
+        if fmt == "json":
+            reader = reader.option("mode", "FAILFAST")
     # A folder may hold both formats; each reader takes its own files only.
     return reader.option("pathGlobFilter", _GLOBS[fmt]).format(fmt).load(root)
 
 
-def _product_type(spark: SparkSession, paths: list[str]) -> T.DataType | None:
-    """The common type of ``product_id`` in the footers under ``paths``; None when they differ."""
-    try:
-        schema = spark.read.option("mergeSchema", True).parquet(*paths).schema
-    except (PySparkException, Py4JJavaError) as failure:
-        # Only types that do not agree are a finding; a file that cannot be read is not.
-        if len(paths) == 1 and not paths[0].rpartition("/")[2].startswith(f"{PARTITION}="):
-            raise
-        if "MERGE_SCHEMA" not in str(failure).upper():
-            raise
-        return None
-    return {f.name: f.dataType for f in schema.fields}.get("product_id", T.StringType())
+def _with_source(rows: DataFrame) -> DataFrame:
+    """Raw rows with :data:`SOURCE` and :data:`CORRUPT`."""
+    corrupt = F.col(CORRUPT) if CORRUPT in rows.columns else F.lit(None).cast("string")
+    names = _LAKE.fieldNames()
+    return rows.select(*names, F.col("_metadata.file_path").alias(SOURCE), corrupt.alias(CORRUPT))
+
+
+def lake_footers(
+    spark: SparkSession, root: str, days: Iterable[date | str] | None = None
+) -> DataFrame:
+    """``path, length, date, n_rows, columns`` of the lake's Parquet files, see ``file_footers``."""
+    files = listed_files(spark, root, _GLOBS["parquet"], [_LAKE.fields[-1]])
+    if days is not None:
+        files = files.where(F.col(PARTITION).isin([as_date(d) for d in days]))
+    return file_footers(files, RAW_EVENT.fieldNames())
 
 
-def _untyped(spark: SparkSession, paths: list[str]) -> tuple[list[str], list[str]]:
-    """Paths whose ``product_id`` has no type because every value is NULL, and mixed ones.
+def _untyped(footers: DataFrame) -> tuple[list[date], list[str]]:
+    """Days in whose files ``product_id`` has no text type, and such files of other days.
 
-    Footers are compared by a Spark job; a group that does not agree is halved, so the
-    number of jobs grows with the odd paths, not with the lake.
+    A column without any value may have been written with another type. Footers have been
+    read by tasks; what reaches the driver are days and, of days that hold both kinds, the
+    odd files.
     """
-    if not paths:
-        return [], []
-    kind = _product_type(spark, paths)
-    if kind is None and len(paths) > 1:
-        half = len(paths) // 2
-        parts = [_untyped(spark, paths[:half]), _untyped(spark, paths[half:])]
-        return parts[0][0] + parts[1][0], parts[0][1] + parts[1][1]
-    if kind is None:
-        return [], paths
-    return ([] if isinstance(kind, T.StringType) else paths), []
+    kind = column_footer("product_id")["kind"]
+    odd = kind.isNotNull() & ~kind.rlike("string|binary|utf8")
+    per_day = footers.groupBy(PARTITION).agg(
+        F.count_if(~odd | odd.isNull()).alias("typed"), F.collect_list(F.when(odd, F.col("path"))).alias("odd")
+    )
+    rows = per_day.where(F.size("odd") > 0).select(
+        PARTITION, F.when(F.col("typed") > 0, F.col("odd")).alias("odd")
+    )
+    found = rows.collect()
+    whole = [r[PARTITION] for r in found if r.odd is None]
+    return whole, sorted(p for r in found if r.odd is not None for p in r.odd)
 
 
 def read_raw(
@@ -78,32 +84,27 @@ def read_raw(
     fmt: str = "parquet",
     days: Iterable[date | str] | None = None,
     typed: bool = False,
+    source: bool = False,
 ) -> DataFrame:
     """Raw lake rows with the declared schema plus the partition ``date``.
 
     ``days`` prunes to those partitions. Other writers may leave ``product_id``
-    without a type in a file that has no purchase, so footers are compared first;
-    pass ``typed=True`` for a lake of our own sink to save that look.
+    without a type in a file that has no purchase, so footers are looked at first;
+    pass ``typed=True`` for a lake of our own sink to save that look. A JSON line that
+    cannot be parsed stops the scan; with ``source`` it is a row without values, and all rows
+    have two more columns, their file and the text of such a line.
     """
-    lake = _scan(spark, root, fmt)
-    if days is not None:
-        lake = lake.where(F.col(PARTITION).isin([as_date(d) for d in days]))
-    if typed or fmt == "json":
-        return lake
-    wanted = [as_date(d) for d in days] if days is not None else None
-    held = [d for d in partition_days(spark, root, PARTITION) if wanted is None or d in wanted]
-    folders = {f"{root}/{PARTITION}={d}": d for d in held if _has_parquet(spark, root, d)}
-    whole, mixed = _untyped(spark, list(folders))
-    # Files are looked at one by one only in days that hold both kinds.
-    inside = lake.where(F.col(PARTITION).isin([folders[p] for p in mixed]))
-    names = inside.select(F.col("_metadata.file_path").alias("file")).distinct().collect() if mixed else []
-    files, _ = _untyped(spark, sorted(row.file for row in names))
+    wanted = None if days is None else [as_date(d) for d in days]
+    lake = _scan(spark, root, fmt, source)
+    if wanted is not None:
+        lake = lake.where(F.col(PARTITION).isin(wanted))
+    whole, files = ([], []) if typed or fmt == "json" else _untyped(lake_footers(spark, root, wanted))
     if not whole and not files:
-        return lake
+        return _with_source(lake) if source else lake
     # What is odd holds no product at all: read every other column from it.
     # Local paths come as file:/ while files are pruned and as file:/// in rows.
-    skipped = sorted({*files, *(p.replace("file:///", "file:/") for p in files)})
-    typed_rows = ~F.col(PARTITION).isin([folders[p] for p in whole])
+    skipped = sorted({*files, *(p.replace("file:/", "file:///") for p in files if not p.startswith("file://"))})
+    typed_rows = ~F.col(PARTITION).isin(whole)
     if skipped:
         typed_rows = typed_rows & ~F.col("_metadata.file_path").isin(skipped)
     rest = T.StructType([f for f in _LAKE.fields if f.name != "product_id"])
@@ -111,15 +112,13 @@ def read_raw(
         spark.read.schema(rest)
         .option("basePath", root)
         .option("pathGlobFilter", _GLOBS["parquet"])
-        .parquet(*whole, *files)
+        .parquet(*(f"{root}/{PARTITION}={d}" for d in whole), *files)
         .withColumn("product_id", F.lit(None).cast("string"))
-        .select(*_LAKE.fieldNames())
     )
-    return lake.where(typed_rows).unionByName(without)
-
-
-def _has_parquet(spark: SparkSession, root: str, day: date) -> bool:
-    return any(n.endswith(".parquet") for n in file_names(spark, f"{root}/{PARTITION}={day}"))
+    parts = (lake.where(typed_rows), without)
+    if source:
+        return _with_source(parts[0]).unionByName(_with_source(parts[1]))
+    return parts[0].unionByName(parts[1].select(*_LAKE.fieldNames()))
 
 
 def typed_columns(timestamp: Column | None = None) -> list[Column]:
@@ -140,16 +139,17 @@ def typed_columns(timestamp: Column | None = None) -> list[Column]:
     ]
 
 
-def rejects() -> dict[str, Column]:
+def rejects(raw: DataFrame | None = None) -> dict[str, Column]:
     """Per reason: raw rows that staging could not hold as they are.
 
     A NULL where the raw value is present is a failed cast; a day unlike the row's folder
-    or time would put it where no reader looks for it.
+    or time would put it where no reader looks for it. Lines that could not be parsed count
+    where ``raw`` has them.
     """
     day = F.col("event_date").try_cast("date")
     at = utc_timestamp(F.col("event_timestamp"))
     lost = F.col("amount").isNotNull() & F.col("amount").try_cast(MONEY).isNull()
-    return {
+    reasons = {
         "event_date": day.isNull(),
         "event_date_unlike_folder": F.coalesce(day != F.col(PARTITION), F.lit(False)),
         "event_timestamp": at.isNull(),
@@ -157,16 +157,32 @@ def rejects() -> dict[str, Column]:
         "amount": lost,
         "event_type": F.col("event_type").isNull(),
     }
+    if raw is not None and CORRUPT in raw.columns:
+        reasons["corrupt_line"] = F.col(CORRUPT).isNotNull()
+    return reasons
 
 
 def rejected_rows(raw: DataFrame) -> DataFrame:
     """How many raw rows of a lake fail for each reason; a row can fail for several."""
-    reasons = rejects()
+    reasons = rejects(raw)
     counts = raw.agg(*(F.count_if(bad).alias(n) for n, bad in reasons.items()))
     pairs = ", ".join(f"'{n}', `{n}`" for n in reasons)
     return counts.selectExpr(f"stack({len(reasons)}, {pairs}) AS (reason, failing_rows)")
 
 
+def quarantined(raw: DataFrame) -> DataFrame:
+    """``reasons, file, record, date`` of each raw row, read with ``source``, that staging cannot hold.
+
+    ``record`` is the line itself where it could not be parsed, else the row as JSON.
+    """
+    reasons = F.filter(
+        F.array(*(F.when(bad, F.lit(name)) for name, bad in rejects(raw).items())), lambda r: r.isNotNull()
+    )
+    record = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*RAW_EVENT.fieldNames())))
+    rows = raw.select(reasons.alias("reasons"), F.col(SOURCE).alias("file"), record.alias("record"), PARTITION)
+    return rows.where(F.size("reasons") > 0)
+
+
 def day_exists(spark: SparkSession, root: str, day: date | str, fmt: str = "parquet") -> bool:
     """Whether the lake has a folder for the day, be it with or without rows."""
     if fmt not in _GLOBS:
@@ -186,10 +202,15 @@ def read_events(
 
 
 def read_day(
-    spark: SparkSession, root: str, day: date | str, fmt: str = "parquet", typed: bool = False
+    spark: SparkSession,
+    root: str,
+    day: date | str,
+    fmt: str = "parquet",
+    typed: bool = False,
+    source: bool = False,
 ) -> DataFrame:
     """Raw rows of one ``date=`` folder; no rows when the folder is missing."""
-    return read_raw(spark, root, fmt, [day], typed)
+    return read_raw(spark, root, fmt, [day], typed, source)
 
 
 def partition_inventory(spark: SparkSession, root: str, rows: bool = True) -> DataFrame:
@@ -200,12 +221,7 @@ def partition_inventory(spark: SparkSession, root: str, rows: bool = True) -> Da
     """
     parts = []
     for fmt, glob in _GLOBS.items():
-        listed = (
-            spark.read.format("binaryFile")
-            .schema(T.StructType([*_LISTED, T.StructField(PARTITION, T.DateType())]))
-            .option("pathGlobFilter", glob)
-            .load(root)
-        )
+        listed = listed_files(spark, root, glob, [_LAKE.fields[-1]])
         per_day = listed.groupBy(PARTITION).agg(
             F.count("*").alias("n_files"), F.sum("length").alias("n_bytes")
         )

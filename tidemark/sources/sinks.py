@@ -19,6 +19,17 @@ def _spread(df: DataFrame, *parts: str) -> DataFrame:
     return df.hint("rebalance", *parts)
 
 
+def lookup_options(columns: Iterable[str]) -> dict[str, str]:
+    """Parquet options by which readers skip row groups without a wanted value.
+
+    A bloom filter per row group and column, as large as the column's distinct values ask for.
+    Spark uses them for equality with literals; columns with few values have a dictionary
+    instead, which serves the same way.
+    """
+    options = {f"parquet.bloom.filter.enabled#{name}": "true" for name in columns}
+    return options | ({"parquet.bloom.filter.adaptive.enabled": "true"} if options else {})
+
+
 def raw_rows(df: DataFrame) -> DataFrame:
     """Typed events as lake rows: ISO text timestamps, day text and JSON metadata."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -84,6 +95,34 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(located, True)
 
 
+def rename_path(spark: SparkSession, path: str, target: str) -> bool:
+    """Give a file its name; False when there already is one of that name."""
+    fs, located = _located(spark, path)
+    if path_exists(spark, target):
+        return False
+    return fs.rename(located, _located(spark, target)[1])
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file of the driver's."""
+    fs, located = _located(spark, path)
+    out = fs.create(located, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Read a small file to the driver."""
+    fs, located = _located(spark, path)
+    stream = fs.open(located)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def partition_days(spark: SparkSession, path: str, part_col: str) -> list[date]:
     """The days of a table's partitions, by its folders; no file is opened."""
     day = re.compile(rf"{re.escape(part_col)}=(\d{{4}}-\d{{2}}-\d{{2}})")
@@ -91,12 +130,23 @@ def partition_days(spark: SparkSession, path: str, part_col: str) -> list[date]:
     return sorted(date.fromisoformat(m[1]) for m in found if m)
 
 
-def replace_table(df: DataFrame, path: str, part_col: str, sort_col: str) -> None:
-    """Replace a whole table: partitions that ``df`` does not hold are gone afterwards."""
+def replace_table(
+    df: DataFrame,
+    path: str,
+    part_col: str,
+    sort_col: str,
+    cluster: Iterable[str] = (),
+    lookup: Iterable[str] = (),
+) -> None:
+    """Replace a whole table: partitions that ``df`` does not hold are gone afterwards.
+
+    ``cluster`` and ``lookup`` are those of :func:`overwrite_partitions`.
+    """
     (
-        _spread(df, part_col)
+        _spread(df, part_col, *cluster)
         .sortWithinPartitions(part_col, sort_col)
         .write.mode("overwrite")
+        .options(**lookup_options(lookup))
         .option("partitionOverwriteMode", "static")
         .partitionBy(part_col)
         .parquet(path)
@@ -116,20 +166,25 @@ def overwrite_partitions(
     days: Iterable[date | str] = (),
     sort_col: str | None = None,
     spread: bool = True,
+    cluster: Iterable[str] = (),
+    lookup: Iterable[str] = (),
 ) -> None:
     """Replace the partitions ``df`` holds, and empty those of ``days`` it does not.
 
     Rows are sorted by ``sort_col`` inside each file, so that range filters on it
-    skip row groups. Rerunning with the same rows leaves the same table. Pass
+    skip row groups. Rows of one ``cluster`` value lie together in one file of a day, or in a
+    few where they outgrow it, and the ``lookup`` columns get filters by which a literal
+    lookup skips the other files. Rerunning with the same rows leaves the same table. Pass
     ``spread=False`` for one day whose rows already are in tasks of a fair size.
     """
     spark = df.sparkSession
     folders = {f"{path}/{part_col}={day}" for day in days}
     before = {folder: file_names(spark, folder) for folder in folders}
-    out = _spread(df, part_col) if spread else df
+    out = _spread(df, part_col, *cluster) if spread else df
     out = out.sortWithinPartitions(part_col, *([sort_col] if sort_col else []))
     (
         out.write.mode("overwrite")
+        .options(**lookup_options(lookup))
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(part_col)
         .parquet(path)

@@ -66,6 +66,11 @@ snap AS (
                                      ORDER BY event_timestamp, event_id) AS place
         FROM ev) AS t
   WHERE place = 1)"""
+_SOLD_SNAP = """
+sold AS (
+  SELECT user_sk, 'ORD_' || CAST(event_id AS VARCHAR) AS order_id, event_date AS order_date,
+         CAST(amount AS DOUBLE) AS order_amount
+  FROM ev JOIN snap USING (user_id) WHERE event_type = 'purchase' AND amount > 0)"""
 _ACTIVITY = f"""
 recent AS (SELECT * FROM ev WHERE event_date >= DATE '{AS_OF}' - INTERVAL '30 days'),
 counted AS (
@@ -235,6 +240,18 @@ WHERE event_type = 'like' AND user_id IN
     + """SELECT session_id, user_id, COUNT(*) AS n, MIN(event_timestamp) AS first_at,
        MAX(event_timestamp) AS last_at
 FROM ev GROUP BY session_id, user_id""",
+    "lookup_session": _EV
+    + """SELECT session_id, event_id, event_type, event_timestamp FROM ev
+WHERE session_id = (SELECT session_id FROM ev WHERE event_type = 'purchase'
+                    ORDER BY event_timestamp DESC, event_id DESC LIMIT 1)""",
+    "lookup_user_type": _EV
+    + """SELECT user_id, event_id, event_timestamp FROM ev
+WHERE event_type = 'like'
+  AND user_id = (SELECT user_id FROM ev ORDER BY amount DESC, event_id DESC LIMIT 1)""",
+    "lookup_user_orders": _with(SQL_EVENTS, _SNAP, _SOLD_SNAP)
+    + f"""SELECT user_sk, order_id, order_date, order_amount FROM sold
+WHERE user_sk = (SELECT user_sk FROM sold GROUP BY user_sk ORDER BY COUNT(*) DESC, user_sk LIMIT 1)
+  AND order_date BETWEEN DATE '{LAST_DAY}' - 13 AND DATE '{LAST_DAY}'""",
     "json_filter": _EV
     + """SELECT event_id, user_id, metadata FROM ev
 WHERE metadata->>'$.payment_gateway' = 'stripe'""",

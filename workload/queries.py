@@ -22,7 +22,7 @@ from tidemark.operators.scd2 import (
     scd2_merge,
 )
 from tidemark.operators.skew import skewed_join
-from tidemark.plans import daily, dims, facts, marts, warehouse
+from tidemark.plans import daily, dims, facts, lookups, marts, warehouse
 from tidemark.schemas import (
     DEFAULTS,
     EVENT_TYPES,
@@ -266,6 +266,55 @@ def session_lookup(spark, sf_dir):
     )
 
 
+def _stored(rows: DataFrame, part: str, sort: str, cluster: tuple, lookup: tuple) -> DataFrame:
+    """``rows`` as the fact sink lays them out."""
+    spark = rows.sparkSession
+    path = new_folder(spark, "facts")
+    overwrite_partitions(rows, path, part, sort_col=sort, cluster=cluster, lookup=lookup)
+    return spark.read.parquet(path)
+
+
+def _stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(
+        events(spark, sf_dir), "event_date", "event_timestamp", lookups.EVENT_CLUSTER, lookups.EVENT_LOOKUPS
+    )
+
+
+@query
+def lookup_session(spark, sf_dir):
+    """The whole session of the newest purchase."""
+    stored = _stored_events(spark, sf_dir)
+    bought = stored.where(F.col("event_type") == "purchase")
+    newest = F.max_by("session_id", F.struct("event_timestamp", "event_id"))
+    wanted = bought.agg(newest.alias("session_id")).first().session_id
+    return lookups.session_events(stored, wanted).select(
+        "session_id", "event_id", "event_type", "event_timestamp"
+    )
+
+
+@query
+def lookup_user_type(spark, sf_dir):
+    """The likes of the user whose purchase was the largest."""
+    stored = _stored_events(spark, sf_dir)
+    largest = F.max_by("user_id", F.struct("amount", F.col("event_id")))
+    wanted = stored.agg(largest.alias("user_id")).first().user_id
+    return lookups.user_events(stored, wanted, "like").select("user_id", "event_id", "event_timestamp")
+
+
+@query
+def lookup_user_orders(spark, sf_dir):
+    """The last fortnight's orders of the user version that ordered most often."""
+    rows = events(spark, sf_dir)
+    orders = facts.snapshot_fact_orders(rows, dims.dim_user_snapshot(rows))
+    stored = _stored(
+        orders, "order_date", "order_timestamp", lookups.ORDER_CLUSTER, lookups.ORDER_LOOKUPS
+    )
+    busiest = F.max_by("user_sk", F.struct("n", -F.col("user_sk")))
+    wanted = stored.groupBy("user_sk").agg(F.count("*").alias("n")).agg(busiest.alias("sk")).first().sk
+    found = lookups.user_orders(stored, wanted, LAST_DAY - timedelta(days=13), LAST_DAY)
+    return _plain(found.select("user_sk", "order_id", "order_date", "order_amount"))
+
+
 @query
 def json_filter(spark, sf_dir):
     wanted = json_contains(F.col("metadata"), {"payment_gateway": "stripe"})
