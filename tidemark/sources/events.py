@@ -20,17 +20,18 @@ PARTITION = "date"
 SOURCE = "_source_file"
 CORRUPT = "_corrupt_line"
 # JSON lines that our own sink puts together end in .txt.
-_GLOBS = {"parquet": "*.parquet", "json": "*.{json,txt}"}
-_LAKE = T.StructType([*RAW_EVENT.fields, T.StructField(PARTITION, T.DateType())])
+LAKE_GLOBS = {"parquet": "*.parquet", "json": "*.{json,txt}"}
+PARTITION_FIELD = T.StructField(PARTITION, T.DateType())
+_LAKE = T.StructType([*RAW_EVENT.fields, PARTITION_FIELD])
 _CORRUPT_FIELD = T.StructField(CORRUPT, T.StringType())
 
 
 def _scan(spark: SparkSession, root: str, fmt: str, source: bool = False) -> DataFrame:
-    if fmt not in _GLOBS:
+    if fmt not in LAKE_GLOBS:
         raise ValueError(f"unknown event format {fmt!r}")
     if fmt == "json" and source:
         # Lines that cannot be parsed become rows that hold their text.
-        schema = T.StructType([*RAW_EVENT.fields, _CORRUPT_FIELD, _LAKE.fields[-1]])
+        schema = T.StructType([*RAW_EVENT.fields, _CORRUPT_FIELD, PARTITION_FIELD])
         reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     else:
@@ -38,7 +39,7 @@ def _scan(spark: SparkSession, root: str, fmt: str, source: bool = False) -> Dat
         if fmt == "json":
             reader = reader.option("mode", "FAILFAST")
     # A folder may hold both formats; each reader takes its own files only.
-    return reader.option("pathGlobFilter", _GLOBS[fmt]).format(fmt).load(root)
+    return reader.option("pathGlobFilter", LAKE_GLOBS[fmt]).format(fmt).load(root)
 
 
 def _with_source(rows: DataFrame) -> DataFrame:
@@ -52,7 +53,7 @@ def lake_footers(
     spark: SparkSession, root: str, days: Iterable[date | str] | None = None
 ) -> DataFrame:
     """``path, length, date, n_rows, columns`` of the lake's Parquet files, see ``file_footers``."""
-    files = listed_files(spark, root, _GLOBS["parquet"], [_LAKE.fields[-1]])
+    files = listed_files(spark, root, LAKE_GLOBS["parquet"], [PARTITION_FIELD])
     if days is not None:
         files = files.where(F.col(PARTITION).isin([as_date(d) for d in days]))
     return file_footers(files, RAW_EVENT.fieldNames())
@@ -111,7 +112,7 @@ def read_raw(
     without = (
         spark.read.schema(rest)
         .option("basePath", root)
-        .option("pathGlobFilter", _GLOBS["parquet"])
+        .option("pathGlobFilter", LAKE_GLOBS["parquet"])
         .parquet(*(f"{root}/{PARTITION}={d}" for d in whole), *files)
         .withColumn("product_id", F.lit(None).cast("string"))
     )
@@ -185,7 +186,7 @@ def quarantined(raw: DataFrame) -> DataFrame:
 
 def day_exists(spark: SparkSession, root: str, day: date | str, fmt: str = "parquet") -> bool:
     """Whether the lake has a folder for the day, be it with or without rows."""
-    if fmt not in _GLOBS:
+    if fmt not in LAKE_GLOBS:
         raise ValueError(f"unknown event format {fmt!r}")
     return path_exists(spark, f"{root}/{PARTITION}={as_date(day)}")
 
@@ -220,8 +221,8 @@ def partition_inventory(spark: SparkSession, root: str, rows: bool = True) -> Da
     footers. A day without files yields no row. ``rows=False`` opens no file at all.
     """
     parts = []
-    for fmt, glob in _GLOBS.items():
-        listed = listed_files(spark, root, glob, [_LAKE.fields[-1]])
+    for fmt, glob in LAKE_GLOBS.items():
+        listed = listed_files(spark, root, glob, [PARTITION_FIELD])
         per_day = listed.groupBy(PARTITION).agg(
             F.count("*").alias("n_files"), F.sum("length").alias("n_bytes")
         )

@@ -129,6 +129,17 @@ mau AS (SELECT metric_date, COUNT(DISTINCT user_id) AS mau
         WHERE event_date <= metric_date AND event_date > metric_date - 30
         GROUP BY metric_date)"""
 
+_STICKINESS = f""", ratios AS (
+  SELECT metric_date, mau,
+         (SELECT COUNT(*) FROM user_days WHERE event_date = metric_date) AS dau
+  FROM mau)
+SELECT metric_date, dau, mau, {_pct('dau', 'mau')} AS stickiness_ratio_pct,
+       floor(AVG(CAST(dau AS DOUBLE) / NULLIF(mau, 0) * 100)
+             OVER (ORDER BY metric_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+             * 100 + 0.5) / 100 AS stickiness_7d_ma
+FROM ratios"""
+_FACTS = f"facts AS (SELECT ev.user_id, event_date FROM ev JOIN hist AS h ON {_PIT})"
+
 # Each step time is a conditional minimum over all rows of the key.
 _STEP = """
 {name} AS (SELECT *, MIN(CASE WHEN event_type IN ({types}) AND event_timestamp >= {after}
@@ -187,6 +198,14 @@ def _as_of(day: object, place: int) -> str:
 _ORDER_COLUMNS = """'ORD_' || CAST(ev.event_id AS VARCHAR) AS order_id, ev.event_id,
        event_timestamp AS order_timestamp, event_date AS order_date"""
 
+_FRESHNESS = f"""SELECT newest, age_seconds,
+       CASE WHEN age_seconds > 86400 THEN 'error' WHEN age_seconds > 43200 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM (SELECT MAX(event_timestamp) AS newest,
+             (epoch_us(TIMESTAMP '{FRESH_AT}') - epoch_us(MAX(event_timestamp)))
+               / 1000000.0::DOUBLE AS age_seconds
+      FROM ev) AS t"""
+
 CHECKS: dict[str, str] = {
     "scan_raw_events": _EV + _RAW,
     "parquet_roundtrip": _EV + _RAW,
@@ -313,16 +332,14 @@ WHERE place = 1""",
        ROW_NUMBER() OVER (ORDER BY event_timestamp, event_id) AS event_sk
 FROM ev""",
     "mau_trailing": _with(SQL_EVENTS, _MAU) + "SELECT metric_date, mau FROM mau",
-    "dau_mau": _with(SQL_EVENTS, _MAU)
-    + f""", ratios AS (
-  SELECT metric_date, mau,
-         (SELECT COUNT(*) FROM user_days WHERE event_date = metric_date) AS dau
-  FROM mau)
-SELECT metric_date, dau, mau, {_pct('dau', 'mau')} AS stickiness_ratio_pct,
-       floor(AVG(CAST(dau AS DOUBLE) / NULLIF(mau, 0) * 100)
-             OVER (ORDER BY metric_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
-             * 100 + 0.5) / 100 AS stickiness_7d_ma
-FROM ratios""",
+    "dau_mau": _with(SQL_EVENTS, _MAU) + _STICKINESS,
+    # Only events that have a user version at their time are facts.
+    "dau_mau_kept_words": _with(SQL_EVENTS, _history("ev", "hist"), _FACTS, _MAU.replace("FROM ev", "FROM facts"))
+    + _STICKINESS,
+    "retention_kept_words": _with(
+        SQL_EVENTS, _history("ev", "hist"), _FACTS, _retention("facts", RETENTION_AS_OF)
+    )
+    + "SELECT * FROM shares",
     "retention_counts": _with(SQL_ORDERS, _retention("co", ORDERS_AS_OF))
     + "SELECT * FROM cohorts",
     "retention_cohorts": _with(SQL_EVENTS, _retention("ev", RETENTION_AS_OF))
@@ -462,6 +479,28 @@ UNION ALL SELECT 'event_type', COUNT(*) FILTER (event_type IS NULL) FROM typed""
         f"COUNT(*) FILTER ({c} IS NULL) AS failing_rows FROM dirty"
         for c in ("event_id", "user_id", "event_type", "event_timestamp", "event_date", "platform")
     ),
+    "file_not_null": _EV_DIRTY
+    + " UNION ALL ".join(
+        f"SELECT 'not_null: {c}' AS \"check\", COUNT(*) FILTER ({c} IS NULL) = 0 AS passed, "
+        f"COUNT(*) FILTER ({c} IS NULL) AS failing_rows FROM dirty"
+        for c in ("event_id", "user_id", "event_type", "event_timestamp")
+    ),
+    "file_freshness": _EV + _FRESHNESS,
+    "rejected_records": _EV
+    + """SELECT event_date AS date, 'corrupt_line,event_date,event_timestamp,event_type' AS reasons,
+       '{"event_id":"' || event_id || '","user_id":' AS record
+FROM ev WHERE event_id % 97 = 0
+UNION ALL
+SELECT event_date, CASE WHEN event_id % 89 = 0 THEN 'amount,event_type'
+                        ELSE 'amount' END, CAST(event_id AS VARCHAR)
+FROM ev WHERE event_id % 83 = 0
+UNION ALL
+SELECT event_date, 'event_type', CAST(event_id AS VARCHAR)
+FROM ev WHERE event_id % 89 = 0 AND event_id % 83 <> 0""",
+    "compacted_lake": _EV
+    + """SELECT event_date AS date, 4 AS n_before, 1 AS n_after, COUNT(*) AS n,
+       CAST(SUM(amount) AS DOUBLE) AS amount
+FROM ev GROUP BY event_date""",
     "dq_unique": _EV_DIRTY
     + """SELECT event_date, event_id, COUNT(*) AS n FROM dirty
 GROUP BY event_date, event_id HAVING COUNT(*) > 1""",
@@ -482,14 +521,7 @@ WHERE user_id NOT IN (SELECT user_id FROM hist WHERE is_current) GROUP BY user_i
     "dq_range": _EV_DIRTY
     + """SELECT event_id, event_date, CAST(amount AS DOUBLE) AS amount FROM dirty
 WHERE NOT (amount >= 0)""",
-    "dq_freshness": _EV
-    + f"""SELECT newest, age_seconds,
-       CASE WHEN age_seconds > 86400 THEN 'error' WHEN age_seconds > 43200 THEN 'warn'
-            ELSE 'pass' END AS status
-FROM (SELECT MAX(event_timestamp) AS newest,
-             (epoch_us(TIMESTAMP '{FRESH_AT}') - epoch_us(MAX(event_timestamp)))
-               / 1000000.0::DOUBLE AS age_seconds
-      FROM ev) AS t""",
+    "dq_freshness": _EV + _FRESHNESS,
     "row_count_drift": _EV
     + f""", per_day AS (SELECT event_date, COUNT(*) AS row_count FROM ev GROUP BY event_date),
 framed AS (

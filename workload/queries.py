@@ -22,7 +22,7 @@ from tidemark.operators.scd2 import (
     scd2_merge,
 )
 from tidemark.operators.skew import skewed_join
-from tidemark.plans import daily, dims, facts, lookups, marts, warehouse
+from tidemark.plans import daily, dims, facts, file_checks, lookups, marts, warehouse
 from tidemark.schemas import (
     DEFAULTS,
     EVENT_TYPES,
@@ -32,10 +32,13 @@ from tidemark.schemas import (
     UUID_PATTERN,
     conform,
 )
+from tidemark.sources.compaction import compact_lake
 from tidemark.sources.events import (
     partition_inventory,
+    quarantined,
     read_day,
     read_events,
+    read_raw,
     rejected_rows,
     typed_columns,
 )
@@ -642,6 +645,30 @@ def dim_user_as_of(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _incremental(spark: SparkSession, sf_dir: str, runs: int) -> str:
+    """A warehouse rebuilt to the day before the newest, which is then loaded so many times."""
+    lake, target = _lake(spark, sf_dir), new_folder(spark, "warehouse")
+    last = _newest_day(events(spark, sf_dir))
+    daily.rebuild(spark, lake, target, upto=last - timedelta(days=1), typed=True)
+    for _ in range(runs):
+        daily.run_daily(spark, lake, target, last, typed=True)
+    return target
+
+
+@query
+def dau_mau_kept_words(spark, sf_dir):
+    """Stickiness from the activity words that the loads keep."""
+    words = daily.read_activity_words(spark, _incremental(spark, sf_dir, 2))
+    return marts.dau_mau_of_words(words, AS_OF)
+
+
+@query
+def retention_kept_words(spark, sf_dir):
+    """Retention from the activity words that the loads keep."""
+    words = daily.read_activity_words(spark, _incremental(spark, sf_dir, 1))
+    return marts.retention_of_words(words, RETENTION_AS_OF)
+
+
 @query
 def empty_day_rerun(spark, sf_dir):
     """Load to the newest day, take its rows out of the lake but not its folder, and rerun it."""
@@ -777,6 +804,60 @@ def dq_rejected_rows(spark, sf_dir):
     return rejected_rows(dirty_lake_rows(spark, sf_dir))
 
 
+@query
+def rejected_records(spark, sf_dir):
+    """Every raw JSON row that staging cannot hold, some of them no JSON, with its reasons."""
+    root = new_folder(spark, "json-lake")
+    rows = events(spark, sf_dir)
+    n = F.col("event_id")
+    kind = F.when(n % 89 != 0, F.col("event_type"))
+    amount = F.when(n % 83 == 0, F.lit(250_000_000.0)).otherwise(F.col("amount").cast("double"))
+    write_json_lake(rows.withColumns({"event_type": kind, "amount": amount}), root)
+    cut_off = F.concat(F.lit('{"event_id":"'), n.cast("string"), F.lit('","user_id":'))
+    broken = rows.where(n % 97 == 0).select(cut_off.alias("value"), F.col("event_date").alias("date"))
+    broken.write.partitionBy("date").mode("append").text(root)
+    kept = quarantined(read_raw(spark, root, fmt="json", source=True))
+    record = F.coalesce(F.get_json_object("record", "$.event_id"), "record")
+    record = F.when(F.array_contains("reasons", "corrupt_line"), F.col("record")).otherwise(record)
+    reasons = F.concat_ws(",", F.array_sort("reasons"))
+    return kept.select("date", reasons.alias("reasons"), record.alias("record"))
+
+
+def _stored_dirty(spark: SparkSession, sf_dir: str) -> str:
+    path = new_folder(spark, "table")
+    dirty_events(spark, sf_dir).repartition(8).write.parquet(path)
+    return path
+
+
+@query_named("file_not_null")
+def not_null_by_footers(spark, sf_dir):
+    columns = ["event_id", "user_id", "event_type", "event_timestamp"]
+    return file_checks.file_not_null(spark, _stored_dirty(spark, sf_dir), columns)
+
+
+@query_named("file_freshness")
+def freshness_by_footers(spark, sf_dir):
+    return file_checks.file_freshness(spark, _stored_dirty(spark, sf_dir), FRESH_AT)
+
+
+@query
+def compacted_lake(spark, sf_dir):
+    """Four flushes a day merged into one file; the days as they are read afterwards."""
+    root = new_folder(spark, "flushes")
+    rows = events(spark, sf_dir)
+    for turn in range(4):
+        part = rows.where(F.pmod(F.col("event_id"), F.lit(4)) == turn)
+        write_parquet_lake(part.repartition(1, "event_date"), root)
+    merged = compact_lake(spark, root)
+    counts = spark.createDataFrame(
+        [(day, *n) for day, n in merged.items()], "date date, n_before bigint, n_after bigint"
+    )
+    per_day = read_raw(spark, root, typed=True).groupBy("date").agg(
+        F.count("*").alias("n"), F.sum(F.col("amount").cast("decimal(10,2)")).cast("double").alias("amount")
+    )
+    return counts.join(per_day, "date")
+
+
 @query
 def dq_gate(spark, sf_dir):
     rules = {
