@@ -2,6 +2,11 @@ import base64
 import gzip
 import hashlib
 import json
+import random
+import re
+import time
+import zlib
+from html import unescape
 from html.parser import HTMLParser
 from pathlib import Path
 from urllib.parse import urljoin
@@ -158,3 +163,92 @@ def test_no_pages_and_extra_columns(spark, pages):
     assert warc.derive(warc.responses(pages.limit(0))).collect() == []
     wide = pages.withColumns({"block": F.lit(1), "record_id": F.lit("x"), "warc_type": F.lit("y")})
     assert warc.derive(warc.responses(wide)).count() == 2 * pages.count()
+
+
+# The same by patterns that look to the end of the text again and again.
+_SLOW_DROPPED = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|\Z)|<![^>]*>", re.S | re.I
+)
+_SLOW_SCRIPT = re.compile(r"<!--.*?(?:-->|\Z)|(<(script|style)\b[^>]*>).*?(?:</\2\s*>|\Z)", re.S | re.I)
+
+
+def slow_text(html):
+    text = warc._TAG.sub("", warc._BREAKS.sub("\n", _SLOW_DROPPED.sub(" ", html)))
+    lines = (warc._BLANKS.sub(" ", line).strip() for line in unescape(text).split("\n"))
+    return "\n".join(line for line in lines if line)
+
+
+def slow_title(html):
+    found = re.search(r"<title\b[^>]*>(.*?)</title\s*>", html, re.S | re.I)
+    return " ".join(unescape(found[1]).split()) if found else None
+
+
+def slow_links(html):
+    found = warc._LINK.findall(_SLOW_SCRIPT.sub(lambda m: m[1] or "", html))
+    return [a[0].lower() for a in found if warc._ADDRESS.search(a[1])]
+
+
+def test_markup_of_random_pages():
+    rng = random.Random(2)
+    parts = ["<!--", "-->", "<script", "</script>", "</script >", "<style>", "</style>", "<title>", "</title>", "<TITLE x",
+             "<a href='u'", "<p", ">", "<", "!", " ", "x", "\n", "</p>", "<!doctype", "<head>", "</head>", "<br/>",
+             "<img src=i>", "&lt;", "--"]
+    for _ in range(20_000):
+        html = "".join(rng.choices(parts, k=rng.randint(0, 12)))
+        assert warc.plain_text(html) == slow_text(html), html
+        assert warc.title_of(html) == slow_title(html), html
+        assert [r["path"].split("@")[0] for r in warc.links_of(html, "http://h/")] == slow_links(html), html
+
+
+@pytest.mark.parametrize(
+    "opener",
+    ["<title>", "<title", "<a", "<a href='", '<a href="x" ', "<!--", "<!", "<script", "<script>", "<style ", "<p", "</p",
+     "<head>", "</title ", "<", "&", "<a href=x><script>", "<!-- -"],
+)
+@pytest.mark.parametrize("end", ["", ">", "-->", "</title>"])
+def test_a_megabyte_of_open_tags_takes_no_time(opener, end):
+    html = opener * (1_000_000 // len(opener)) + end
+    begin = time.perf_counter()
+    warc.plain_text(html)
+    warc.title_of(html)
+    warc.links_of(html, "http://host/page")
+    assert time.perf_counter() - begin < 6
+
+
+def chunked(body, size=7):
+    parts = [body[i : i + size] for i in range(0, len(body), size)]
+    return b"".join(b"%x;note\r\n%s\r\n" % (len(p), p) for p in parts) + b"0\r\nTrailer: x\r\n\r\n"
+
+
+HTML = "<html><head><title>Größe</title></head><body><p>Ein Text</p></body></html>"
+
+
+@pytest.mark.parametrize(
+    ("headers", "encode"),
+    [
+        (["Transfer-Encoding: chunked"], chunked),
+        (["Content-Encoding: gzip"], gzip.compress),
+        (["content-encoding: x-gzip", "transfer-encoding: Chunked"], lambda b: chunked(gzip.compress(b))),
+        (["Content-Encoding: deflate"], zlib.compress),
+        (["Content-Encoding: deflate"], lambda b: zlib.compress(b, wbits=-15)),
+        (["Content-Encoding: deflate, gzip"], lambda b: gzip.compress(zlib.compress(b))),
+        # Headers that are not true, as captures of decoded bodies have them.
+        (["Content-Encoding: gzip"], bytes),
+        (["Transfer-Encoding: chunked"], bytes),
+        (["Content-Encoding: br, unknown"], bytes),
+    ],
+)
+def test_codings_of_bodies(spark, headers, encode):
+    block = "\r\n".join(["HTTP/1.1 200 OK", *headers]).encode() + b"\r\n\r\n" + encode(HTML.encode())
+    row = (1, "response", "<urn:x>", None, "http://h/", "2024-01-01T00:00:00Z", warc.HTTP_RESPONSE, "d", "p", block)
+    derived = {r.warc_type: r for r in warc.derive(spark.createDataFrame([row], warc.RECORD_TYPE)).collect()}
+    assert bytes(derived["conversion"].block).decode() == "Ein Text"
+    assert json.loads(bytes(derived["metadata"].block))["title"] == "Größe"
+
+
+def test_bodies_that_end_early():
+    headers = ["HTTP/1.1 200 OK", "Transfer-Encoding: chunked"]
+    whole = chunked(b"0123456789")
+    assert warc.body_of(headers, whole) == b"0123456789"
+    assert warc.body_of(headers, whole[:14]) == b"012345"
+    assert warc.body_of(["", "Content-Encoding: gzip"], gzip.compress(b"abc" * 1000)[:-6]).startswith(b"abcabc")

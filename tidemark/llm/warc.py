@@ -15,7 +15,7 @@ import json
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 from urllib.parse import urljoin
 
@@ -64,8 +64,11 @@ def record_id(*parts: object) -> str:
     return f"<urn:uuid:{uuid.uuid5(_SPACE, ' '.join(map(str, parts)))}>"
 
 
+# Each of these, tried at a "<", either fails within a few characters or matches, as long as
+# a ">" follows somewhere; texts are searched up to their last one, so time grows with the text.
 _DROPPED = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|\Z)|<![^>]*>", re.S | re.I
+    r"<!--.*?(?:-->|(\Z))|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\2\s*>|(\Z))|<![^>]*>",
+    re.S | re.I,
 )
 _BREAKS = re.compile(
     r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figure|footer|form|h[1-6]|header|hr|li|main|"
@@ -73,30 +76,66 @@ _BREAKS = re.compile(
     re.I,
 )
 _TAG = re.compile(r"</?[a-zA-Z][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+_TITLE = re.compile(r"<title\b[^>]*>", re.I)
+_TITLE_END = re.compile(r"</title\s*>", re.I)
 _LINK = re.compile(r"<(a|area|link|img|script|iframe)\b([^>]*)>", re.I)
 _ADDRESS = re.compile(r"""\b(href|src)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_SCRIPT_TEXT = re.compile(r"<!--.*?(?:-->|\Z)|(<(script|style)\b[^>]*>).*?(?:</\2\s*>|\Z)", re.S | re.I)
+_SCRIPT_TEXT = re.compile(
+    r"<!--.*?(?:-->|(\Z))|<(script|style)\b[^>]*>.*?(?:</\2\s*>|(\Z))", re.S | re.I
+)
 _BLANKS = re.compile(r"[ \t\f\v\r\xa0]+")
 
 
+def _without(spans: re.Pattern, html: str, instead: Callable[[re.Match], str]) -> str:
+    """``html`` with what ``spans`` finds replaced; a span that is not closed goes to the end.
+
+    Groups 1 and 3 tell that a comment or an element is not closed. Beyond the last ``>``
+    nothing but an open comment can begin.
+    """
+    last = html.rfind(">") + 1
+    out, at = [], 0
+    for found in spans.finditer(html, 0, last):
+        out += [html[at : found.start()], instead(found)]
+        at = found.end()
+        if found[1] is not None or found[3] is not None:
+            return "".join(out)
+    comment = html.find("<!--", last)
+    if comment < 0:
+        return "".join([*out, html[at:]])
+    return "".join([*out, html[at:comment], " " if spans is _DROPPED else ""])
+
+
+def _replaced(tags: re.Pattern, text: str, by: str) -> str:
+    last = text.rfind(">") + 1
+    return tags.sub(by, text[:last]) + text[last:]
+
+
 def plain_text(html: str) -> str:
     """Visible text, one line per block; blanks are squeezed and empty lines left out."""
-    text = _TAG.sub("", _BREAKS.sub("\n", _DROPPED.sub(" ", html)))
+    shown = _without(_DROPPED, html, lambda _: " ")
+    text = _replaced(_TAG, _replaced(_BREAKS, shown, "\n"), "")
     lines = (_BLANKS.sub(" ", line).strip() for line in unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
 def title_of(html: str) -> str | None:
-    found = _TITLE.search(html)
-    return " ".join(unescape(found[1]).split()) if found else None
+    """The text of the first title that is closed, which is the first if any is."""
+    opened = _TITLE.search(html, 0, html.rfind(">") + 1)
+    closed = _TITLE_END.search(html, opened.end()) if opened else None
+    return " ".join(unescape(html[opened.end() : closed.start()]).split()) if closed else None
+
+
+def _opening(found: re.Match) -> str:
+    """The tag of a script or style, without what stands inside; nothing of a comment."""
+    return found[0][: found[0].index(">") + 1] if found[2] else ""
 
 
 def links_of(html: str, base: str) -> list[dict[str, str]]:
     """Addresses in the order of the page, resolved against its own."""
     out = []
     # What stands inside scripts is no markup; their own tag is.
-    for tag, attributes in _LINK.findall(_SCRIPT_TEXT.sub(lambda m: m[1] or "", html)):
+    markup = _without(_SCRIPT_TEXT, html, _opening)
+    for tag, attributes in _LINK.findall(markup, 0, markup.rfind(">") + 1):
         if found := _ADDRESS.search(attributes):
             raw = unescape(found[2] or found[3] or found[4] or "").strip()
             try:
@@ -120,6 +159,53 @@ def _split_http(block: bytes) -> tuple[list[str], bytes]:
     return head.decode("latin-1").split("\r\n"), body
 
 
+def _named(headers: list[str], name: str) -> str:
+    """The value of a header, in lower case; empty without it."""
+    for line in headers[1:]:
+        key, _, value = line.partition(":")
+        if key.strip().lower() == name:
+            return value.strip().lower()
+    return ""
+
+
+def _unchunked(body: bytes) -> bytes:
+    """The chunks of a body in a row; the body itself where it is not made of chunks."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not size or size.strip(b"0123456789abcdefABCDEF"):
+            # The file may end early; what came counts.
+            return b"".join(out) if out else body
+        n, at = int(size, 16), end + 2
+        if n == 0:
+            return b"".join(out)
+        out.append(body[at : at + n])
+        at += n + 2
+
+
+def _inflated(body: bytes, coding: str) -> bytes:
+    """The body without its compression; as it is where it has none that can be read."""
+    if coding not in ("gzip", "x-gzip", "deflate"):
+        return body
+    for bits in (47, -15) if coding == "deflate" else (47,):
+        inflate = zlib.decompressobj(wbits=bits)
+        try:
+            return inflate.decompress(body) or body
+        except zlib.error:
+            continue
+    return body
+
+
+def body_of(headers: list[str], body: bytes) -> bytes:
+    """What a response carries, once its transfer and content codings are taken off."""
+    if _named(headers, "transfer-encoding").endswith("chunked"):
+        body = _unchunked(body)
+    for coding in reversed(_named(headers, "content-encoding").split(",")):
+        body = _inflated(body, coding.strip())
+    return body
+
+
 def _text_of(headers: list[str], body: bytes) -> str:
     """The body in the character set that its headers name, else as UTF-8."""
     named = [m[1] for h in headers[1:] if (m := re.match(r"(?i)content-type:.*charset=\"?([\w.:-]+)", h))]
@@ -155,7 +241,7 @@ def responses(pages: DataFrame, date: str = CAPTURED) -> DataFrame:
 
 def _derived(record: dict) -> Iterator[tuple]:
     headers, body = _split_http(record["block"] or b"")
-    html = _text_of(headers, body)
+    html = _text_of(headers, body_of(headers, body))
     uri, source = record["target_uri"], record["record_id"]
     pairs = [h.partition(":") for h in headers[1:]]
     links = links_of(html, uri or "")
