@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import mixing
 
+BIG = "/root/testdata/sf0.01"
+
 
 def plain_fill(budget, children):
     """Hand out in rounds: ``children`` is {name: (capacity, weight)}."""
@@ -75,7 +77,7 @@ def test_shortage_goes_to_siblings_first(spark):
 
 
 def plain_mix(rows, share, epochs, seed=mixing.SEED):
-    """rows: (doc_id, text, lang, source); returns (doc_id, epoch) with repeats."""
+    """rows: (doc_id, text, lang, source); returns (doc_id, epoch, taken) with repeats."""
     domains = dict(enumerate(mixing.DOMAINS))
     by_leaf = defaultdict(list)
     for doc_id, text, lang, source in rows:
@@ -93,13 +95,14 @@ def plain_mix(rows, share, epochs, seed=mixing.SEED):
         places = []
         for epoch in range(epochs):
             for doc_id, text in by_leaf[leaf]:
-                key = f"{seed}|{epoch}|{'' if doc_id is None else doc_id}"
-                places.append((epoch, hashlib.md5(key.encode()).hexdigest(), hashlib.md5(text.encode()).hexdigest(), doc_id, size(text)))
+                tie = hashlib.md5(text.encode()).hexdigest()
+                key = f"{seed}|{epoch}|{tie if doc_id is None else doc_id}"
+                places.append((epoch, hashlib.md5(key.encode()).hexdigest(), tie, doc_id, size(text)))
         for epoch, _, _, doc_id, tokens in sorted(places, key=lambda p: p[:3]):
-            used += tokens
-            if used > budget:
+            if used >= budget and (tokens or used > budget):
                 break
-            out.append((doc_id, epoch))
+            out.append((doc_id, epoch, min(tokens, budget - used)))
+            used += tokens
     return Counter(out)
 
 
@@ -113,15 +116,29 @@ def test_mix_equals_running_sums(documents):
     rows += rows[:5]
     for share, epochs in ((0.6, 2), (5.0, 3), (0.0, 1)):
         chosen = mixing.mix(mixing.leaves_of(documents(rows)), share, epochs).collect()
-        got = Counter((r.doc_id, r.epoch) for r in chosen)
-        assert sum((got - plain_mix(rows, share, epochs)).values()) == 0
-        assert sum((plain_mix(rows, share, epochs) - got).values()) == 0
+        assert Counter((r.doc_id, r.epoch, r.taken) for r in chosen) == plain_mix(rows, share, epochs)
+
+
+def test_budgets_are_spent_to_the_token(spark):
+    """But for rounding, one token at most per node, and however long the documents are."""
+    docs = spark.read.parquet(f"{BIG}/documents.parquet")
+    rows = mixing.leaves_of(docs)
+    total = int(rows.agg(F.sum("tokens")).first()[0] * mixing.SHARE)
+    spent = mixing.mix(rows).agg(F.sum("taken")).first()[0]
+    assert total * 0.995 <= spent <= total
+
+
+def test_the_text_decides_the_place_of_rows_without_an_id(documents):
+    rows = [(None, f"text {i} " * 5, "en", "src0") for i in range(300)]
+    chosen = mixing.mix(mixing.leaves_of(documents(rows)), 0.5, 1).collect()
+    assert Counter((r.doc_id, r.epoch, r.taken) for r in chosen) == plain_mix(rows, 0.5, 1)
+    assert len({r.tie for r in chosen}) == len(chosen)
 
 
 def test_odd_rows(odd_documents, clashing, no_documents):
     rows = [tuple(r) for r in odd_documents.select("doc_id", "text", "lang", "source").collect()]
     got = mixing.mix(mixing.leaves_of(odd_documents), 1.0, 1).collect()
-    assert Counter((r.doc_id, r.epoch) for r in got) == plain_mix(rows, 1.0, 1)
+    assert Counter((r.doc_id, r.epoch, r.taken) for r in got) == plain_mix(rows, 1.0, 1)
     kept = mixing.keep_mixed(clashing, 1.0, 1)
     assert kept.columns == clashing.columns
     assert kept.count() == len(got)

@@ -45,7 +45,8 @@ def shortened(rows):
 def mixed(rows):
     keys = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in rows]
     chosen = test_mixing.plain_mix(keys, corpus_pipeline.MIX_SHARE, corpus_pipeline.MIX_EPOCHS)
-    return [r for r in rows if (r["doc_id"], 0) in chosen]
+    kept = {doc_id for doc_id, _, _ in chosen}
+    return [r for r in rows if r["doc_id"] in kept]
 
 
 def packed(rows):

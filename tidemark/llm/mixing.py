@@ -139,16 +139,18 @@ def mix(
     seed: int = SEED,
     weigh=leaf_weights,
 ) -> DataFrame:
-    """The chosen rows of ``docs (domain, lang, source, tokens, key, tie, …)`` with ``epoch``.
+    """The chosen rows of ``docs (domain, lang, source, tokens, key, tie, …)`` with ``epoch``, ``taken``.
 
-    A leaf takes whole documents of epoch 0 in seeded order, then of epoch 1: the longest
-    prefix within its budget. The order is a digest of ``key``, cut into slices by its
+    A leaf takes the documents of epoch 0 in seeded order, then those of epoch 1, until its
+    budget is spent to the token: of the document in which it ends, ``taken`` tells how many
+    tokens still belong to the prefix, of those before it that is ``tokens``. The order is a
+    digest of ``key``, or of ``tie`` where that is NULL, cut into slices by its
     first digits: sums per slice tell in which slice the budget ends, slices before it are
     taken whole, and that one slice alone is sorted. Thus a leaf that holds most documents
     is never in one task.
 
-    Rows of one key are ordered by ``tie``. NULL languages and sources are a value of
-    their own. A document without tokens comes if its place lies within the prefix.
+    Rows of one key are ordered by ``tie``. NULL languages and sources share a leaf with
+    empty ones. A document without tokens comes if its place lies within the prefix.
     """
     names = list(LEVELS)
     leaf = [F.coalesce(F.col(n), F.lit("")).alias(f"leaf_{n}") for n in names]
@@ -156,7 +158,8 @@ def mix(
     passes = docs.select(
         *docs.columns, *leaf, F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch")
     )
-    ordered = passes.withColumn("order", seeded_order(seed, F.col("epoch"), F.col("key")))
+    key = F.coalesce(F.col("key").cast("string"), F.col("tie"))
+    ordered = passes.withColumn("order", seeded_order(seed, F.col("epoch"), key))
     ordered = ordered.withColumn("lane", F.substring("order", 1, LANE_DIGITS))
     slices = ordered.groupBy(*keys, "epoch", "lane").agg(F.sum("tokens").alias("tokens"))
     slices = pin(slices, "slices")
@@ -192,9 +195,13 @@ def mix(
     )
     upto = W.partitionBy(*keys).orderBy("order", "tie").rowsBetween(W.unboundedPreceding, W.currentRow)
     edge = met.where(same_epoch & (F.col("lane") == F.col("last_lane")))
-    edge = edge.withColumn("sum", F.sum("tokens").over(upto)).where(F.col("sum") <= F.col("left"))
+    room = F.col("left") - (F.col("sum") - F.col("tokens"))
+    edge = edge.withColumn("sum", F.sum("tokens").over(upto)).withColumn("room", room)
+    # A document without tokens may come last, right behind a prefix that is full.
+    edge = edge.where((F.col("room") > 0) | (F.col("sum") <= F.col("left")))
     kept = [*docs.columns, "epoch"]
-    return inside.select(*kept).unionByName(edge.select(*kept))
+    whole = inside.select(*kept, F.col("tokens").alias("taken"))
+    return whole.unionByName(edge.select(*kept, F.least("tokens", "room").alias("taken")))
 
 
 def leaves_of(docs: DataFrame, *more: Column) -> DataFrame:
@@ -213,6 +220,9 @@ def leaves_of(docs: DataFrame, *more: Column) -> DataFrame:
 
 
 def keep_mixed(docs: DataFrame, share: float, epochs: int, seed: int = SEED) -> DataFrame:
-    """The chosen rows of ``docs`` with all their columns, once per epoch that takes them."""
+    """The chosen rows of ``docs`` with all their columns, once per epoch that takes them.
+
+    The document in which a leaf's budget ends is kept whole.
+    """
     rows = leaves_of(docs, F.struct(*docs.columns).alias("whole"))
     return mix(rows, share, epochs, seed).select("whole.*")

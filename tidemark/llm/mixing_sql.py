@@ -52,16 +52,17 @@ WITH docs AS (
     )
     + """, passes AS (
   SELECT doc_id, domain, lang, source, tokens, e AS epoch, tie,
-         md5('17|' || e || '|' || coalesce(doc_id::VARCHAR, '')) AS place
+         md5('17|' || e || '|' || coalesce(doc_id::VARCHAR, tie)) AS place
   FROM docs, unnest([0, 1]) AS u(e)
 ), running AS (
   SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY epoch, place, tie
                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used
   FROM passes
 )
-SELECT r.doc_id, r.domain, r.lang, r.source, r.tokens, r.epoch::BIGINT AS epoch
+SELECT r.doc_id, r.domain, r.lang, r.source, r.epoch::BIGINT AS epoch,
+       least(r.tokens, l.budget - (r.used - r.tokens))::BIGINT AS tokens
 FROM running r JOIN source_leaves l
   ON r.domain = l.domain AND coalesce(r.lang, '') = l.lang AND coalesce(r.source, '') = l.source
-WHERE r.used <= l.budget
+WHERE r.used <= l.budget OR r.used - r.tokens < l.budget
 """
 )

@@ -55,7 +55,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = mixing.mix(mixing.leaves_of(_table(spark, sf_dir, "documents")))
     epoch = F.col("epoch").cast("bigint").alias("epoch")
-    return chosen.select("doc_id", "domain", "lang", "source", "tokens", epoch)
+    taken = F.col("taken").alias("tokens")
+    return chosen.select("doc_id", "domain", "lang", "source", taken, epoch)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
