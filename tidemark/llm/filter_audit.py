@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import let, words_of
+from tidemark.sources.scratch import pin
 
 LETTERS = "ABCDE"
 ORDERS = tuple("".join(p) for p in permutations(LETTERS))
@@ -98,6 +99,8 @@ def masks(docs: DataFrame, labels: DataFrame) -> DataFrame:
             F.min(F.struct("doc_id", *counts)).alias("first"),
         )
     )
+    # Written out, for both sides of a join come from it and the texts are read once.
+    copies = pin(copies, "copies")
     least = (
         copies.where(~F.col("nameless"))
         .groupBy("digest")
