@@ -110,3 +110,20 @@ def test_text_limits(spark):
         ("max_length: country", 1),
         ("pattern: event_id", 1),
     ]
+
+
+def test_suite_lists_all_unexpected_values_or_says_how_many_more(clean, monkeypatch):
+    kinds = F.concat(F.lit("kind"), F.lpad((F.col("event_id").cast("string")), 5, "0"))
+    odd = clean.withColumn("event_type", F.when(F.col("event_id").isNotNull(), kinds))
+    n = odd.select("event_type").distinct().count()
+
+    def message():
+        check = "expect_column_values_to_be_in_set: event_type"
+        row = quality.event_suite(odd).where(F.col("check") == check).first()
+        assert row.failing_rows == odd.count()
+        return row.message
+
+    listed = sorted(r[0] for r in odd.select("event_type").distinct().collect())
+    assert message() == "Unexpected event types: {" + ", ".join(listed) + "}"
+    monkeypatch.setattr(quality, "_SHOWN", 2)
+    assert message() == "Unexpected event types: {" + ", ".join(listed[:2]) + "}" + f" and {n - 2} more"

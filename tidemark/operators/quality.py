@@ -133,32 +133,29 @@ def event_suite(
 ) -> DataFrame:
     """The expectation report of a batch: one row per check plus totals and overall flag.
 
-    Two jobs' worth of work: one pass for the counts, one shuffle of the key for
-    uniqueness. A message holds the failures' number or, for the set of values, the
-    ``_SHOWN`` first of the unexpected ones; ``unexpected_values`` has them all with their
-    counts. ``floor`` adds a check on the number of rows.
+    One pass for the counts, one shuffle of the key for uniqueness and one of the unexpected
+    values, each counted once per task. A message holds the failures' number or, for the set of
+    values, the values themselves: all of them up to ``_SHOWN``, beyond that the first by name
+    and how many more there are. ``floor`` adds a check on the number of rows.
     """
-    unexpected = F.col(category).isNull() | ~F.col(category).isin(list(allowed))
     counts = df.agg(
         F.count("*").alias("total_records"),
         *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required),
-        F.count_if(unexpected).alias("unexpected"),
-        _first_values(category, unexpected).alias("values"),
         F.count_if(F.col(amount) < 0).alias("negative"),
         *([F.greatest(F.lit(floor) - F.count("*"), F.lit(0)).alias("missing")] if floor else []),
     )
     pairs = [
         *((f"expect_column_values_to_not_be_null: {c}", f"null_{c}") for c in required),
-        (f"expect_column_values_to_be_in_set: {category}", "unexpected"),
         (f"expect_column_values_to_be_between: {amount} >= 0", "negative"),
         *([("expect_table_row_count_to_be_at_least", "missing")] if floor else []),
     ]
-    scalar = _stack(counts, pairs, ["total_records", "values"])
+    said = F.lit(None).cast("string").alias("listed")
+    scalar = _stack(counts, pairs, ["total_records"]).select("total_records", said, "check", "failing_rows")
     # A NULL key counts as one value, so only its repeats are duplicates.
     per_key = df.groupBy(key).agg(F.count("*").alias("n"))
     unique = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"),
-        F.array().cast("array<string>").alias("values"),
+        said,
         F.lit(f"expect_column_values_to_be_unique: {key}").alias("check"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failing_rows"),
     )
@@ -167,16 +164,17 @@ def event_suite(
     message = F.concat(F.lit("Rows missing: "), failures)
     for name, said in (
         ("expect_column_values_to_be_unique", F.concat(F.lit("Duplicates found: "), failures)),
-        ("expect_column_values_to_be_in_set", _listed(category)),
+        ("expect_column_values_to_be_in_set", F.col("listed")),
         ("expect_column_values_to_be_between", F.concat(F.lit("Negative amounts detected: "), failures)),
     ):
         message = F.when(F.col("check").startswith(name), said).otherwise(message)
     nulls = F.col("check").startswith("expect_column_values_to_not_be_null: ")
     column = F.substring_index("check", ": ", -1)
     message = F.when(nulls, F.concat(F.lit("Null count in "), column, F.lit(": "), failures)).otherwise(message)
-    return scalar.unionByName(unique).select(
+    rows = scalar.unionByName(unique).unionByName(_value_row(df, category, allowed))
+    return rows.select(
         F.lit("product_events_core_expectations").alias("suite_name"),
-        "total_records",
+        F.max("total_records").over(whole).alias("total_records"),
         (F.max("failing_rows").over(whole) == 0).alias("checks_passed"),
         "check",
         (F.col("failing_rows") == 0).alias("passed"),
@@ -185,19 +183,29 @@ def event_suite(
     )
 
 
-_SHOWN = 20  # unexpected values in a message
-
-
-def _first_values(column: str, bad: Column) -> Column:
-    """Up to ``_SHOWN`` of the values in failing rows, by name; NULL shows as such."""
-    shown = F.when(bad, F.coalesce(F.col(column).cast("string"), F.lit("NULL")))
-    found = F.collect_set(shown)
-    return F.slice(F.sort_array(found), 1, _SHOWN)
+_SHOWN = 1000  # unexpected values in a message
 
 
-def _listed(column: str) -> Column:
-    label = F.lit(f"Unexpected {column.replace('_', ' ')}s: ")
-    return F.concat(label, F.lit("{"), F.concat_ws(", ", "values"), F.lit("}"))
+def _value_row(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
+    """The row of the check on a set of values; its list holds the first ``_SHOWN``, NULL as such."""
+    bad = unexpected_values(df, column, allowed, null_is_invalid=True).select(
+        F.coalesce(F.col("value").cast("string"), F.lit("NULL")).alias("value"), "n"
+    )
+    none = F.lit(None).cast("bigint")
+    # The first ones are picked per task before they meet; the others are only counted.
+    first = bad.orderBy("value").limit(_SHOWN).select("value", none.alias("values"), none.alias("n"))
+    sums = bad.agg(F.count("*").alias("values"), F.sum("n").alias("n"))
+    both = first.unionByName(sums.select(F.lit(None).cast("string").alias("value"), "values", "n"))
+    shown = F.concat_ws(", ", F.sort_array(F.collect_list("value")))
+    rest = F.max("values") - F.count("value")
+    more = F.when(rest > 0, F.concat(F.lit(" and "), rest.cast("string"), F.lit(" more"))).otherwise(F.lit(""))
+    label = f"Unexpected {column.replace('_', ' ')}s: "
+    return both.agg(
+        none.alias("total_records"),
+        F.concat(F.lit(label), F.lit("{"), shown, F.lit("}"), more).alias("listed"),
+        F.lit(f"expect_column_values_to_be_in_set: {column}").alias("check"),
+        F.coalesce(F.max("n"), F.lit(0)).alias("failing_rows"),
+    )
 
 
 def gate_report(
