@@ -240,7 +240,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = MAX_BIT
         "fp", F.coalesce("root", "fp").alias("root"), "least_id"
     )
     rooted = pin(rooted, "rooted")
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    # Written out as well, so that the join below reads its sides anew and Spark can split the
+    # rows of a component that holds very many fingerprints.
+    least = pin(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "least")
     labelled = rooted.join(least, "root").select("fp", "component_id")
     return prints.join(labelled, "fp").select("doc_id", "fp", "component_id")
 
