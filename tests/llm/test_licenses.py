@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -127,3 +128,70 @@ def test_passages_of_odd_tables(odd_documents, clashing, no_documents, documents
     assert licenses.passages(clashing).collect() == []
     assert licenses.passages(no_documents).collect() == []
     assert licenses.passages(documents([(1, "x")]), {}).collect() == []
+
+
+@pytest.mark.parametrize("gap", [0, 1, 3, 8, 30, 200])
+def test_copies_are_told_apart(documents, gap):
+    """Whole notices one after the other, with any number of other words in between."""
+    between = [" ".join(f"gap{k}x{i}" for i in range(gap)) for k in range(4)]
+    rows = []
+    for i, name in enumerate(["MIT", "ISC", "MIT notice"]):
+        text = " ".join(licenses.TEMPLATES[name].split())
+        for copies in (1, 2, 4):
+            # Long enough for no line or whole text to be like a notice.
+            parts = [prose(0, 300)]
+            for k in range(copies):
+                parts += [text, between[k]]
+            rows.append((10 * i + copies, " ".join([*parts, prose(300, 300)])))
+    found = found_in(licenses.passages(documents(rows)))
+    for i, name in enumerate(["MIT", "ISC", "MIT notice"]):
+        for copies in (1, 2, 4):
+            assert found.count((10 * i + copies, name)) == copies, (name, copies)
+
+
+def plain_stretches(words, grams, least):
+    """All pairs of first and last word whose distinct bigrams reach ``least``."""
+    pairs_ = list(zip(words, words[1:]))
+    out = []
+    for i in range(len(pairs_)):
+        seen = set()
+        for j in range(i, len(pairs_)):
+            seen.add(pairs_[j])
+            if 2 * len(seen & grams) >= least * (len(seen) + len(grams)):
+                out.append((i, j + 1))
+    return out
+
+
+def test_no_stretch_is_lost(documents):
+    """Every stretch that reaches the least shares words with a passage that is reported.
+
+    Copies have up to two words replaced and still reach the least by themselves.
+    """
+    rng = random.Random(9)
+    words = [f"term{i}" for i in range(24)]
+    template = " ".join(words)
+    grams = set(zip(words, words[1:]))
+    rows, total = [], 0
+    for i in range(100):
+        text = []
+        for _ in range(rng.randint(0, 4)):
+            copy = list(words)
+            for _ in range(rng.randint(0, 2)):
+                copy[rng.randrange(len(copy))] = f"other{rng.randrange(9)}"
+            text += copy + [f"w{rng.randrange(50)}" for _ in range(rng.choice([0, 1, 2, 5, 9, 40]))]
+        rows.append((i, "start here " + " ".join(text)))
+    got = {}
+    for r in licenses.passages(documents(rows), {"one": template}, 0.8).collect():
+        got.setdefault(r.doc_id, []).append((-1 - r.unit, r.n_bigrams))
+    by_line = {r.doc_id for r in licenses.scan(documents(rows), {"one": template}, 0.8).collect()}
+    for doc_id, text in rows:
+        if doc_id in by_line:
+            continue
+        stretches = plain_stretches(text.split(), grams, 0.8)
+        starts = sorted(got.get(doc_id, []))
+        assert bool(stretches) == bool(starts), text
+        # A passage has its distinct bigrams at least as places.
+        for first, last in stretches:
+            assert any(start <= last and first <= start + n for start, n in starts), (text, first, last, starts)
+        total += len(starts)
+    assert total > 60

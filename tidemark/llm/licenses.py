@@ -95,9 +95,8 @@ def pairs(words: Column) -> Column:
     """Hashes of all pairs of neighbouring words, in their order."""
 
     def hashed(w: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(w) - F.lit(1))
-        found = F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, 2)))
-        return F.when(F.size(w) > 1, found).otherwise(F.array().cast("array<bigint>"))
+        found = F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + F.lit(1))))
+        return F.slice(found, F.lit(1), F.greatest(F.size(w) - F.lit(1), F.lit(0)))
 
     return let(words, hashed)
 
@@ -112,7 +111,9 @@ def size_bounds(size: int, least: float) -> tuple[int, int]:
     return ceil(size / factor - 1e-9), floor(size * factor + 1e-9)
 
 
-_KNOWN = "array<struct<name:string,low:int,high:int,grams:array<bigint>>>"
+_KNOWN = "array<struct<name:string,low:int,high:int,grams:array<bigint>,cells:array<array<bigint>>>>"
+# Bigrams of a template that are looked through to tell whether it holds one.
+_CELL = 32
 
 
 def _template_grams(spark: SparkSession, texts: Mapping[str, str]) -> list[tuple[str, list[int]]]:
@@ -122,6 +123,24 @@ def _template_grams(spark: SparkSession, texts: Mapping[str, str]) -> list[tuple
     return [(name, grams) for name, grams in sorted(map(tuple, rows)) if grams]
 
 
+def _constant(numbers: list[int]) -> Column:
+    return F.array_remove(F.split(F.lit(" ".join(map(str, numbers))), " "), "").cast("array<bigint>")
+
+
+def _cells(grams: list[int]) -> list[list[int]]:
+    """The bigrams dealt by their remainder, about ``_CELL`` to a cell."""
+    cells: list[list[int]] = [[] for _ in range(-(-len(grams) // _CELL))]
+    for gram in grams:
+        cells[gram % len(cells)].append(gram)
+    return cells
+
+
+def _holds(template: Column, gram: Column) -> Column:
+    """Whether a template has the bigram, by the one cell where it could be."""
+    cells = template["cells"]
+    return F.array_contains(F.get(cells, F.pmod(gram, F.size(cells)).cast("int")), gram)
+
+
 def _templates(rows: list[tuple[str, list[int]]], least: float) -> Column:
     """The templates as one constant array: names, size bounds and bigrams."""
     constants = []
@@ -133,7 +152,8 @@ def _templates(rows: list[tuple[str, list[int]]], least: float) -> Column:
                 F.lit(low).alias("low"),
                 F.lit(high).alias("high"),
                 # One string is one literal, however long the text is.
-                F.split(F.lit(" ".join(map(str, grams))), " ").cast("array<bigint>").alias("grams"),
+                _constant(grams).alias("grams"),
+                F.array(*map(_constant, _cells(grams))).alias("cells"),
             )
         )
     return F.array(*constants) if constants else F.array().cast(_KNOWN)
@@ -171,11 +191,16 @@ def scan(
     if not 0 < least <= 1:
         raise ValueError("the least Dice coefficient must lie in (0, 1]")
     known = _templates(_template_grams(docs.sparkSession, templates), least)
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    # A text of one line is the line as well; the line then stands for both.
-    whole = F.when(F.size(lines) > 1, F.array(F.col("text"))).otherwise(F.array(F.lit("")))
-    units = id_and_text(docs).select("doc_id", F.posexplode(F.concat(whole, lines)).alias("unit", "part"))
-    counted = units.select("doc_id", "unit", bigrams(normal_words(F.col("part"))).alias("grams"))
+    lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), normal_words)
+
+    def with_whole(words: Column) -> Column:
+        # The words of a text are those of its lines. A text of one line is the line as well;
+        # the line then stands for both.
+        whole = F.when(F.size(words) > 1, F.flatten(words)).otherwise(F.array().cast("array<string>"))
+        return F.concat(F.array(whole), words)
+
+    units = id_and_text(docs).select("doc_id", F.posexplode(let(lines, with_whole)).alias("unit", "words"))
+    counted = units.select("doc_id", "unit", bigrams(F.col("words")).alias("grams"))
     scored = counted.select(
         "doc_id", "unit", F.explode(F.array(let(F.col("grams"), lambda g: F.struct(
             _best(g, known, least).alias("best"), F.size(g).alias("n")
@@ -213,55 +238,74 @@ def _steps(grams: Column) -> Column:
 
 
 def _stretches(steps: Column, template: Column, least: float) -> Column:
-    """Stretches of ``steps`` that reach ``least`` with ``template``, at most one per run.
+    """Stretches of ``steps`` that reach ``least`` with ``template``, from left to right.
 
     A stretch reaches it when ``(2 - least) * hits - least * others`` over its distinct
     bigrams is ``least`` times the template's size. A run ends where that sum falls to 0,
     so what lies before cannot help what follows; its greatest sum is where the stretch
-    ends, and the greatest sum backwards from there is where it starts.
+    ends, and the greatest sum backwards from there is where it starts. Behind the end so far
+    a second run counts all bigrams anew: another copy adds nothing to the first run, but once
+    the second one reaches the least by itself, it ends the first and takes its place, and where
+    the first falls to 0 it goes on as well. So copies are told apart whatever lies between them,
+    if each reaches the least by itself. What a part of a copy has counted, a whole one close
+    behind it does not count again, so a part may hide the whole one.
     """
     hit, other = F.lit(2.0 - least), F.lit(-float(least))
     size = F.size(template["grams"])
+    enough = F.lit(float(least)) * size - F.lit(1e-6)
     span = "start:int,end:int"
-    state = f"struct<start:int,score:double,hits:int,best:double,end:int,most:int,found:array<struct<{span}>>>"
+    run = "struct<start:int,score:double,hits:int,best:double,end:int,most:int>"
+    state = f"struct<main:{run},next:{run},found:array<struct<{span}>>>"
 
-    def fresh_run(at: Column, found: Column) -> Column:
+    def fresh(at: Column) -> Column:
         none = F.lit(0)
         return F.struct(
             at.alias("start"), F.lit(0.0).alias("score"), none.alias("hits"), F.lit(0.0).alias("best"),
-            F.lit(-1).alias("end"), none.alias("most"), found.alias("found"),
-        )
-
-    def closed(s: Column) -> Column:
-        one = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))
-        return F.when(s["most"] >= template["low"], F.concat(s["found"], one)).otherwise(s["found"])
+            F.lit(-1).alias("end"), none.alias("most"),
+        ).cast(run)
+
+    def closed(found: Column, r: Column) -> Column:
+        one = F.array(F.struct(r["start"].alias("start"), r["end"].alias("end")))
+        return F.when(r["most"] >= template["low"], F.concat(found, one)).otherwise(found)
+
+    def advanced(r: Column, x: Column, held: Column) -> Column:
+        new = x["before"] < r["start"]
+        score = r["score"] + F.when(new & held, hit).when(new, other).otherwise(F.lit(0.0))
+        hits = r["hits"] + (new & held).cast("int")
+        better = score > r["best"]
+        return F.struct(
+            r["start"].alias("start"), score.alias("score"), hits.alias("hits"),
+            F.greatest(score, r["best"]).alias("best"),
+            F.when(better, x["at"]).otherwise(r["end"]).alias("end"),
+            F.when(better, hits).otherwise(r["most"]).alias("most"),
+        ).cast(run)
 
     def forward(s: Column, x: Column) -> Column:
-        new = x["before"] < s["start"]
-        is_hit = new & F.array_contains(template["grams"], x["gram"])
-
-        def after(held: Column) -> Column:
-            score = s["score"] + F.when(held, hit).when(new, other).otherwise(F.lit(0.0))
-            hits = s["hits"] + held.cast("int")
-
-            def moved(v: Column) -> Column:
-                better = v > s["best"]
-                going = F.struct(
-                    s["start"].alias("start"), v.alias("score"), hits.alias("hits"),
-                    F.greatest(v, s["best"]).alias("best"),
-                    F.when(better, x["at"]).otherwise(s["end"]).alias("end"),
-                    F.when(better, hits).otherwise(s["most"]).alias("most"),
-                    s["found"].alias("found"),
-                )
-                return F.when(v > 0, going).otherwise(fresh_run(x["at"] + F.lit(1), closed(s)))
-
-            return let(score, moved)
-
-        return let(is_hit, after)
+        after = fresh(x["at"] + F.lit(1))
+
+        def both(held: Column) -> Column:
+            pair = F.struct(advanced(s["main"], x, held).alias("main"), advanced(s["next"], x, held).alias("next"))
+            return let(pair, moved)
+
+        def moved(p: Column) -> Column:
+            main, following = p["main"], p["next"]
+            grown = (main["best"] > s["main"]["best"]) | (main["end"] < 0)
+            following = F.when(grown | (following["score"] <= 0), after).otherwise(following)
+            whole = ~grown & (following["best"] >= enough) & (following["most"] >= template["low"])
+            ends = whole | (main["score"] <= 0)
+            return F.struct(
+                F.when(ends, following).otherwise(main).alias("main"),
+                F.when(ends, after).otherwise(following).alias("next"),
+                F.when(ends, closed(s["found"], main)).otherwise(s["found"]).alias("found"),
+            ).cast(state)
+
+        return let(_holds(template, x["gram"]), both)
 
     empty = F.array().cast(f"array<struct<{span}>>")
-    zero = fresh_run(F.lit(0), empty).cast(state)
-    runs = F.aggregate(steps, zero, lambda s, x: forward(s, x).cast(state), closed)
+    zero = F.struct(fresh(F.lit(0)).alias("main"), fresh(F.lit(0)).alias("next"), empty.alias("found"))
+    runs = F.aggregate(
+        steps, zero.cast(state), forward, lambda s: closed(closed(s["found"], s["main"]), s["next"])
+    )
 
     back_state = "struct<score:double,hits:int,n:int,best:double,start:int,most:int,size:int>"
     back_zero = F.struct(
@@ -269,10 +313,10 @@ def _stretches(steps: Column, template: Column, least: float) -> Column:
         F.lit(-1).alias("start"), F.lit(0).alias("most"), F.lit(0).alias("size"),
     ).cast(back_state)
 
-    def backward(run: Column) -> Column:
+    def backward(stretch: Column) -> Column:
         def step(s: Column, x: Column) -> Column:
-            new = x["after"] > run["end"]
-            is_hit = new & F.array_contains(template["grams"], x["gram"])
+            new = x["after"] > stretch["end"]
+            is_hit = new & _holds(template, x["gram"])
 
             def after(held: Column) -> Column:
                 score = s["score"] + F.when(held, hit).when(new, other).otherwise(F.lit(0.0))
@@ -288,13 +332,14 @@ def _stretches(steps: Column, template: Column, least: float) -> Column:
 
             return let(is_hit, after)
 
-        places = F.slice(steps, run["start"] + F.lit(1), run["end"] - run["start"] + F.lit(1))
+        length = stretch["end"] - stretch["start"] + F.lit(1)
+        places = F.slice(steps, stretch["start"] + F.lit(1), length)
         return F.aggregate(F.reverse(places), back_zero, step, lambda s: F.struct(
             (-s["most"]).alias("shared"),
             (F.lit(-2.0) * s["most"] / (s["size"] + size)).alias("dice"),
             template["name"].alias("name"),
             s["start"].alias("start"),
-            run["end"].alias("end"),
+            stretch["end"].alias("end"),
             s["size"].alias("n"),
         ))
 
@@ -343,8 +388,7 @@ def passages(
     unit is ``-w`` if it begins at the text's ``w``-th word. A text can only hold one if it
     holds the least number of a template's bigrams that a match shares, so few texts are
     searched. Of passages that share words, the one that shares more bigrams with its
-    template stays; one that a line or the whole text reports already is left out. Copies
-    that no more foreign words divide than would still leave one match count as one.
+    template stays; one that a line or the whole text reports already is left out.
     """
     if not 0 < least <= 1:
         raise ValueError("the least Dice coefficient must lie in (0, 1]")
