@@ -1,6 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 from conftest import SF
 
 from tidemark.llm import queries, substrings
@@ -101,3 +104,35 @@ def test_kept_columns(clashing):
 
 def test_no_rows(no_documents):
     assert substrings.repeats(no_documents).collect() == []
+
+
+def test_a_group_is_read_in_parts(monkeypatch):
+    """Its words are never in memory together, and the parts find what the whole finds."""
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdef", k=5)) for _ in range(3000)]
+    texts = [" ".join(rng.choices(vocabulary, k=1000)) for _ in range(300)]
+    texts[7], texts[9], texts[11] = texts[3], None, texts[5][:3000] + " other " + texts[6]
+    ids = [None if i == 20 else i for i in range(300)]
+    docs = pa.table({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.string())})
+    words = substrings.Words(docs.column(1).combine_chunks())
+    _, places, grams = substrings.anchors(words)
+    owners = np.array([i or 0 for i in ids], np.int64)[words.owner[places]]
+    hits = [substrings._pack(grams[places], owners.view(np.uint64))]
+    n_words = len(words.hashes)
+    del words, places, grams, owners
+
+    def removed():
+        group = substrings._Group(docs, hits, 13, 7)
+        return group.removed(np.zeros(len(group.high), bool)).tolist()
+
+    whole = removed()
+    assert sum(whole) >= 2000
+    monkeypatch.setattr(substrings, "_TEXT_BYTES", 1 << 16)
+    assert removed() == whole
+    tracemalloc.start()
+    try:
+        substrings._Group(docs, [], 13, 7)
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert peak < 24 * n_words

@@ -19,6 +19,7 @@ passage that a third of all documents share costs a row per task, not one per do
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -247,8 +248,11 @@ def _send_prefixes(buckets: int, window: int, prefix: int):
 
     def flush(keys, ids) -> Iterator[pa.RecordBatch]:
         key, doc = np.concatenate(keys), np.concatenate(ids)
+        keys.clear()
+        ids.clear()
         order = np.lexsort((doc, key))
         key, doc = key[order], doc[order]
+        del order
         edges = _runs(key)
         first, last = edges[:-1], edges[1:] - 1
         several = doc[first] != doc[last]
@@ -292,8 +296,10 @@ def _share_prefixes(groups: int):
         if not keys:
             return
         key, doc, several = np.concatenate(keys), np.concatenate(ids), np.concatenate(flags)
+        del keys, ids, flags
         order = np.lexsort((doc, key))
         key, doc, several = key[order], doc[order], several[order]
+        del order
         edges = _runs(key)
         first, last = edges[:-1], edges[1:] - 1
         shared = (doc[first] != doc[last]) | (np.add.reduceat(several, first) > 0)
@@ -327,23 +333,17 @@ class _Group:
         key = np.concatenate([s[0] for s in shared] or none)
         doc = np.concatenate([s[1] for s in shared] or none)
         known = np.sort(_mixed(key + doc * _TWIST))
-        ids = docs.column(0).combine_chunks()
-        numbers = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        self.words = words = Words(docs.column(1).combine_chunks())
-        at, places, grams = anchors(words, window, prefix)
-        if ids.null_count:
-            named = ids.is_valid().to_numpy(zero_copy_only=False)[words.owner[at]]
-            at, places = at[named], places[named]
-        # A chance hit only adds a window that turns out not to be shared.
-        asked = _mixed(grams[places] + numbers[words.owner[at]].view(np.uint64) * _TWIST)
-        if len(known):
-            found = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-            at = at[known[found] == asked]
-        else:
-            at = at[:0]
-        high = rolling(words.hashes, window)[at] if len(at) else none[0]
-        low = rolling(words.hashes ^ _TWIST, window, _ODD2)[at] if len(at) else none[0]
-        doc = numbers[words.owner[at]]
+        # Windows lie in one document, so a group's words need not be in memory together.
+        found = [([], np.empty(0, np.int64), *none, *none, np.empty(0, np.int64))]
+        n_words = 0
+        for batch in docs.select([0, 1]).to_batches():
+            for part in _parts(batch):
+                found.append(_shared_windows(part, known, n_words, window, prefix))
+                n_words += int(np.sum(found[-1][0]))
+        self.counts = np.concatenate([f[0] for f in found]).astype(np.int64)
+        self.first = np.concatenate(([0], np.cumsum(self.counts)))
+        at, high, low, doc = (np.concatenate([f[i] for f in found]) for i in range(1, 5))
+        del found
         order = np.lexsort((doc, low, high))
         self.place, self.doc = at[order], doc[order]
         high, low = high[order], low[order]
@@ -355,11 +355,35 @@ class _Group:
     def removed(self, elsewhere: np.ndarray) -> np.ndarray:
         """Which words go. ``elsewhere``: nodes with a lesser document elsewhere."""
         gone = (self.doc > self.least[self.node]) | elsewhere[self.node]
-        change = np.zeros(len(self.words.hashes) + 1, np.int64)
+        change = np.zeros(int(self.first[-1]) + 1, np.int8)
         # One window starts at a place at most, so no addition is lost.
         change[self.place[gone]] += 1
         change[self.place[gone] + self.window] -= 1
-        return np.cumsum(change)[:-1] > 0
+        return np.cumsum(change, dtype=np.int32)[:-1] > 0
+
+
+def _shared_windows(part: pa.RecordBatch, known: np.ndarray, before: int, window: int, prefix: int):
+    """Words per document, and place, two hashes and document of windows with a prefix of ``known``.
+
+    ``before``: how many words of the group lie before the part.
+    """
+    ids, words = part.column(0), Words(part.column(1))
+    at, places, grams = anchors(words, window, prefix)
+    if ids.null_count:
+        named = ids.is_valid().to_numpy(zero_copy_only=False)[words.owner[at]]
+        at, places = at[named], places[named]
+    numbers = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    # A chance hit only adds a window that turns out not to be shared.
+    asked = _mixed(grams[places] + numbers[words.owner[at]].view(np.uint64) * _TWIST)
+    if len(known):
+        found = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+        at = at[known[found] == asked]
+    else:
+        at = at[:0]
+    none = np.empty(0, np.uint64)
+    high = rolling(words.hashes, window)[at] if len(at) else none
+    low = rolling(words.hashes ^ _TWIST, window, _ODD2)[at] if len(at) else none
+    return words.counts, at + before, high, low, numbers[words.owner[at]]
 
 
 def _read_group(batches: Iterator[pa.RecordBatch], kept: int):
@@ -382,13 +406,21 @@ def _read_group(batches: Iterator[pa.RecordBatch], kept: int):
             if len(mine):
                 tables[group][2].append(docs.take(pa.array(mine)))
     for group in sorted(tables):
-        hits, answers, parts = tables[group]
+        hits, answers, parts = tables.pop(group)
         if not parts:
             continue
         docs = pa.concat_tables(parts)
-        ids, texts = docs.column(0).to_pylist(), docs.column(1).to_pylist()
-        order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, texts[i] or ""))
-        yield group, docs.take(pa.array(order, pa.int64())), hits, dict(answers)
+        ids, texts = docs.column(0).to_pylist(), docs.column(1)
+        times = Counter(ids)
+
+        def place(i: int, ids=ids, texts=texts, times=times) -> tuple:
+            # Texts only matter where rows share an id.
+            text = texts[i].as_py() if times[ids[i]] > 1 else None
+            return (ids[i] is not None, ids[i] or 0, text or "")
+
+        docs = docs.take(pa.array(sorted(range(len(ids)), key=place), pa.int64()))
+        del parts, ids, texts, times, place
+        yield group, docs, hits, dict(answers)
 
 
 def _send_nodes(buckets: int, window: int, prefix: int):
@@ -442,12 +474,12 @@ def _finish(buckets: int, window: int, prefix: int, kept: int, schema: pa.Schema
                     raise RuntimeError("a group's nodes differ from those sent before")
                 elsewhere[part] = np.unpackbits(np.frombuffer(body[8:], np.uint8), count=n)
             removed = group.removed(elsewhere)
-            first = group.words.first.tolist()
-            some = np.add.reduceat(np.append(removed, False), group.words.first[:-1]) if len(docs) else []
-            some = np.where(group.words.counts > 0, some, 0).tolist()
+            first = group.first.tolist()
+            some = np.add.reduceat(np.append(removed, False), group.first[:-1]) if len(docs) else []
+            some = np.where(group.counts > 0, some, 0).tolist()
             spans, rest = [], []
-            for i, text in enumerate(docs.column(1).to_pylist()):
-                words = (text or "").encode().split()
+            for i, text in enumerate(docs.column(1)):
+                words = (text.as_py() or "").encode().split()
                 if some[i]:
                     gone = removed[first[i] : first[i + 1]]
                     edge = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0]))))
@@ -457,7 +489,7 @@ def _finish(buckets: int, window: int, prefix: int, kept: int, schema: pa.Schema
                     pairs = []
                 spans.append([{"start": a, "length": b - a} for a, b in pairs])
                 rest.append(b" ".join(words).decode())
-            sizes = group.words.counts
+            sizes = group.counts
             columns = [docs.column(n) for n in schema.names[:-3]]
             made = [*columns, pa.array(sizes, pa.int64())]
             made += [pa.array(spans, schema.field("repeats").type), pa.array(rest, pa.string())]
