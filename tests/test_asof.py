@@ -108,3 +108,10 @@ def test_one_shuffle_and_no_join(facts, versions):
     plan = joined(facts, versions, hot={})._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan.split("Initial Plan")[-1]
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_the_key_is_shuffled_once(facts, versions):
+    joined = asof_join(facts, versions, "user_id", "at", "valid_from", "valid_to", ["user_sk"], hot={})
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    union = plan[plan.index("Union") :].splitlines()[1]
+    assert union.count("user_id") == 1

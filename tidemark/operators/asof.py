@@ -122,13 +122,15 @@ def asof_join(
         timed, kept = (df.withColumn("__piece", F.lit(0)) for df in (timed, kept))
     none = F.lit(None)
     version_type = kept.schema["__version"].dataType
+    # The key travels once, as __key.
+    others = [c for c in columns if c != key]
     stream = timed.select(
         F.col(key).alias("__key"),
         "__piece",
         "__at",
         F.lit(True).alias("__fact"),
         none.cast(version_type).alias("__version"),
-        *columns,
+        *others,
     ).unionByName(
         kept.select(
             "__key",
@@ -136,7 +138,7 @@ def asof_join(
             "__at",
             F.lit(False).alias("__fact"),
             "__version",
-            *(none.cast(facts.schema[c].dataType).alias(c) for c in columns),
+            *(none.cast(facts.schema[c].dataType).alias(c) for c in others),
         )
     )
     # Versions come before the facts of the instant at which they start.
@@ -148,7 +150,7 @@ def asof_join(
     carried = stream.withColumn("__held", F.last("__version", ignorenulls=True).over(so_far))
     valid = F.col("__held.__stop") > F.col("__at")
     out = [F.when(valid, F.col("__held")[c]).alias(c) for c in take]
-    merged = carried.where(F.col("__fact"))
+    merged = carried.where(F.col("__fact")).withColumn(key, F.col("__key").cast(facts.schema[key].dataType))
     if how == "inner":
         return merged.where(valid).select(*columns, *out)
     rest = facts.where(~usable).select(
