@@ -1,9 +1,12 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
@@ -113,6 +116,48 @@ def test_against_the_recursive_definition(documents, monkeypatch):
     assert {r[1] for r in found} == {True, False}
 
 
+def test_chunks_of_several_parts(documents, monkeypatch):
+    """Parts share their chunk's answers; held-out and empty texts make parts of their own."""
+    monkeypatch.setattr(lm_scores, "BUCKET_BYTES", 300)
+    monkeypatch.setattr(lm_scores, "CHUNK_BYTES", 700)
+    monkeypatch.setattr(lm_scores, "PART_BYTES", 150)
+    rng = random.Random(5)
+    words = "one ONE two three École 東京 a a, 🙂".split()
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 30)))) for i in range(60)]
+    rows += [(80, "x" * 400), (81, "long " * 300), (82, None), (83, " \n "), (84, ""), (None, "no id")]
+    check(documents(rows).repartition(2))
+
+
+def test_a_task_holds_the_positions_of_one_part(monkeypatch):
+    """Of 6 MB that are one chunk, looked at in parts of 256 KB, before and after."""
+    monkeypatch.setattr(lm_scores, "PART_BYTES", 256 << 10, raising=False)
+    monkeypatch.setattr(lm_scores, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=500)) for _ in range(2000)]
+    docs = pa.RecordBatch.from_pydict({"doc_id": range(2000), "out": [False] * 2000, "text": texts})
+    size = sum(map(len, texts))
+    assert size < lm_scores.CHUNK_BYTES
+    tracemalloc.start()
+    try:
+        rows = [r for b in lm_scores._gather(2)(iter([docs])) for r in b.to_pylist()]
+        assert tracemalloc.get_traced_memory()[1] < 7 * size
+    finally:
+        tracemalloc.stop()
+    assert {r["chunk"] for r in rows} == {0}
+    assert sum(r["kind"] == "text" for r in rows) == math.ceil(size / (256 << 10))
+    taught = [lm_scores._unpack(r["more"], "<i8").sum() for r in rows if r["kind"] == "gram"]
+    assert sum(taught) == size + 2000
+
+
+@pytest.mark.parametrize("places", [1, 2, 12, 51, 211, 3000])
+def test_chunks_are_dealt_out_evenly(places):
+    step = lm_scores._stride(places)
+    for tasks, made in ((1, 3 * places), (places, 2), (max(places // 3, 1), 7)):
+        loads = Counter((task + k * step) % places for task in range(tasks) for k in range(made))
+        assert max(loads.values()) <= math.ceil(tasks * made / places) + 1
+
+
 def test_documents_that_nothing_teaches(documents):
     held = [i for i in range(60) if is_held(i)]
     found = check(documents([(i, "some words") for i in held]))

@@ -32,7 +32,9 @@ class _Places:
     def close(self) -> None:
         if self._marks is not None:
             self.present = np.flatnonzero(self._marks)
-            self._rank = np.maximum(np.cumsum(self._marks, dtype=np.int32) - 1, 0)
+            self._rank = np.cumsum(self._marks, dtype=np.int32)
+            self._rank -= 1
+            np.maximum(self._rank, 0, out=self._rank)
             self._marks = None
         else:
             self.present = np.unique(np.concatenate([*self._parts, np.empty(0, np.int64)]))

@@ -4,9 +4,11 @@ Nothing is kept from the corpus but what a document asks for, and all of that: e
 its documents into chunks and writes, per chunk, the distinct byte runs (context and byte) and
 words with their training counts. Counts of equal runs meet by a hash, whatever chunk they are
 from; the context tree is mixed from them tier by tier, on groups that hold at most 2**24
-runs whatever the corpus; the log probabilities go back to the chunks that asked, where the
-documents are added up. Every step is a shuffle of narrow, evenly dealt rows, so the model may
-grow with the corpus and is never whole in any place.
+runs whatever the corpus; the log probabilities go back with their runs to the chunks that asked,
+where the documents are added up. A chunk is read part by part, before and after, so that a task
+holds the positions of one part only, besides the distinct runs of its chunk. Every step is a
+shuffle of narrow, evenly dealt rows, so the model may grow with the corpus and is never whole
+in any place.
 """
 
 from __future__ import annotations
@@ -31,11 +33,24 @@ from tidemark.sources.scratch import new_folder, pin
 DEPTH = 5  # bytes of context
 # From which depth to which each tier of the tree goes, in one group per context of the latter.
 TIERS = ((5, 3), (3, 1), (1, 0))
-CHUNK_BYTES = 24 << 20  # of text that is scored together
+CHUNK_BYTES = 24 << 20  # of text whose runs and words are asked for together
+PART_BYTES = 2 << 20  # of it that is looked at at once
 BUCKET_BYTES = 32 << 20  # of text per bucket of runs and words, between the two numbers below
 MOST_BUCKETS = 16_384
 ONE_IN, HELD_OUT = 7, 2
 _GROUP_ROWS = 1 << 18  # rows of small groups that are mixed at once
+# A chunk's number is its task's and, in this many bits, its place in it.
+_TASK_BITS = 32
+_MADE = (1 << _TASK_BITS) - 1
+
+# Pieces are compressed already and large: a writer that looks at its buffers only every 100
+# rows, and then compresses them once more, holds several times what it writes.
+_LARGE_ROWS = {
+    "compression": "none",
+    "parquet.block.size": 4 << 20,
+    "parquet.page.size.row.check.min": 1,
+    "parquet.enable.dictionary": "false",
+}
 
 _PIECES = T.StructType(
     [
@@ -104,12 +119,21 @@ def _turned(keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of sorted arrays, not all of them empty, and the sums of their counts."""
+    whole = np.concatenate(keys)
+    order = np.argsort(whole, kind="stable")
+    whole = whole[order]
+    first = np.flatnonzero(np.concatenate(([True], whole[1:] != whole[:-1])))
+    return whole[first], np.add.reduceat(np.concatenate(counts)[order], first)
+
+
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[*b" \t\n\x0b\f\r", LEAD, END]] = True
 
 
-class _Chunk:
-    """The texts of a chunk in one line of bytes: their byte runs and their words."""
+class _Part:
+    """The texts of a part in one line of bytes: their byte runs and their words."""
 
     def __init__(self, texts: list[bytes]):
         lead, end = bytes([LEAD]) * DEPTH, bytes([END])
@@ -118,7 +142,7 @@ class _Chunk:
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    def words(self) -> tuple[np.ndarray, np.ndarray, pa.LargeBinaryArray]:
         """The first word of each text and one past the last, which word each is, and the words."""
         letters = ~_BREAKS[self.data]
         # The line begins and ends with breaks.
@@ -131,7 +155,7 @@ class _Chunk:
             [None, pa.py_buffer(offsets.astype("<i8")), pa.py_buffer(self.data[letters])],
         ).dictionary_encode()
         first = np.searchsorted(begins, np.append(self.starts, len(self.data)))
-        return first, words.indices.to_numpy(), words.dictionary.to_pylist()
+        return first, words.indices.to_numpy(), words.dictionary
 
     def grams(self) -> tuple[ByteGrams, np.ndarray]:
         """The byte runs, and which of them lie within a text."""
@@ -144,48 +168,80 @@ def _word_buckets(words: list[bytes], buckets: int) -> Iterator[tuple[int, np.nd
     return _dealt(np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets, buckets)
 
 
+class _Asked:
+    """The distinct byte runs and words of a chunk's parts, with their training counts."""
+
+    def __init__(self):
+        self.keys: list[np.ndarray] = []
+        self.key_counts: list[np.ndarray] = []
+        self.words: list[pa.LargeBinaryArray] = []
+        self.word_counts: list[np.ndarray] = []
+
+    def add(self, part: _Part, teachers: int) -> None:
+        """``part`` begins with the documents that teach."""
+        first, of, words = part.words()
+        self.words.append(words)
+        self.word_counts.append(np.bincount(of[: first[teachers]], minlength=len(words)))
+        grams, own = part.grams()
+        taught = int(part.starts[teachers]) if teachers < len(part.starts) else len(part.data)
+        counts = np.bincount(grams.ids[: max(taught - DEPTH, 0)], minlength=len(grams.keys))
+        self.keys.append(grams.keys[own])
+        self.key_counts.append(counts[own])
+        if sum(map(len, self.keys[1:])) > 1 << 21:
+            keys, counts = _summed(self.keys, self.key_counts)
+            self.keys, self.key_counts = [keys], [counts]
+
+    def rows(self, number: int, buckets: int) -> Iterator[pa.RecordBatch]:
+        schema = _arrow(_PIECES)
+        encoded = pa.chunked_array(self.words).combine_chunks().dictionary_encode()
+        words = encoded.dictionary.to_pylist()
+        # Counts are whole numbers far below 2**53.
+        counts = np.bincount(encoded.indices.to_numpy(), np.concatenate(self.word_counts), len(words)).astype("<i8")
+        del encoded
+        for bucket, at in _word_buckets(words, buckets):
+            own = _pack(b" ".join([words[i] for i in at.tolist()]))
+            yield _batch([("word", number, bucket, len(at), own, _pack(counts[at]))], schema)
+        del words
+        keys, counts = _summed(self.keys, self.key_counts)
+        for bucket, at in _by_bucket(keys, buckets):
+            row = ("gram", number, bucket, len(at), _pack_sorted(keys[at]), _pack(counts[at].astype("<i8")))
+            yield _batch([row], schema)
+
+
 def _gather(buckets: int):
-    """Chunks of documents, and per bucket what they ask for and teach."""
+    """Chunks of documents in parts, and per bucket what they ask for and teach."""
     schema = _arrow(_PIECES)
 
-    def chunk(number: int, docs: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def part(number: int, docs: list[tuple], asked: _Asked) -> pa.RecordBatch:
         # Documents that teach come first, so that their positions are one stretch.
         docs.sort(key=lambda d: d[1])
         texts = [d[2] for d in docs]
         teachers = sum(not d[1] for d in docs)
+        asked.add(_Part(texts), teachers)
         meta = [(d[0] is not None, d[0] or 0, d[1], len(d[2])) for d in docs]
-        body = _pack(b"".join(texts))
-        yield _batch([("text", number, 0, teachers, body, _pack(np.array(meta, "<i8")))], schema)
-        line = _Chunk(texts)
-        del texts, docs[:]
-        first, of, words = line.words()
-        counts = np.bincount(of[: first[teachers]], minlength=len(words)).astype("<i8")
-        for bucket, at in _word_buckets(words, buckets):
-            own = _pack(b" ".join([words[i] for i in at.tolist()]))
-            yield _batch([("word", number, bucket, len(at), own, _pack(counts[at]))], schema)
-        del words, of
-        grams, own = line.grams()
-        taught = int(line.starts[teachers]) if teachers < len(line.starts) else len(line.data)
-        counts = np.bincount(grams.ids[: max(taught - DEPTH, 0)], minlength=len(grams.keys))[own]
-        keys = grams.keys[own]
-        for bucket, at in _by_bucket(keys, buckets):
-            row = ("gram", number, bucket, len(at), _pack_sorted(keys[at]), _pack(counts[at].astype("<i8")))
-            yield _batch([row], schema)
+        row = ("text", number, 0, teachers, _pack(b"".join(texts)), _pack(np.array(meta, "<i8")))
+        return _batch([row], schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << _TASK_BITS
         held: list[tuple] = []
-        size = made = 0
+        asked = _Asked()
+        size = whole = 0
         for batch in batches:
             for doc_id, out, text in zip(*batch.columns, strict=True):
                 low = (text.as_py() or "").encode().lower()
                 held.append((doc_id.as_py(), out.as_py(), low))
                 size += len(low) + DEPTH + 1
-                if size >= CHUNK_BYTES:
-                    yield from chunk(first + made, held)
-                    held, size, made = [], 0, made + 1
+                if size >= PART_BYTES or whole + size >= CHUNK_BYTES:
+                    yield part(number, held, asked)
+                    held, size, whole = [], 0, whole + size
+                if whole >= CHUNK_BYTES:
+                    yield from asked.rows(number, buckets)
+                    asked, whole, number = _Asked(), 0, number + 1
         if held:
-            yield from chunk(first + made, held)
+            yield part(number, held, asked)
+        if held or whole:
+            yield from asked.rows(number, buckets)
 
     return work
 
@@ -380,7 +436,7 @@ def _tree_log_probabilities(counted: DataFrame, buckets: int) -> DataFrame:
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each chunk's row of a bucket, the model's values in the order it asked."""
+    """For each chunk's row of a bucket, the model's values and, in the same order, what it asked."""
     schema = _arrow(_PIECES)
     at, parts, ready, values = None, [], None, None
     for row in _each(batches):
@@ -404,7 +460,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts = []
             asked = _unpack(row["body"]).split()
             found = np.array([ready.get(w, 0) for w in asked], "<i8")
-        yield _batch([(row["kind"], row["chunk"], at, len(found), _pack(found), None)], schema)
+        yield _batch([(row["kind"], row["chunk"], at, len(found), _pack(found), row["body"])], schema)
 
 
 def _answered(model: DataFrame, asked: DataFrame) -> DataFrame:
@@ -443,32 +499,48 @@ def _sums(values: np.ndarray, of: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def _score(buckets: int, teachers: int, tokens: int, distinct: int):
-    """Adds up what a chunk's documents were answered."""
+class _Answers:
+    """What a chunk was answered: the values of its byte runs and the counts of its words."""
+
+    def __init__(self, rows: list[dict]):
+        grams = [r for r in rows if r["kind"] == "gram"]
+        keys = np.concatenate([_unpack_sorted(r["more"]) for r in grams])
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        self.values = np.concatenate([_unpack(r["body"], "<f4") for r in grams])[order]
+        words = [r for r in rows if r["kind"] == "word"]
+        kind = pa.large_binary()
+        self.words = pa.chunked_array([pa.array(_unpack(r["more"]).split(), kind) for r in words], kind)
+        self.counts = np.concatenate([np.empty(0, "<i8"), *(_unpack(r["body"], "<i8") for r in words)])
+
+    def of_keys(self, keys: np.ndarray) -> np.ndarray:
+        return self.values[np.searchsorted(self.keys, keys)].astype(np.float64)
+
+    def of_words(self, words: pa.LargeBinaryArray) -> np.ndarray:
+        return self.counts[pa.compute.index_in(words, self.words).to_numpy()].astype(np.float64)
+
+
+def _score(teachers: int, tokens: int, distinct: int):
+    """Adds up what the documents of a chunk's parts were answered."""
     schema = _arrow(_SCORES)
     unseen = tokens + distinct + 1
 
-    def chunk(row: dict, answers: dict) -> pa.RecordBatch:
+    def scored(row: dict, answers: _Answers) -> pa.RecordBatch:
         meta = _unpack(row["more"], "<i8").reshape(-1, 4)
         whole = _unpack(row["body"])
         ends = np.cumsum(meta[:, 3]).tolist()
-        line = _Chunk([whole[e - n : e] for e, n in zip(ends, meta[:, 3].tolist(), strict=True)])
+        part = _Part([whole[e - n : e] for e, n in zip(ends, meta[:, 3].tolist(), strict=True)])
         del whole, row["body"]
-        # Distinct words and runs come in the order in which they were asked for.
-        first, of, words = line.words()
-        counts = np.zeros(len(words))
-        for bucket, at in _word_buckets(words, buckets):
-            counts[at] = answers.pop(("word", bucket))
+        first, of, words = part.words()
+        counts = answers.of_words(words)
         n_words = np.diff(first) + 1
         known = _sums((counts > 0).astype(np.int64), of, first) + (teachers > 0)
         base = _sums(np.log10((counts + 1) / unseen), of, first) + math.log10((teachers + 1) / unseen)
         del words, of, counts
-        grams, own = line.grams()
+        grams, own = part.grams()
         values = np.zeros(len(grams.keys))
-        keys = grams.keys[own]
-        for bucket, at in _by_bucket(keys, buckets):
-            values[own[at]] = answers.pop(("gram", bucket))
-        scores = _sums(values, grams.ids, np.append(line.starts, len(grams.ids)))
+        values[own] = answers.of_keys(grams.keys[own])
+        scores = _sums(values, grams.ids, np.append(part.starts, len(grams.ids)))
         bits = -scores * math.log2(10) / (meta[:, 3] + 1)
         ids = [i if there else None for there, i in meta[:, :2].tolist()]
         return pa.RecordBatch.from_arrays(
@@ -487,17 +559,32 @@ def _score(buckets: int, teachers: int, tokens: int, distinct: int):
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        answers: dict = {}
+        rows: list[dict] = []
+        answers = None
         for row in _each(batches):
-            if row["kind"] == "text":
-                yield chunk(row, answers)
-                answers = {}
-            else:
-                answers[row["kind"], row["bucket"]] = _unpack(row["body"], "<f4" if row["kind"] == "gram" else "<i8")
+            if row["kind"] != "text":
+                answers = None
+                rows.append(row)
+                continue
+            if answers is None:
+                answers, rows = _Answers(rows), []
+            yield scored(row, answers)
 
     return work
 
 
+def _stride(places: int) -> int:
+    """A step that visits all places, near their golden section.
+
+    The first chunks of the tasks go to places in a row, those of one task that many apart, so
+    that few meet whether many tasks made some chunks or one made many.
+    """
+    step = max(round(0.618 * places), 1)
+    while math.gcd(step, places) > 1:
+        step += 1
+    return step
+
+
 def scores(docs: DataFrame) -> DataFrame:
     """One row per document: the contract's columns, ``n_bytes`` and ``bits_per_byte``.
 
@@ -519,7 +606,7 @@ def scores(docs: DataFrame) -> DataFrame:
     buckets = min(max(partitions(spark), size // BUCKET_BYTES), MOST_BUCKETS)
     folder = new_folder(spark, "pieces")
     pieces = map_batches(rows, _gather(buckets), _PIECES)
-    pieces.write.partitionBy("kind").option("parquet.block.size", 16 << 20).parquet(folder)
+    pieces.write.partitionBy("kind").options(**_LARGE_ROWS).parquet(folder)
     pieces = spark.read.schema(_PIECES).parquet(folder).select(*_PIECES.names)
     texts, words, grams = (pieces.where(F.col("kind") == k) for k in ("text", "word", "gram"))
 
@@ -538,6 +625,8 @@ def scores(docs: DataFrame) -> DataFrame:
     tokens, known = (total or 0) + teachers, (distinct or 0) + (teachers > 0)
     both = texts.unionByName(word_answers).unionByName(gram_answers)
     chunks = max(partitions(spark), size // CHUNK_BYTES)
-    by_chunk = both.withColumn("later", F.col("kind") == "text").repartition(chunks, "chunk")
+    made = F.col("chunk").bitwiseAND(_MADE)
+    place = (F.shiftright("chunk", _TASK_BITS) + made * _stride(chunks)) % chunks
+    by_chunk = both.withColumn("later", F.col("kind") == "text").repartitionById(chunks, place.cast("int"))
     ordered = by_chunk.sortWithinPartitions("chunk", "later").drop("later")
-    return map_batches(ordered, _score(buckets, teachers, tokens, known), _SCORES)
+    return map_batches(ordered, _score(teachers, tokens, known), _SCORES)
